@@ -12,11 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ATTRIBUTION_KINDS, ATTRIBUTION_SKIPPED
-from ..functions import days_before
+from ..config import ATTRIBUTION_COLUMNS, ATTRIBUTION_KINDS, ATTRIBUTION_RENAMES, ATTRIBUTION_SKIPPED
+from ..functions import days_before, text_to_date
 from ..operators.clean import select_existing
 
-FILE_NAME, FILE_PATH = "_metadata.file_name", "_metadata.file_path"
+FILE_PATH = "_metadata.file_path"
 FILE_DATE = r"date=(\d{4}-\d{2}-\d{2})"
 
 
@@ -50,7 +50,7 @@ def read_matching(
 
 
 def file_date() -> Column:
-    return F.regexp_extract(FILE_NAME, FILE_DATE, 1)
+    return F.regexp_extract(FILE_PATH, FILE_DATE, 1)
 
 
 def read_period_files(
@@ -127,15 +127,22 @@ def read_report(
 def read_attribution(spark: SparkSession, path: str, date: str | dt.date) -> DataFrame:
     """A day's attribution CSV files of all apps and kinds, tagged ``appsflyer_type``.
 
-    File names end in ``<date>_<kind>.csv.gz``. Re-attribution files are skipped.
+    Names (of a file or of a folder of parts) end in ``<date>_<kind>.csv.gz``.
+    Re-attribution files are skipped.
     """
     day = str(days_before(date, 0))
-    kind = F.regexp_extract(FILE_NAME, rf"{day}_({'|'.join(ATTRIBUTION_KINDS)})\.csv\.gz$", 1)
-    skipped = F.col(FILE_NAME).rlike("|".join(ATTRIBUTION_SKIPPED))
+    kind = F.regexp_extract(FILE_PATH, rf"{day}_({'|'.join(ATTRIBUTION_KINDS)})\.csv\.gz(/|$)", 1)
+    skipped = F.col(FILE_PATH).rlike("|".join(ATTRIBUTION_SKIPPED))
     df = read_csv(spark, f"{path}/*{day}*.csv.gz")
     return df.where((kind != "") & ~skipped).select("*", kind.alias("appsflyer_type"))
 
 
+def shape_attribution(df: DataFrame) -> DataFrame:
+    """The attribution columns kept, renamed, with the date of the event."""
+    kept = select_existing(df, ATTRIBUTION_COLUMNS).withColumnsRenamed(ATTRIBUTION_RENAMES)
+    return kept.withColumn("event_date", text_to_date(F.col("time")))
+
+
 def flatten_export(df: DataFrame, properties: str = "properties") -> DataFrame:
     """Event or user export: the properties beside the top-level fields."""
     rest = [c for c in df.columns if c != properties]
