@@ -17,8 +17,12 @@ JSON_BLANKS = " \t\n\r"
 
 
 def clean_number(c: Column) -> Column:
-    """Keep digits and dots only, then read a double; NULL when that fails."""
-    return F.regexp_replace(c, "[^0-9.]", "").try_cast("double")
+    """Keep digits and dots only, then read a double; NULL when that fails.
+
+    The shape is tested first: a failing cast costs an exception per row.
+    """
+    v = F.regexp_replace(c, "[^0-9.]", "")
+    return F.when(v.rlike(r"^([0-9]+[.]?[0-9]*|[.][0-9]+)$"), v).try_cast("double")
 
 
 def clean_sheet_number(c: Column) -> Column:

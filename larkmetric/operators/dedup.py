@@ -35,8 +35,9 @@ def dedup_events(df: DataFrame, collect: str, array_limit: int = ARRAY_LIMIT) ->
     placed = keyed.join(hot, keys, "left").withColumn(
         "part", F.when(F.col(collect).isNotNull(), part)
     )
+    # The hashes lead the grouping, so the join's partitioning serves it too.
     return (
-        placed.groupBy(*others, F.coalesce("part", F.lit(0)).alias("part"))
+        placed.groupBy(*keys, *others, F.coalesce("part", F.lit(0)).alias("part"))
         .agg(F.array_sort(F.collect_list(collect)).alias(collect))
         .select(*others, "part", collect)
     )

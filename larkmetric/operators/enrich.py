@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TEST_VALUES, USER_COLUMNS, EventNames
 from .clean import corrected_event, ensure_column, first_order, null_sentinels, with_event_date
 from .joins import spread_nulls
 
+CHALLENGE_COLUMNS = ["service_type", "is_brand", "is_corp", "revenue_from_brand", "revenue_from_challenge"]
+
 
 def all_users(*snapshots: DataFrame) -> DataFrame:
     """Distinct attribution rows of several user snapshots."""
@@ -29,6 +31,10 @@ def other_events(events: DataFrame, handled: list[str]) -> DataFrame:
     return events.where(F.coalesce(~F.col("event").isin(*handled), F.lit(True)))
 
 
+def _mart_key(kind: str, c: Column) -> Column:
+    return F.concat(F.lit(f"{kind}:"), c.cast("string"))
+
+
 def enrich(
     events: DataFrame,
     users: DataFrame,
@@ -38,42 +44,32 @@ def enrich(
 ) -> DataFrame:
     """Attribution, mart columns, corrected events, first flag and local date.
 
-    Instead of splitting events by kind and stacking them again, each mart is
-    joined on a key that is NULL for the other kinds, and those NULLs are spread
-    over tasks. Marts may hold several rows per key, and then fan out.
+    Instead of splitting events by kind and stacking them again, both marts are
+    one table under kind and key, so events are shuffled for them once. Events of
+    other kinds have no key, and are spread over tasks. Marts may hold several
+    rows per key, and then fan out.
     """
     rows = attribute(ensure_column(ensure_column(events, "order_no"), "order_count"), users)
-    challenge_kind = F.col("event").isin(names.challenge, names.brand)
-    store_kind = F.col("event") == names.store
+    challenge_kind = F.coalesce(F.col("event").isin(names.challenge, names.brand), F.lit(False))
+    store_kind = F.coalesce(F.col("event") == names.store, F.lit(False))
     c = challenges.select(
-        F.col("challenge_id").cast("string").alias("_challenge"),
-        "service_type",
-        "is_brand",
-        "is_corp",
-        "revenue_from_brand",
-        "revenue_from_challenge",
-        F.col("revenue").alias("_challenge_revenue"),
-    ).distinct()
-    s = stores.select(
-        F.col("order_no").cast("string").alias("_order"), F.col("revenue").alias("_store_revenue")
-    ).distinct()
-    challenge_key = F.when(challenge_kind, rows["challenge_id"].cast("string"))
-    order_key = F.when(store_kind, rows["order_no"].cast("string"))
-    joined = rows.join(
-        c, spread_nulls(challenge_key, "distinct_id", "time") == c["_challenge"], "left"
-    ).join(s, spread_nulls(order_key, "distinct_id", "time") == s["_order"], "left")
-    first = (
-        F.when(store_kind, first_order(rows))
-        .when(challenge_kind, F.coalesce(F.col("first").cast("string").try_cast("boolean"), F.lit(False)))
-        .otherwise(F.col("first").cast("string").try_cast("boolean"))
+        _mart_key("challenge", F.col("challenge_id")).alias("_key"), *CHALLENGE_COLUMNS, "revenue"
     )
+    s = stores.select(_mart_key("store", F.col("order_no")).alias("_key"), "revenue")
+    mart = c.unionByName(s, allowMissingColumns=True).distinct()
+    key = F.when(challenge_kind, _mart_key("challenge", rows["challenge_id"])).when(
+        store_kind, _mart_key("store", rows["order_no"])
+    )
+    joined = rows.join(mart, spread_nulls(key, "distinct_id", "time") == mart["_key"], "left").drop("_key")
+    flag = F.col("first").cast("string").try_cast("boolean")
     enriched = joined.withColumns(
         {
-            "first": first,
+            "first": F.when(store_kind, first_order(rows))
+            .when(challenge_kind, F.coalesce(flag, F.lit(False)))
+            .otherwise(flag),
             "event": F.when(
                 challenge_kind, corrected_event(F.col("event"), F.col("service_type"), names)
             ).otherwise(F.col("event")),
-            "revenue": F.coalesce("_challenge_revenue", "_store_revenue"),
         }
-    ).drop("_challenge", "_order", "_challenge_revenue", "_store_revenue")
+    )
     return with_event_date(enriched).dropDuplicates()

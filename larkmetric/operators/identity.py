@@ -48,10 +48,17 @@ def device_owners(user_info: DataFrame) -> DataFrame:
 
 
 def devices_to_users(df: DataFrame, user_info: DataFrame, id_col: str = "distinct_id") -> DataFrame:
-    """Replace device ids by the user who owns the device; one hop."""
+    """Replace device ids by the user who owns the device; one hop.
+
+    Only rows under a device id meet the device table; the others, most of a
+    state, are not shuffled for it.
+    """
+    device = is_uuid_like(F.col(id_col))
     owners = device_owners(user_info)
-    return (
-        df.join(owners, df[id_col] == owners["device_id"], "left")
+    devices = df.where(device)
+    mapped = (
+        devices.join(owners, devices[id_col] == owners["device_id"], "left")
         .withColumn(id_col, F.coalesce("owner_id", id_col))
         .select(*df.columns)
     )
+    return df.where(~device).unionByName(mapped)

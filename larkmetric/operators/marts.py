@@ -27,7 +27,8 @@ def challenge_results(user_challenge: DataFrame, result: DataFrame) -> DataFrame
 
     Users are not kept, so their rows are reduced to challenges before the join.
     """
-    return user_challenge.select("challenge_id").distinct().join(result, "challenge_id", "left")
+    ids = user_challenge.select("challenge_id").distinct()
+    return ids.join(result.distinct(), "challenge_id", "left")
 
 
 def challenge_base(
@@ -41,7 +42,8 @@ def challenge_base(
     """One row per challenge (distinct), with both registration counts."""
     users = challenge_results(user_challenge, result)
     goals = challenge_goals(challenge, goal, category)
-    both = full_outer(goals, users, "challenge_id").distinct()
+    # Either side has about one row per challenge: no key is hot here.
+    both = users.join(goals, "challenge_id", "full_outer").distinct()
     extra = info.select(
         "challenge_id", F.col("register_count").alias("info_register_count"), "fee"
     )

@@ -11,21 +11,24 @@ from pyspark.sql import types as T
 
 from ..config import PERIODS, ROLLUP_KEYS
 from ..functions import days_before, money
+from .clean import within_days
 
 
 def _metrics(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def _levels(df: DataFrame, extra: list[str], metrics: list[str]) -> DataFrame:
-    """Sum ``metrics`` for every prefix of the keys whose columns are all set.
-
-    The finest groups are summed first, so only they are multiplied by the
-    number of levels, not the input rows.
-    """
-    finest = df.groupBy(*extra, *ROLLUP_KEYS).agg(
-        *[F.coalesce(F.sum(money(F.col(m))), F.lit(0).cast("decimal(34,6)")).alias(m) for m in metrics]
+def _finest(df: DataFrame, extra: list[str], metrics: list[str]) -> DataFrame:
+    """Exact sums of the full key. Only these groups, not the input rows, are
+    multiplied by levels and periods afterwards."""
+    none = F.lit(0).cast("decimal(34,6)")
+    return df.groupBy(*extra, *ROLLUP_KEYS).agg(
+        *[F.coalesce(F.sum(money(F.col(m))), none).alias(m) for m in metrics]
     )
+
+
+def _levels(finest: DataFrame, extra: list[str], metrics: list[str]) -> DataFrame:
+    """Sums for every prefix of the keys whose columns are all set."""
     levels = []
     for depth, key in enumerate(ROLLUP_KEYS, 1):
         parents = ROLLUP_KEYS[: depth - 1]
@@ -53,25 +56,25 @@ def ad_rollup(df: DataFrame, ratios: bool = False) -> DataFrame:
     ``key`` names the level and ``value`` holds its last key. Rates are summed
     like any number; ``ratios`` adds rates worked out from the sums.
     """
-    return _with_ratios(_levels(df, [], _metrics(df)), ratios)
+    metrics = _metrics(df)
+    return _with_ratios(_levels(_finest(df, [], metrics), [], metrics), ratios)
 
 
 def ad_rollup_periods(df: DataFrame, as_of: str | dt.date, ratios: bool = False) -> DataFrame:
-    """The rollup over each report period, in one pass over the ad table."""
+    """The rollup over each report period, in one pass over the ad table.
+
+    Periods nest, so rows are summed in disjoint day bands before a band is
+    counted for every period it lies in.
+    """
     days = F.datediff(F.lit(days_before(as_of, 0)), F.col("date"))
-    start = days_before(as_of, max(PERIODS.values()) - 1)
-    window = df.where(F.col("date").between(start, days_before(as_of, 0)))
-    metrics = _metrics(df)
-    # Periods nest, so rows are first summed in disjoint day bands.
     bands = sorted(PERIODS.values())
     band = reduce(lambda c, b: c.when(days < b, F.lit(b)), bands[1:], F.when(days < bands[0], F.lit(bands[0])))
-    banded = window.withColumn("_band", band).groupBy("_band", *ROLLUP_KEYS).agg(
-        *[F.coalesce(F.sum(money(F.col(m))), F.lit(0)).cast("decimal(24,6)").alias(m) for m in metrics]
-    )
+    metrics = _metrics(df)
+    window = within_days(df, as_of, bands[-1], "date").withColumn("_band", band)
     member = F.array_compact(
         F.array(*[F.when(F.col("_band") <= n, F.lit(label)) for label, n in PERIODS.items()])
     )
-    per_period = banded.withColumn("period", F.explode(member)).drop("_band")
+    per_period = _finest(window, ["_band"], metrics).withColumn("period", F.explode(member))
     return _with_ratios(_levels(per_period, ["period"], metrics), ratios)
 
 

@@ -31,7 +31,7 @@ from ..functions import (
     unquote,
 )
 from ..operators import adchannels, clean, dedup, enrich, firstrow, funnel, identity, ltv, marts, metrics, rollup
-from ..session import scratch_dir
+from ..session import allow_skew_split, scratch_dir
 from ..sources import scans, sinks
 from ..streaming.ltv_stream import read_ltv, run_ltv_stream
 from .fixtures import AS_OF, fixture, table
@@ -49,8 +49,16 @@ RULES = ServiceRules(
 )
 
 
+def register(name: str, fn: Query) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        allow_skew_split(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[name] = run
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    register(fn.__name__, fn)
     return fn
 
 
@@ -65,7 +73,7 @@ def _count_query(key: str, metric: metrics.CountMetric) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return metrics.event_counts(_attributed(spark, sf_dir), metric)
 
-    QUERIES[f"{key}_by_campaign"] = run
+    register(f"{key}_by_campaign", run)
 
 
 for _key, _metric in {**metrics.count_metrics(), **metrics.store_count_metrics()}.items():
@@ -76,7 +84,7 @@ def _revenue_query(name: str, event: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return metrics.revenue_of(_attributed(spark, sf_dir), [event], name)
 
-    QUERIES[f"{name}_by_campaign"] = run
+    register(f"{name}_by_campaign", run)
 
 
 for _name, _event in metrics.revenue_metrics().items():

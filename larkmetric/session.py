@@ -32,6 +32,12 @@ def build_session(app_name: str = "larkmetric", master: str | None = None, **ext
     return builder.getOrCreate()
 
 
+def allow_skew_split(spark: SparkSession) -> None:
+    """In a session made elsewhere, let AQE split hot join keys as ours does."""
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    spark.conf.set(key, SETTINGS[key])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,11 +34,16 @@ def save_typed(df: DataFrame, path: str, doubles: list[str], flags: list[str]) -
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    """Gzip CSV with a header; missing values become 0, in text columns too."""
-    filled = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("0")).alias(c) for c in df.columns])
-    filled.write.mode("overwrite").option("header", True).option("escape", '"').csv(
-        path, compression="gzip"
-    )
+    """Gzip CSV with a header; NULL and NaN become 0, in text columns too."""
+
+    def filled(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("double", "float"):
+            c = F.nanvl(c, F.lit(0.0))
+        return F.coalesce(c.cast("string"), F.lit("0")).alias(name)
+
+    rows = df.select(*[filled(*column) for column in df.dtypes])
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression="gzip")
 
 
 def save_report(df: DataFrame, path: str) -> None:
