@@ -39,7 +39,7 @@ def save_csv(df: DataFrame, path: str) -> None:
     def filled(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            c = F.nanvl(c, F.lit(0.0))
+            c = F.when(~F.isnan(c), c)
         return F.coalesce(c.cast("string"), F.lit("0")).alias(name)
 
     rows = df.select(*[filled(*column) for column in df.dtypes])

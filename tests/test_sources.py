@@ -1,0 +1,164 @@
+"""Scans and sinks on files."""
+
+import datetime as dt
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from larkmetric.sources import scans, sinks, tables
+
+
+def legacy_day(spark, base, day, data, schema):
+    """One daily file with the date in its name, as the older layout has it."""
+    spark.createDataFrame(data, schema).toPandas().to_parquet(f"{base}/date={day}.parquet.gz", compression="gzip")
+
+
+def test_period_files_prune_by_name(spark, rows, tmp_path):
+    for i in range(1, 10):
+        legacy_day(spark, tmp_path, f"2024-01-0{i}", [(f"e{i}", i)], "event string, n long")
+    df = scans.read_period_files(spark, str(tmp_path), "2024-01-03", "2024-01-04")
+    assert rows(df, "event", "Date") == [("e3", "2024-01-03"), ("e4", "2024-01-04")]
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 2
+
+
+def test_missing_days_and_columns_are_tolerated(spark, rows, tmp_path):
+    legacy_day(spark, tmp_path, "2024-01-01", [("a", 1)], "event string, n long")
+    legacy_day(spark, tmp_path, "2024-01-05", [("b", "x")], "event string, extra string")
+    df = scans.read_period_files(spark, str(tmp_path), "2024-01-01", "2024-01-31", ["event", "extra", "absent"])
+    assert rows(df) == [("a", None), ("b", "x")]
+
+
+def test_csv_days_may_differ(spark, rows, tmp_path):
+    for day, text in (("2024-01-01", "a,b\n1,x\n"), ("2024-01-03", "a,c\n2,y\n")):
+        (tmp_path / f"date={day}.csv.gz").write_bytes(gzip.compress(text.encode()))
+    df = scans.read_period_csv(spark, str(tmp_path), "2024-01-01", "2024-01-05", ["a", "b", "c", "Date"])
+    assert rows(df) == [("1", "x", None, "2024-01-01"), ("2", None, "y", "2024-01-03")]
+    with pytest.raises(LookupError):
+        scans.read_period_csv(spark, str(tmp_path), "2025-01-01", "2025-01-02")
+
+
+def test_regex_scan(spark, rows, tmp_path):
+    for name in ("report_a", "report_b", "other"):
+        spark.createDataFrame([("x",), ("x",)], "v string").write.parquet(f"{tmp_path}/{name}")
+    df = scans.read_matching(spark, str(tmp_path), r"/report_[ab]/", ["v", "absent"])
+    assert rows(df) == [("x",)] * 4
+    assert scans.read_matching(spark, str(tmp_path), r"/report_[ab]/", distinct=True).count() == 1
+
+
+def test_snapshots(spark, rows, tmp_path):
+    path = str(tmp_path / "snap")
+    day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 5)
+    schema = "v string, date date"
+    sinks.save_snapshot(spark.createDataFrame([("a", day1), ("b", day2)], schema), path)
+    sinks.save_snapshot(spark.createDataFrame([("c", day2)], schema), path)
+    sinks.save_snapshot(spark.createDataFrame([], schema), path)
+    df = spark.read.parquet(path)
+    assert rows(df) == [("a", day1), ("c", day2)]
+    assert rows(scans.latest_snapshot(df, "2024-01-09"), "v") == [("c",)]
+    assert rows(scans.latest_snapshot(df, "2024-01-04"), "v") == [("a",)]
+    assert rows(scans.latest_snapshot(df, "2024-06-01", look_back=30), "v") == []
+    assert rows(scans.read_period(spark, path, "2024-01-02", "2024-01-31", ["v", "absent"])) == [("c",)]
+    assert rows(scans.require_snapshot(df, day1), "v") == [("a",)]
+    with pytest.raises(LookupError):
+        scans.require_snapshot(df, "2024-01-02")
+
+
+def test_snapshot_files_are_gzip(spark, tmp_path):
+    path = tmp_path / "snap"
+    sinks.save_snapshot(spark.createDataFrame([("a", "2024-01-01")], "v string, date string"), str(path))
+    assert [f.suffixes[-2:] for f in path.rglob("*.parquet")] == [[".gz", ".parquet"]]
+
+
+def test_report_folders(spark, rows, tmp_path):
+    path = str(tmp_path / "report")
+    day = dt.date(2024, 1, 30)
+    data = [("monthly", "campaign", day, 1), ("daily", "media_source", day, 2)]
+    sinks.save_report(spark.createDataFrame(data, "period string, level string, date date, mau int"), path)
+    assert rows(scans.read_report(spark, path, "daily", day, ["level", "mau"])) == [("media_source", 2)]
+    assert (tmp_path / "report" / "period=monthly" / "level=campaign" / "date=2024-01-30").is_dir()
+
+
+def test_typed_save(spark, rows, tmp_path):
+    df = spark.createDataFrame([("x", None, "2024-01-01"), ("2.5", "true", "2024-01-01")], "n string, f string, date string")
+    sinks.save_typed(df, str(tmp_path / "t"), ["n"], ["f"])
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "n", "f") == [(0.0, False), (2.5, True)]
+
+
+def test_csv_sink_fills_zero(spark, rows, tmp_path):
+    df = spark.createDataFrame([("a,\"b\"", None), (None, float("nan")), ("c", 1.5)], "v string, n double")
+    sinks.save_csv(df, str(tmp_path / "c"))
+    got = scans.read_csv(spark, str(tmp_path / "c"))
+    assert {t for _, t in got.dtypes} == {"string"}
+    assert rows(got) == [("0", "0"), ('a,"b"', "0"), ("c", "1.5")]
+
+
+def test_attribution_files(spark, rows, tmp_path):
+    header = "Event Name,Event Time,AppsFlyer ID,Customer User ID,Extra\n"
+    names = ["ios_2024-01-30_2024-01-30_inapp", "aos_2024-01-30_2024-01-30_org_install", "aos_2024-01-30_2024-01-30_reinstall", "aos_2024-01-29_2024-01-29_inapp"]
+    for i, name in enumerate(names):
+        text = f"{header}e{i},2024-01-30 10:00:0{i},d{i},u{i},z\n"
+        (tmp_path / f"{name}.csv.gz").write_bytes(gzip.compress(text.encode()))
+    df = scans.shape_attribution(scans.read_attribution(spark, str(tmp_path), "2024-01-30"))
+    day = dt.date(2024, 1, 30)
+    assert rows(df, "event", "appsflyer_id", "user_id", "appsflyer_type", "event_date") == [
+        ("e0", "d0", "u0", "inapp", day),
+        ("e1", "d1", "u1", "org_install", day),
+    ]
+
+
+def test_exports(spark, rows, tmp_path):
+    lines = [
+        '{"event": "a", "properties": {"distinct_id": "u1", "media_source": "fb", "corp_name": null}}',
+        '{"event": "b", "properties": {"distinct_id": "u2", "corp_name": " "}}',
+        '{"event": "c", "properties": {"distinct_id": "u3", "corp_name": "x"}}',
+    ]
+    (tmp_path / "f.json.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    df = scans.read_json(spark, str(tmp_path / "f.json.gz"))
+    assert rows(scans.flatten_export(df), "event", "distinct_id") == [("a", "u1"), ("b", "u2"), ("c", "u3")]
+    assert rows(scans.attributed_users(df), "distinct_id") == [("u1",), ("u3",)]
+
+
+class Reader:
+    """Stands in for the JDBC reader: no database is started for tests."""
+
+    def __init__(self, spark, bounds):
+        self.spark, self.bounds, self.calls = spark, bounds, []
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((table, options))
+        if table.startswith("(SELECT count"):
+            return self.spark.createDataFrame([self.bounds], "n long, lo long, hi long")
+        return self.spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, v string")
+
+
+def test_small_tables_are_read_whole(spark, rows):
+    reader = Reader(spark, (300_000, 1, 9))
+    assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(1, "a"), (2, "b")]
+    assert "numPartitions" not in reader.calls[-1][1]
+
+
+def test_large_tables_are_read_in_ranges(spark, rows):
+    reader = Reader(spark, (900_001, 5, 7_000_000))
+    assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(1, "a"), (2, "b")]
+    options = reader.calls[-1][1]
+    assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 7_000_000, 4)
+
+
+def test_latest_snapshot_reads_one_partition(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    spark.range(30).select("id", F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("date")).transform(
+        lambda df: sinks.save_snapshot(df, path) or df
+    )
+    df = scans.latest_snapshot(spark.read.parquet(path), "2024-02-10")
+    assert [r.id for r in df.collect()] == [29]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].splitlines()[0]
+    assert "ubquery" in filters
