@@ -1,4 +1,4 @@
-from .dates import day_difference, days_before, local_event_date, text_to_date
+from .dates import day_difference, days_before, local_event_date, local_today, text_to_date
 from .jsons import any_named, id_list_text, id_values, json_decode, json_value_map, keep_keys
 from .numbers import (
     clean_number,
@@ -29,6 +29,7 @@ __all__ = [
     "json_value_map",
     "keep_keys",
     "local_event_date",
+    "local_today",
     "money",
     "os_class",
     "percent",

@@ -14,6 +14,11 @@ def as_date(value: str | dt.date) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
+def local_today(utc_offset_hours: int = 9) -> dt.date:
+    """Today's date where the business is; the usual ``as_of`` is the day before."""
+    return dt.datetime.now(dt.timezone(dt.timedelta(hours=utc_offset_hours))).date()
+
+
 def days_before(as_of: str | dt.date, n: int) -> dt.date:
     return as_date(as_of) - dt.timedelta(days=n)
 

@@ -31,9 +31,13 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return reader.json(path)
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, every column as text."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """CSV with a header, every column as text.
+
+    ``multi_line`` is for cells with line breaks; such files cannot be split.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return reader.csv(path)
 
 
 def _wanted(df: DataFrame, columns: list[str] | None) -> DataFrame:
@@ -88,11 +92,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_period(
-    spark: SparkSession, path: str, start: str | dt.date, end: str | dt.date, columns: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    start: str | dt.date,
+    end: str | dt.date,
+    columns: list[str] | None = None,
+    date: str = "date",
 ) -> DataFrame:
     """A snapshot folder partitioned by ``date``: the days of the period it has."""
     df = spark.read.option("mergeSchema", True).parquet(path)
-    return _wanted(df.where(F.col("date").between(days_before(start, 0), days_before(end, 0))), columns)
+    return _wanted(df.where(F.col(date).between(days_before(start, 0), days_before(end, 0))), columns)
 
 
 def latest_snapshot(
