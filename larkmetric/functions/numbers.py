@@ -21,7 +21,7 @@ def clean_number(c: Column) -> Column:
 
     The shape is tested first: a failing cast costs an exception per row.
     """
-    v = F.regexp_replace(c, "[^0-9.]", "")
+    v = F.regexp_replace(c, "[^0-9.]+", "")
     return F.when(v.rlike(r"^([0-9]+[.]?[0-9]*|[.][0-9]+)$"), v).try_cast("double")
 
 
@@ -31,10 +31,9 @@ def clean_sheet_number(c: Column) -> Column:
     return F.when(broken, F.lit(0.0)).otherwise(F.coalesce(clean_number(c), F.lit(0.0)))
 
 
-def to_number(df, name: str) -> Column:
-    """Clean a text column; numbers are only widened, so a sign survives."""
-    c = F.col(f"`{name}`")
-    return clean_number(c) if dict(df.dtypes)[name] == "string" else c.cast("double")
+def to_number(c: Column, kind: str) -> Column:
+    """Clean a text column; a number is only widened, so its sign survives."""
+    return clean_number(c) if kind == "string" else c.cast("double")
 
 
 def text_to_long(c: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ def os_class(*columns: Column) -> Column:
         v = F.lower(c)
 
         def has(*words: str) -> Column:
-            return v.rlike("|".join(words))
+            return reduce(or_, [F.contains(v, F.lit(w)) for w in words])
 
         return (
             F.when(has("android", "samsung"), F.lit("aos"))

@@ -19,15 +19,16 @@ def _shape(df: DataFrame, layout: ChannelLayout) -> DataFrame:
     By position: an export may have both ``Date`` and ``date``.
     """
     dropped = set(layout.drops) | set(config.INDEX_COLUMNS)
-    by_place = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    columns = df.dtypes
+    places = [f"_{i}" for i in range(len(columns))]
     out: list[Column] = []
-    for place, name in zip(by_place.columns, df.columns):
+    for place, (name, kind) in zip(places, columns):
         new = layout.renames.get(name, name)
         if name in dropped or new in dropped:
             continue
-        value = to_number(by_place, place) if new in layout.numbers else F.col(place)
+        value = to_number(F.col(place), kind) if new in layout.numbers else F.col(place)
         out.append(value.alias(new))
-    return by_place.select(*out)
+    return df.toDF(*places).select(*out)
 
 
 def facebook(df: DataFrame) -> DataFrame:

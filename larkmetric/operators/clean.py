@@ -136,12 +136,10 @@ def within_days(df: DataFrame, as_of: str | dt.date, days: int, date: str = "eve
 def with_periods(df: DataFrame, as_of: str | dt.date, date: str = "event_date") -> DataFrame:
     """One row per report period a row belongs to; a single pass over the input."""
     window = within_days(df, as_of, max(PERIODS.values()), date)
-    labels = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(date) >= days_before(as_of, days - 1), F.lit(label))
-                for label, days in PERIODS.items()
-            ]
-        )
+    labels = F.array(
+        *[
+            F.when(F.col(date) >= days_before(as_of, days - 1), F.lit(label))
+            for label, days in PERIODS.items()
+        ]
     )
-    return window.withColumn("period", F.explode(labels))
+    return window.withColumn("period", F.explode(labels)).where(F.col("period").isNotNull())

@@ -33,18 +33,20 @@ def _levels(finest: DataFrame, extra: list[str], metrics: list[str]) -> DataFram
     for depth, key in enumerate(ROLLUP_KEYS, 1):
         parents = ROLLUP_KEYS[: depth - 1]
         present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ROLLUP_KEYS[:depth]])
-        row = F.struct(
-            F.lit(key).alias("key"),
-            F.col(key).alias("value"),
-            *[
-                (F.col(k) if k in parents else F.lit(None).cast("string")).alias(k)
-                for k in ROLLUP_KEYS[:-1]
-            ],
+        levels.append(
+            F.struct(
+                F.when(present, F.lit(key)).alias("key"),
+                F.col(key).alias("value"),
+                *[
+                    (F.col(k) if k in parents else F.lit(None).cast("string")).alias(k)
+                    for k in ROLLUP_KEYS[:-1]
+                ],
+            )
         )
-        levels.append(F.when(present, row))
     names = ["key", "value", *ROLLUP_KEYS[:-1]]
     return (
-        finest.select(*extra, *metrics, F.inline(F.array_compact(F.array(*levels))))
+        finest.select(*extra, *metrics, F.inline(F.array(*levels)))
+        .where(F.col("key").isNotNull())
         .groupBy(*extra, *names)
         .agg(*[F.sum(m).cast("double").alias(m) for m in metrics])
     )
@@ -71,10 +73,9 @@ def ad_rollup_periods(df: DataFrame, as_of: str | dt.date, ratios: bool = False)
     band = reduce(lambda c, b: c.when(days < b, F.lit(b)), bands[1:], F.when(days < bands[0], F.lit(bands[0])))
     metrics = _metrics(df)
     window = within_days(df, as_of, bands[-1], "date").withColumn("_band", band)
-    member = F.array_compact(
-        F.array(*[F.when(F.col("_band") <= n, F.lit(label)) for label, n in PERIODS.items()])
-    )
-    per_period = _finest(window, ["_band"], metrics).withColumn("period", F.explode(member))
+    member = F.array(*[F.when(F.col("_band") <= n, F.lit(label)) for label, n in PERIODS.items()])
+    banded = _finest(window, ["_band"], metrics).withColumn("period", F.explode(member))
+    per_period = banded.where(F.col("period").isNotNull())
     return _with_ratios(_levels(per_period, ["period"], metrics), ratios)
 
 

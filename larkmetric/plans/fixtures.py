@@ -7,8 +7,10 @@ the same rows. Session time zone plays no part.
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 AS_OF = "2024-01-30"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -237,15 +239,23 @@ def with_fixtures(body: str, *extra: str) -> str:
     return f"WITH {', '.join(ctes)}{tail}"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     used = " ".join([SQL[n] for n in _names(name)])
-    scans = [
-        f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)"
-        for t in TABLES
-        if re.search(rf"\b{t}\b", used)
-    ]
+    scans = []
+    for given in TABLES:
+        if re.search(rf"\b{given}\b", used):
+            view = f"given_{given}_{zlib.crc32(sf_dir.encode()):08x}"
+            table(spark, sf_dir, given).createOrReplaceTempView(view)
+            scans.append(f"{given} AS (SELECT * FROM {view})")
     return spark.sql(with_fixtures(f"SELECT * FROM {name}", *scans))

@@ -26,7 +26,7 @@ def test_clean_sheet_number(spark):
 
 def test_numbers_keep_their_sign(spark):
     df = spark.createDataFrame([(-5.0, "-5")], "n double, t string")
-    row = df.select(fn.to_number(df, "n").alias("n"), fn.to_number(df, "t").alias("t")).first()
+    row = df.select(fn.to_number(df.n, "double").alias("n"), fn.to_number(df.t, "string").alias("t")).first()
     assert tuple(row) == (-5.0, 5.0)
 
 
