@@ -11,6 +11,7 @@ from .. import config
 from ..config import ChannelLayout
 from ..functions import clean_number, to_number
 from .firstrow import first_per_key
+from .joins import hot_join
 
 
 def _shape(df: DataFrame, layout: ChannelLayout) -> DataFrame:
@@ -145,9 +146,7 @@ def join_search_ads(
     c = prefixed(campaigns, "campaign", config.SEARCH_CAMPAIGN_FIELDS)
     g = prefixed(adgroups, "adgroup", config.SEARCH_ADGROUP_FIELDS)
     cs, gs = prefixed(campaign_stats, "campaign"), prefixed(adgroup_stats, "adgroup")
-    return (
-        c.join(cs, c["campaign_nccCampaignId"] == cs["campaign_id"], "left")
-        .join(g, c["campaign_nccCampaignId"] == g["adgroup_nccCampaignId"])
-        .join(gs, g["adgroup_nccAdgroupId"] == gs["adgroup_id"])
-        .drop("campaign_nccCampaignId")
-    )
+    groups = gs.join(g, gs["adgroup_id"] == g["adgroup_nccAdgroupId"])
+    with_stats = c.join(cs, c["campaign_nccCampaignId"] == cs["campaign_id"], "left")
+    key = "adgroup_nccCampaignId"
+    return hot_join(groups, with_stats.withColumnRenamed("campaign_nccCampaignId", key), key, "inner")

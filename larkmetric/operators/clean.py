@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import BRAND, CHALLENGE, CORP, PERIODS, SENTINELS, EventNames
 from ..functions import days_before, is_true, local_event_date, text_to_double, text_to_long
+from .joins import hot_join
 
 
 def null_sentinels(df: DataFrame, sentinels: list[str] = SENTINELS) -> DataFrame:
@@ -79,11 +80,8 @@ def prefix_by_membership(
     )
     brand = F.when(F.col("_brand"), F.lit("brand_")).otherwise(F.lit(""))
     corp = F.when(F.col("_corp"), F.lit("corp_")).otherwise(F.lit(""))
-    return (
-        df.join(flags, id_col, "left")
-        .withColumn("event", F.concat(corp, brand, "event"))
-        .drop("_brand", "_corp")
-    )
+    labelled = hot_join(df, flags, id_col).withColumn("event", F.concat(corp, brand, "event"))
+    return labelled.select(*df.columns)
 
 
 def corrected_event(

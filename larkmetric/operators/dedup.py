@@ -2,44 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ARRAY_LIMIT = 100_000
+# A group's values fall into this many buckets. Buckets of up to PER_BUCKET values
+# are listed together, in at most BUCKETS * PER_BUCKET values; fuller ones alone.
+BUCKETS = 65_536
+PER_BUCKET = 8
 
 
-def dedup_events(df: DataFrame, collect: str, array_limit: int = ARRAY_LIMIT) -> DataFrame:
+def dedup_events(
+    df: DataFrame, collect: str, buckets: int = BUCKETS, per_bucket: int = PER_BUCKET
+) -> DataFrame:
     """Group by all columns but ``collect`` and list that column's values, sorted.
 
-    NULLs count as equal in the group and are left out of the list. A group of
-    more than ``array_limit`` values is spread over several rows, numbered by
-    ``part`` (0 is always there), so that no task and no row holds it whole;
-    each value is in one part. Rows with ``part = 0`` are the events.
+    NULLs count as equal in the group and are left out of the list. No task and
+    no row holds the whole of a group with very many values: it is spread over
+    several rows, numbered by ``part``, with each value in one of them. Part 0 is
+    always there, so rows with ``part = 0`` are the events; a group of some ten
+    thousand values or fewer has no other part.
     """
     others = [c for c in df.columns if c != collect]
-    # Two hashes of the group; a struct of the columns would be a wide join key.
-    keyed = df.distinct().withColumns(
-        {"_h1": F.xxhash64(*others), "_h2": F.hash(*others)}
-    )
-    keys = ["_h1", "_h2"]
-    # At most rows / array_limit groups come out of this.
-    hot = (
-        keyed.groupBy(*keys)
-        .agg(F.count(collect).alias("_n"))
-        .where(F.col("_n") > array_limit)
-        .withColumn("_parts", F.ceil(F.col("_n") * 2 / array_limit).cast("int"))
-        .drop("_n")
-    )
-    part = F.pmod(F.xxhash64(collect, F.lit("part")), F.col("_parts")).cast("int")
-    # A NULL value belongs to no part of its own: it keeps part 0 present.
-    placed = keyed.join(hot, keys, "left").withColumn(
-        "part", F.when(F.col(collect).isNotNull(), part)
-    )
-    # The hashes lead the grouping, so the join's partitioning serves it too.
+    bucket = F.pmod(F.xxhash64(collect), F.lit(buckets)).cast("int")
+    per_group = df.groupBy(*others, bucket.alias("_bucket")).agg(F.collect_set(collect).alias("_ids"))
+    kind = dict(df.dtypes)[collect]
+
+    def row(part: Column, ids: Column) -> Column:
+        return F.struct(part.alias("part"), ids.alias("_ids"))
+
+    ids, none = F.col("_ids"), F.array().cast(f"array<{kind}>")
+    full = F.size("_ids") > per_bucket
+    rows = F.when(
+        full, F.array(row(F.col("_bucket") + 1, ids), row(F.lit(0), none))
+    ).otherwise(F.array(row(F.lit(0), ids)))
     return (
-        placed.groupBy(*keys, *others, F.coalesce("part", F.lit(0)).alias("part"))
-        .agg(F.array_sort(F.collect_list(collect)).alias(collect))
-        .select(*others, "part", collect)
+        per_group.select(*others, F.inline(rows))
+        .groupBy(*others, "part")
+        .agg(F.array_sort(F.flatten(F.collect_list("_ids"))).alias(collect))
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TEST_VALUES, USER_COLUMNS, EventNames
 from .clean import corrected_event, ensure_column, first_order, null_sentinels, with_event_date
-from .joins import spread_nulls
+from .joins import hot_join
 
 CHALLENGE_COLUMNS = ["service_type", "is_brand", "is_corp", "revenue_from_brand", "revenue_from_challenge"]
 
@@ -23,7 +23,7 @@ def all_users(*snapshots: DataFrame) -> DataFrame:
 
 def attribute(events: DataFrame, users: DataFrame) -> DataFrame:
     """Events with their user's attribution; a user on record twice fans out."""
-    return null_sentinels(events.join(users, "distinct_id", "left"), TEST_VALUES)
+    return null_sentinels(hot_join(events, users, "distinct_id"), TEST_VALUES)
 
 
 def other_events(events: DataFrame, handled: list[str]) -> DataFrame:
@@ -60,7 +60,7 @@ def enrich(
     key = F.when(challenge_kind, _mart_key("challenge", rows["challenge_id"])).when(
         store_kind, _mart_key("store", rows["order_no"])
     )
-    joined = rows.join(mart, spread_nulls(key, "distinct_id", "time") == mart["_key"], "left").drop("_key")
+    joined = hot_join(rows.withColumn("_key", key), mart, "_key").drop("_key")
     flag = F.col("first").cast("string").try_cast("boolean")
     enriched = joined.withColumns(
         {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_custom_id, is_uuid_like
 from .firstrow import first_per_key
+from .joins import hot_join
 
 
 def use_alternate_id(df: DataFrame, id_col: str, alternates: list[str]) -> DataFrame:
@@ -32,7 +33,7 @@ def map_ids(df: DataFrame, device: str, id_col: str, order: list[str]) -> DataFr
     """Give every row of a device the custom id found for it in the batch."""
     ids = known_ids(df, device, id_col, order).withColumnRenamed(id_col, "_known")
     return (
-        df.join(ids, device, "left")
+        hot_join(df, ids, device)
         .withColumn(id_col, F.coalesce("_known", id_col))
         .select(*df.columns)
     )
@@ -57,7 +58,7 @@ def devices_to_users(df: DataFrame, user_info: DataFrame, id_col: str = "distinc
     owners = device_owners(user_info)
     devices = df.where(device)
     mapped = (
-        devices.join(owners, devices[id_col] == owners["device_id"], "left")
+        hot_join(devices, owners.withColumnRenamed("device_id", id_col), id_col)
         .withColumn(id_col, F.coalesce("owner_id", id_col))
         .select(*df.columns)
     )

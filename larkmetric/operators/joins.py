@@ -1,23 +1,40 @@
-"""Join helpers for hot and missing keys."""
+"""Joins for facts with hot and missing keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+UNHASHABLE = ("map", "variant")
+
 
 def spread_nulls(key: Column, *by: str, ways: int = 4096) -> Column:
     """A text join key whose NULLs, which match nothing, do not share one task."""
     return F.coalesce(key, F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*by), F.lit(ways))))
 
 
+def hot_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Join facts that may have most rows under one key, or under none.
+
+    AQE splits a hot partition only if both sides come straight from a shuffle
+    made for the join. A ``dim`` that was just grouped by its key would skip
+    that shuffle; the concatenation makes it a key of its own, so the (smaller)
+    dim is shuffled for the join, and the hot facts can be split.
+    """
+    by = [name for name, kind in facts.dtypes if name != on and not kind.startswith(UNHASHABLE)]
+    left = facts[on].cast("string")
+    if how == "left" and by:
+        left = spread_nulls(left, *[f"`{name}`" for name in by])
+    right = dim.withColumnRenamed(on, "_on")
+    return facts.join(right, left == F.concat(F.lit(""), right["_on"].cast("string")), how).drop("_on")
+
+
 def full_outer(dim: DataFrame, facts: DataFrame, on: str) -> DataFrame:
     """``dim`` full-outer-join ``facts`` for a fact side with hot keys.
 
     Spark cannot split a hot key in a full outer join, but it can in a left
-    join and in an anti join: facts with what matches, then unmatched ``dim`` rows.
+    join: facts with what matches, then the ``dim`` rows without facts.
     Keys are compared with ``=``, so NULL keys match nothing and stay.
     """
-    matched = facts.join(dim, on, "left")
     unmatched = dim.join(facts.select(on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    return hot_join(facts, dim, on).unionByName(unmatched, allowMissingColumns=True)

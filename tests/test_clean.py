@@ -118,14 +118,14 @@ def test_dedup_splits_a_hot_group_and_loses_nothing(spark):
     data = [("hot", "h", f"i{n}") for n in range(1000)] + [("hot", "h", None)]
     data += [(f"e{rng.randrange(200)}", None, f"j{rng.randrange(900)}") for _ in range(2000)]
     df = spark.createDataFrame(data + data[:700], "e string, u string, id string")
-    out = dedup.dedup_events(df, "id", array_limit=100).collect()
+    out = dedup.dedup_events(df, "id", buckets=32, per_bucket=4).collect()
     got = {}
     for r in out:
         got.setdefault((r.e, r.u), []).extend(r.id)
     assert all(len(v) == len(set(v)) for v in got.values())
     assert {k: set(v) for k, v in got.items()} == brute_dedup(data)
     hot = [r for r in out if r.e == "hot"]
-    assert len(hot) > 10 and max(len(r.id) for r in hot) <= 100
+    assert len(hot) > 20 and max(len(r.id) for r in hot) <= 128
     assert sum(r.part == 0 for r in out) == len(got)
 
 

@@ -1,13 +1,12 @@
 """What the plans must and must not hold."""
 
-import re
-
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from larkmetric.operators import dedup, enrich, metrics
+from larkmetric.operators import clean, dedup, enrich, identity, metrics
+from larkmetric.operators.joins import full_outer
 
 QUERIES = entry_point.queries()
 
@@ -30,11 +29,6 @@ def test_reports_do_not_expand(spark, name):
     assert "Expand" not in plan_of(QUERIES[name](spark, SF_DIR))
 
 
-def exchanges(spark, conf, df):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    return len(re.findall(r"Exchange hashpartitioning", plan_of(df)))
-
-
 def test_report_shuffles(spark, conf):
     """Users with their day bands, attribution, result: events move once, summed."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
@@ -54,22 +48,59 @@ def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan_of(QUERIES["parquet_scan"](spark, SF_DIR))
 
 
-def test_a_hot_join_key_is_split(spark, conf):
-    """A third of the events have one user: AQE splits that user's rows."""
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
-    )
+SMALL_SPLITS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "16KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "8KB",
+}
+
+
+def hot_events(spark, n=60000):
+    """A third of the rows under one id."""
     ids = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id") % 5000))
-    events = spark.range(60000, numPartitions=6).select("id", ids.alias("distinct_id"), F.lit("e").alias("event"))
-    users = spark.range(5000).select(F.concat(F.lit("u"), "id").alias("distinct_id"), F.lit("a").alias("corp_name"), F.lit("s").alias("media_source"), F.lit("c").alias("campaign"))
-    df = enrich.attribute(events, users.unionByName(users.limit(1).withColumn("distinct_id", F.lit("hot"))))
-    plan = plan_of(df, run=True)
-    assert "skew=true" in plan
-    assert df.count() == 60000
+    return spark.range(n, numPartitions=6).select("id", ids.alias("k"), F.lit("e").alias("event"))
+
+
+def test_attribution_splits_a_hot_user(spark, conf):
+    conf(**SMALL_SPLITS)
+    events = hot_events(spark).withColumnRenamed("k", "distinct_id")
+    users = events.select("distinct_id").distinct().selectExpr(
+        "distinct_id", "'a' corp_name", "'s' media_source", "'c' campaign"
+    )
+    df = enrich.attribute(events, users)
+    assert "skew=true" in plan_of(df, run=True)
+    assert df.where("media_source = 's'").count() == 60000
+
+
+def test_identity_splits_a_hot_device(spark, conf):
+    """The device map is grouped by device, yet the hot device's rows are split."""
+    conf(**SMALL_SPLITS)
+    events = hot_events(spark).withColumnRenamed("k", "device").withColumn("user", F.concat(F.lit("x"), "device"))
+    df = identity.map_ids(events, "device", "user", ["id"])
+    assert "skew=true" in plan_of(df, run=True)
+    assert df.where("user = concat('x', device)").count() == 60000
+
+
+def test_membership_splits_a_hot_id_and_spreads_missing_ones(spark, conf):
+    conf(**SMALL_SPLITS)
+    events = hot_events(spark).withColumnRenamed("k", "challenge_id")
+    types = events.selectExpr("challenge_id", "'1' service_type")
+    df = clean.prefix_by_membership(events, types)
+    assert "skew=true" in plan_of(df, run=True)
+    assert df.where("event = 'brand_e'").count() == 60000
+    no_ids = events.withColumn("challenge_id", F.lit(None).cast("string"))
+    assert clean.prefix_by_membership(no_ids, types).where("event = 'e'").count() == 60000
+
+
+def test_outer_join_splits_a_hot_key(spark, conf):
+    conf(**SMALL_SPLITS)
+    facts = hot_events(spark)
+    dim = facts.select("k").distinct().union(spark.createDataFrame([("none",)], "k string")).withColumn("d", F.lit(1))
+    df = full_outer(dim, facts, "k")
+    assert "skew=true" in plan_of(df, run=True)
+    assert df.count() == 60001
 
 
 def test_hot_user_reaches_the_join_summed(spark, conf):
@@ -87,9 +118,7 @@ def test_hot_user_reaches_the_join_summed(spark, conf):
     assert activity.agg(F.sum("signups")).first()[0] == 30000
 
 
-def test_dedup_reads_its_input_once(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+def test_dedup_shuffles_twice_and_reads_once(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").cast("string").alias("v"))
-    out = dedup.dedup_events(df, "v", array_limit=50)
-    plan = plan_of(out, run=True)
-    assert "ReusedExchange" in plan
+    plan = plan_of(dedup.dedup_events(df, "v"))
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Range ") == 1
