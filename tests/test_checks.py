@@ -7,6 +7,8 @@ from compare import connect, difference
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
+from larkmetric.plans.checks import CHECKS
+from larkmetric.plans.queries import QUERIES
 
 SF = os.environ.get("CHECK_SF_DIR", SF_DIR)
 
@@ -17,10 +19,12 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(CHECKS) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_check(spark, duck, name):
     df = entry_point.queries()[name](spark, SF)
     assert difference(df, duck, entry_point.oracle_sql()[name]) is None
