@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, exact_dedup, packing, simhash, token_counts
+from larkmetric.llm import decontaminate, exact_dedup, folds, language, packing, quality, simhash, token_counts, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -29,6 +29,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> language.Languages:
+    docs = read(spark, sf_dir, "documents")
+    return language.learn(docs.where(folds.fold(F.col("doc_id"), 3) != 1))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = docs.select(
+        "doc_id",
+        folds.held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        language.identify(language_model(spark, sf_dir), F.col("text")).alias("found"),
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.languages", "found.shares")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -38,6 +53,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    sample = folds.labelled_sample(docs, labels, "toxic", 4, 2, toxicity.MAX_ROWS)
+    scored = docs.select(
+        "doc_id",
+        folds.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        toxicity.score(toxicity.learn(sample), F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -59,12 +85,26 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    sample = folds.labelled_sample(docs, labels, "quality", 3, 1, quality.MAX_ROWS, extra=("n_chars",))
+    scored = docs.select(
+        "doc_id",
+        folds.held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        quality.score(quality.learn(sample), F.col("text"), F.col("n_chars")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash": op8_simhash,
+    "op10_quality": op10_quality,
 }
 
 CHECKS: dict[str, str] = {
