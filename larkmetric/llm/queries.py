@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, exact_dedup, folds, language, packing, quality, simhash, token_counts, toxicity
+from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, simhash, suffix_dedup, token_counts, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -29,6 +29,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def language_model(spark: SparkSession, sf_dir: str) -> language.Languages:
     docs = read(spark, sf_dir, "documents")
     return language.learn(docs.where(folds.fold(F.col("doc_id"), 3) != 1))
@@ -85,6 +95,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, had, lost = line_dedup.without_repeats(read(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select(
+        "doc_id",
+        F.col(had).cast("long").alias("n_lines"),
+        F.col(lost).cast("long").alias("n_removed"),
+        F.octet_length(text).cast("long").alias("n_bytes_kept"),
+        F.sha2(text, 256).alias("kept_sha256"),
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     sample = folds.labelled_sample(docs, labels, "quality", 3, 1, quality.MAX_ROWS, extra=("n_chars",))
@@ -97,6 +119,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
@@ -104,10 +127,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash": op8_simhash,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
 }
 
 CHECKS: dict[str, str] = {
+    "op1_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        s AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY md5(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) AS nth
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)
+        ), r AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new
+            FROM s WHERE nth > 1
+        ), g AS (
+            SELECT doc_id, min(i) AS low, max(i) + 100 AS high
+            FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM r) GROUP BY doc_id, n
+        ), p AS (
+            SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS before FROM g
+        ), k AS (
+            SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+                   string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) AS kept
+            FROM p JOIN d USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
     "op4_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
