@@ -133,10 +133,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 CHECKS: dict[str, str] = {
     "op1_suffix_dedup": r"""
-        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-        s AS (
-            SELECT doc_id, i, row_number() OVER (PARTITION BY md5(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) AS nth
-            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        m AS (
+            SELECT doc_id, i, md5(array_slice(b, i + 1, i + 100)) AS k
+            FROM (SELECT doc_id, b, unnest(range(0, octet_length(b) - 99)) AS i FROM d WHERE octet_length(b) >= 100)
+        ), s AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM m
         ), r AS (
             SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new
             FROM s WHERE nth > 1
@@ -147,12 +149,12 @@ CHECKS: dict[str, str] = {
             SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS before FROM g
         ), k AS (
             SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
-                   string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) AS kept
+                   string_agg(hex(array_slice(b, before + 1, low)), '' ORDER BY low) AS kept
             FROM p JOIN d USING (doc_id) GROUP BY doc_id
         )
-        SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+        SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
                coalesce(n_spans, 0) AS n_spans,
-               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+               sha256(unhex(coalesce(kept, '') || hex(array_slice(b, coalesce(last, 0) + 1, octet_length(b))))) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)
     """,
     "op4_exact_dedup": r"""

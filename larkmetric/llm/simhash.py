@@ -215,11 +215,12 @@ def near_groups(
     distance: int = DISTANCE,
     segments: tuple[int, ...] = SEGMENTS,
 ) -> DataFrame:
-    """``rid``, ``doc_id``, ``fp``, ``component_id`` of every row.
+    """``rid``, ``doc_id``, ``fp``, ``component_id``, ``root`` of every row.
 
     Rows are linked where their fingerprints differ in at most ``distance``
     bits; ``component_id`` is the smallest id that links reach (null if no row
-    there has an id). Equal fingerprints are one node, whatever their number.
+    there has an id), ``root`` its smallest fingerprint. Equal fingerprints are one
+    node, whatever their number.
     """
     marked = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
@@ -229,5 +230,14 @@ def near_groups(
         "simhash-roots",
     )
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of_root")
-    named = labelled.join(least, labelled["root"] == least["of_root"]).select(F.col("fp").alias("of"), "component_id")
-    return marked.join(named, marked["fp"] == named["of"]).select("rid", "doc_id", "fp", "component_id")
+    named = labelled.join(least, labelled["root"] == least["of_root"]).select(F.col("fp").alias("of"), "component_id", "root")
+    return marked.join(named, marked["fp"] == named["of"]).select("rid", "doc_id", "fp", "component_id", "root")
+
+
+def repeated(groups: DataFrame) -> DataFrame:
+    """``rid`` of all rows of ``near_groups`` but one in each group: the smallest id's, null last, then the first."""
+    best = groups.groupBy(F.col("root").alias("of")).agg(
+        F.min(F.struct(F.isnull("doc_id"), "doc_id", "rid")).alias("best"), F.count("*").alias("n")
+    )
+    several = best.where("n > 1").select((F.col("of") + F.lit(0)).alias("of"), F.col("best.rid").alias("stays"))
+    return groups.join(several, groups["root"] == several["of"]).where("rid != stays").select("rid")

@@ -44,3 +44,14 @@ def tagged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         docs[id_col].alias("doc_id"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )
+
+
+def without_rows(docs: DataFrame, rids: DataFrame, name: str) -> DataFrame:
+    """``docs``, all columns, less the rows that ``tagged`` gave one of ``rids``.
+
+    The rids are written first, so Spark knows their size before it picks the join.
+    """
+    rid = free_name(docs, "_rid")
+    gone = stored(rids, name).withColumnRenamed("rid", f"{rid}_gone")
+    rows = docs.withColumn(rid, F.monotonically_increasing_id())
+    return rows.join(gone, F.col(rid) == F.col(f"{rid}_gone"), "left_anti").select(docs.columns)
