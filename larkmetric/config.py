@@ -12,6 +12,11 @@ from dataclasses import dataclass
 SENTINELS = ["None", "", "00000000-0000-0000-0000-000000000000"]
 TEST_VALUES = ["", "None", "test", "테스트"]
 TEXT_TRUE = ["true", "True"]
+
+# --- fixed values: words that name a device class ------------------------------
+AOS_WORDS = ["android", "samsung"]
+IOS_WORDS = ["ios", "ipad", "mac", "iphone", "apple"]
+WEB_WORD, MOBILE_WORD = "browser", "mobile"
 ORGANIC = "organic"
 
 # --- fixed values: event log columns ---------------------------------------
@@ -65,8 +70,8 @@ ATTRIBUTION_SKIPPED = ["reinstall", "reinapp"]
 # --- report periods: label -> days looked back, as_of included ---------------
 PERIODS = {"monthly": 30, "weekly": 7, "daily": 1}
 
-# Database tables with more rows are read in key ranges.
-WHOLE_READ_ROWS = 300_000
+# Rows of a database table that one task reads, about.
+ROWS_PER_TASK = 300_000
 
 # The local day of an event is its UTC time less this many hours.
 EVENT_DATE_SHIFT_HOURS = 9

@@ -6,8 +6,10 @@ from .numbers import (
     is_float,
     is_true,
     money,
+    money_sum,
     percent,
     text_to_double,
+    text_to_id,
     text_to_long,
     to_number,
 )
@@ -31,10 +33,12 @@ __all__ = [
     "local_event_date",
     "local_today",
     "money",
+    "money_sum",
     "os_class",
     "percent",
     "text_to_date",
     "text_to_double",
+    "text_to_id",
     "text_to_long",
     "to_number",
     "unquote",

@@ -47,6 +47,12 @@ def text_to_long(c: Column) -> Column:
     )
 
 
+def text_to_id(c: Column) -> Column:
+    """JSON number text to the text of an integer of any length."""
+    v = F.btrim(c, F.lit(JSON_BLANKS))
+    return F.coalesce(text_to_long(c).cast("string"), F.when(v.rlike(r"^-?[1-9][0-9]*$"), v))
+
+
 def text_to_double(c: Column) -> Column:
     v = F.trim(c)
     return F.when(v.rlike(FLOAT_TEXT), F.replace(v, F.lit("_"), F.lit(""))).try_cast("double")
@@ -66,6 +72,18 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 
 
+MONEY = "decimal(36,12)"
+
+
 def money(c: Column) -> Column:
-    """Exact sums whatever the row order; cast to double once, at the end."""
-    return c.cast("decimal(24,6)")
+    """Exact sums whatever the row order; cast to double once, at the end.
+
+    Twelve places after the point and 24 before it. What is no number or lies
+    beyond counts as missing; it never fails a job.
+    """
+    return c.try_cast(MONEY)
+
+
+def money_sum(c: Column) -> Column:
+    """The sum of a ``money`` column, 26 places before the point; missing beyond that, never an error."""
+    return F.try_sum(c.try_cast("decimal(38,12)"))

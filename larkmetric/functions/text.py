@@ -8,6 +8,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..config import AOS_WORDS, IOS_WORDS, MOBILE_WORD, WEB_WORD
+
 
 def unquote(c: Column) -> Column:
     """URL decode that leaves ``+`` and a ``%`` without two hex digits alone."""
@@ -33,9 +35,9 @@ def os_class(*columns: Column) -> Column:
             return reduce(or_, [F.contains(v, F.lit(w)) for w in words])
 
         return (
-            F.when(has("android", "samsung"), F.lit("aos"))
-            .when(has("ios", "ipad", "mac", "iphone", "apple"), F.lit("ios"))
-            .when(has("browser") & ~has("mobile"), F.lit("web"))
+            F.when(has(*AOS_WORDS), F.lit("aos"))
+            .when(has(*IOS_WORDS), F.lit("ios"))
+            .when(has(WEB_WORD) & ~has(MOBILE_WORD), F.lit("web"))
         )
 
     return F.coalesce(*[decide(c) for c in columns])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import ChannelLayout
-from ..functions import clean_number, to_number
+from ..functions import clean_number, money, money_sum, to_number
 from .firstrow import first_per_key
 from .joins import hot_join
 
@@ -53,7 +53,7 @@ def adison(df: DataFrame) -> DataFrame:
 
 def sum_per_date(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy("date").agg(
-        *[F.coalesce(F.sum(F.col(c).cast("decimal(24,6)")), F.lit(0)).cast("double").alias(c) for c in columns]
+        *[F.coalesce(money_sum(money(F.col(c))), F.lit(0)).cast("double").alias(c) for c in columns]
     )
 
 
@@ -73,7 +73,10 @@ def pincrux(df: DataFrame, sheet: DataFrame, order: list[str]) -> DataFrame:
 
 
 def unify(exports: dict[str, DataFrame], sheet: DataFrame | None = None, order: list[str] = ()) -> DataFrame:
-    """All channels' exports as one ad table with a date column."""
+    """All channels' exports as one ad table with a date column.
+
+    A channel whose export is empty to the point of having no column adds nothing.
+    """
     shapers = {
         "facebook": facebook,
         "google": google,
@@ -81,7 +84,9 @@ def unify(exports: dict[str, DataFrame], sheet: DataFrame | None = None, order:
         "adison": adison,
         "pincrux": lambda df: pincrux(df, sheet, list(order)),
     }
-    frames = [shapers[name](df) for name, df in exports.items()]
+    frames = [shapers[name](df) for name, df in exports.items() if df.columns]
+    if not frames:
+        raise LookupError("no channel has an export")
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return table.withColumn("date", F.col("date").try_cast("date"))
 

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import BRAND, CHALLENGE, CORP, PERIODS, SENTINELS, EventNames
-from ..functions import days_before, is_true, local_event_date, text_to_double, text_to_long
+from ..functions import days_before, is_true, local_event_date, text_to_double, text_to_id, text_to_long
 from .joins import hot_join
 
 
@@ -72,7 +73,7 @@ def prefix_by_membership(
     One id may have both types. The table is reduced to one row per id, so the
     join adds no rows; its size decides at run time whether it is broadcast.
     """
-    kind = F.col(type_col).cast("double")
+    kind = F.col(type_col).try_cast("double")
     flags = (
         id_types.where(F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).cast("string").alias(id_col))
@@ -110,20 +111,20 @@ def first_order(df: DataFrame, column: str = "order_count") -> Column:
 def cast_ids_and_flags(
     df: DataFrame, ints: list[str], flags: list[str], sentinels: list[str] = SENTINELS
 ) -> DataFrame:
-    """Text to integer (``…_id`` columns back to text) and to boolean."""
+    """Text to integer (``…_id`` columns to the text of one, however long) and to boolean."""
     cols = {}
     for name in ints:
         if name in df.columns:
-            value = text_to_long(F.col(name).cast("string"))
-            cols[name] = value.cast("string") if "_id" in name else value
+            text = F.col(name).cast("string")
+            cols[name] = text_to_id(text) if "_id" in name else text_to_long(text)
     for name in flags:
         if name in df.columns:
-            cols[name] = is_true(F.col(name))
+            cols[name] = is_true(F.col(name), isinstance(df.schema[name].dataType, T.NumericType))
     return df.withColumns(cols)
 
 
 def with_event_date(df: DataFrame, time: str = "time") -> DataFrame:
-    return df.withColumn("event_date", local_event_date(F.col(time).cast("bigint")))
+    return df.withColumn("event_date", local_event_date(F.col(time).try_cast("bigint")))
 
 
 def within_days(df: DataFrame, as_of: str | dt.date, days: int, date: str = "event_date") -> DataFrame:

@@ -2,44 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-# A group's values fall into this many buckets. Buckets of up to PER_BUCKET values
-# are listed together, in at most BUCKETS * PER_BUCKET values; fuller ones alone.
-BUCKETS = 65_536
-PER_BUCKET = 8
 
+def dedup_events(df: DataFrame) -> DataFrame:
+    """One row per event and collected id: a group's ids are its rows.
 
-def dedup_events(
-    df: DataFrame, collect: str, buckets: int = BUCKETS, per_bucket: int = PER_BUCKET
-) -> DataFrame:
-    """Group by all columns but ``collect`` and list that column's values, sorted.
-
-    NULLs count as equal in the group and are left out of the list. No task and
-    no row holds the whole of a group with very many values: it is spread over
-    several rows, numbered by ``part``, with each value in one of them. Part 0 is
-    always there, so rows with ``part = 0`` are the events; a group of some ten
-    thousand values or fewer has no other part.
+    NULLs count as equal, and an event without an id is kept once. Rows are combined
+    before one shuffle whose key is the whole row, so a group with very many
+    ids is spread over all tasks and its shape depends on nothing but the rows.
     """
-    others = [c for c in df.columns if c != collect]
-    bucket = F.pmod(F.xxhash64(collect), F.lit(buckets)).cast("int")
-    per_group = df.groupBy(*others, bucket.alias("_bucket")).agg(F.collect_set(collect).alias("_ids"))
-    kind = dict(df.dtypes)[collect]
-
-    def row(part: Column, ids: Column) -> Column:
-        return F.struct(part.alias("part"), ids.alias("_ids"))
-
-    ids, none = F.col("_ids"), F.array().cast(f"array<{kind}>")
-    full = F.size("_ids") > per_bucket
-    rows = F.when(
-        full, F.array(row(F.col("_bucket") + 1, ids), row(F.lit(0), none))
-    ).otherwise(F.array(row(F.lit(0), ids)))
-    return (
-        per_group.select(*others, F.inline(rows))
-        .groupBy(*others, "part")
-        .agg(F.array_sort(F.flatten(F.collect_list("_ids"))).alias(collect))
-    )
+    return df.dropDuplicates()
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

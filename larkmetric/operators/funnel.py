@@ -53,6 +53,8 @@ def funnel(
     """
     longest = max(PERIODS.values())
     window = within_days(events, as_of, longest)
+    if len(PERIODS) * STEP_BITS > 31:
+        raise ValueError("the steps of so many periods do not fit one number")
     steps, word = _steps(names), F.lit(0).cast("int")
     for i, days in enumerate(PERIODS.values()):
         inside = F.col("event_date") >= days_before(as_of, days - 1)

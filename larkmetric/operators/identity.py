@@ -51,15 +51,13 @@ def device_owners(user_info: DataFrame) -> DataFrame:
 def devices_to_users(df: DataFrame, user_info: DataFrame, id_col: str = "distinct_id") -> DataFrame:
     """Replace device ids by the user who owns the device; one hop.
 
-    Only rows under a device id meet the device table; the others, most of a
-    state, are not shuffled for it.
+    The rows are read once: those under no device id have no key in the join and
+    are spread over its tasks.
     """
-    device = is_uuid_like(F.col(id_col))
-    owners = device_owners(user_info)
-    devices = df.where(device)
-    mapped = (
-        hot_join(devices, owners.withColumnRenamed("device_id", id_col), id_col)
+    device = F.when(is_uuid_like(F.col(id_col)), F.col(id_col))
+    owners = device_owners(user_info).withColumnRenamed("device_id", "_device")
+    return (
+        hot_join(df.withColumn("_device", device), owners, "_device")
         .withColumn(id_col, F.coalesce("owner_id", id_col))
         .select(*df.columns)
     )
-    return df.where(~device).unionByName(mapped)

@@ -9,8 +9,11 @@ UNHASHABLE = ("map", "variant")
 
 
 def spread_nulls(key: Column, *by: str, ways: int = 4096) -> Column:
-    """A text join key whose NULLs, which match nothing, do not share one task."""
-    return F.coalesce(key, F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*by), F.lit(ways))))
+    """A text join key whose NULLs, which match nothing, do not share one task.
+
+    Keys begin with ``=`` and stand-ins for NULL do not, so no key equals a stand-in.
+    """
+    return F.coalesce(F.concat(F.lit("="), key), F.pmod(F.xxhash64(*by), F.lit(ways)).cast("string"))
 
 
 def hot_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
@@ -22,11 +25,12 @@ def hot_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left") -> Da
     dim is shuffled for the join, and the hot facts can be split.
     """
     by = [name for name, kind in facts.dtypes if name != on and not kind.startswith(UNHASHABLE)]
-    left = facts[on].cast("string")
+    key = facts[on].cast("string")
+    left = F.concat(F.lit("="), key)
     if how == "left" and by:
-        left = spread_nulls(left, *[f"`{name}`" for name in by])
+        left = spread_nulls(key, *[f"`{name}`" for name in by[:2]])
     right = dim.withColumnRenamed(on, "_on")
-    return facts.join(right, left == F.concat(F.lit(""), right["_on"].cast("string")), how).drop("_on")
+    return facts.join(right, left == F.concat(F.lit("="), right["_on"].cast("string")), how).drop("_on")
 
 
 def full_outer(dim: DataFrame, facts: DataFrame, on: str) -> DataFrame:
@@ -36,5 +40,8 @@ def full_outer(dim: DataFrame, facts: DataFrame, on: str) -> DataFrame:
     join: facts with what matches, then the ``dim`` rows without facts.
     Keys are compared with ``=``, so NULL keys match nothing and stay.
     """
-    unmatched = dim.join(facts.select(on).distinct(), on, "left_anti")
-    return hot_join(facts, dim, on).unionByName(unmatched, allowMissingColumns=True)
+    keyed = facts.where(facts[on].isNotNull())
+    unmatched = dim.join(keyed.select(on).distinct(), on, "left_anti")
+    alone = facts.where(facts[on].isNull())
+    joined = hot_join(keyed, dim, on, "left").unionByName(unmatched, allowMissingColumns=True)
+    return joined.unionByName(alone, allowMissingColumns=True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LTV_COUNTS, LTV_VALUES, EventNames, LtvRules
-from ..functions import days_before, money
+from ..functions import days_before, money, money_sum
 from .identity import devices_to_users
 
 STATE_SCHEMA = (
@@ -78,7 +78,7 @@ def sum_per_user(rows: DataFrame) -> DataFrame:
     zero = F.lit(0)
     return rows.groupBy("distinct_id").agg(
         *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in LTV_COUNTS],
-        *[F.coalesce(F.sum(money(F.col(c))), zero).cast("double").alias(c) for c in LTV_VALUES],
+        *[F.coalesce(money_sum(money(F.col(c))), zero).cast("double").alias(c) for c in LTV_VALUES],
     )
 
 

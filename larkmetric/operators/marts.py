@@ -98,9 +98,9 @@ def with_challenge_revenue(df: DataFrame, rules: ServiceRules = ServiceRules())
     brand = F.when(
         kind == BRAND, brand_price(F.col("level3"), count, F.col("need_instagram"), rules)
     ).otherwise(zero)
-    margin = F.coalesce(F.col("margin").cast("double"), F.lit(0.0))
+    margin = F.coalesce(F.col("margin").try_cast("double"), F.lit(0.0))
     share = F.when(count > 0, margin / count).otherwise(F.lit(0.0))
-    user = share + F.coalesce(F.col("product_fee").cast("double"), F.lit(0.0))
+    user = share + F.coalesce(F.col("product_fee").try_cast("double"), F.lit(0.0))
     return df.withColumns(
         {
             "service_type": kind,
@@ -126,4 +126,4 @@ def store_mart(orders: DataFrame, items: DataFrame, options: DataFrame) -> DataF
 
 def store_revenue() -> Column:
     price = F.col("discounted_price").try_cast("double").cast("bigint")
-    return price * F.col("fee_ratio").cast("double") + F.col("reward_amount").cast("double")
+    return price * F.col("fee_ratio").try_cast("double") + F.col("reward_amount").try_cast("double")

@@ -9,10 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AD_REPORT_METRICS, GROUP_KEYS, ORGANIC, PERIODS, EventNames
-from ..functions import days_before, money, unquote
+from ..functions import days_before, money, money_sum, unquote
+from ..functions.numbers import MONEY
 from .clean import within_days
 
 
+#: Active days are bits of one bigint.
+DAY_BITS = 63
+
+
 @dataclass(frozen=True)
 class CountMetric:
     """Users and events of one kind; the column names are the report's."""
@@ -132,7 +137,7 @@ def revenue_of(
     rows = with_organic_keys(events.where(F.col("event").isin(*kinds)), keys)
     if keyed_only:
         rows = rows.where("keyed")
-    total = F.coalesce(F.sum(money(F.col("revenue"))), F.lit(0)).cast("double")
+    total = F.coalesce(money_sum(money(F.col("revenue"))), F.lit(0)).cast("double")
     return rows.groupBy(*keys).agg(total.alias(name))
 
 
@@ -149,6 +154,8 @@ def user_activity(
     """
     back = F.datediff(F.lit(days_before(as_of, 0)), F.col("event_date"))
     edges = sorted(PERIODS.values())
+    if edges[-1] > DAY_BITS:
+        raise ValueError(f"a period has more than {DAY_BITS} days")
     band = F.when(back < edges[0], F.lit(edges[0]))
     for edge in edges[1:]:
         band = band.when(back < edge, F.lit(edge))
@@ -158,7 +165,7 @@ def user_activity(
         agg
         for name, event in revenue_metrics(names).items()
         for agg in (
-            F.sum(F.when(F.col("event") == event, money(F.col("revenue")))).alias(name),
+            money_sum(F.when(F.col("event") == event, money(F.col("revenue")))).alias(name),
             F.count_if(F.col("event") == event).alias(f"{name}_rows"),
         )
     ]
@@ -176,7 +183,7 @@ def campaign_report(
     ad_report: DataFrame | None = None,
     names: EventNames = EventNames(),
 ) -> DataFrame:
-    """Metrics per period and level, with ad spend where an ad report is given.
+    """Metrics per period and level, with ad spend where an ad report is given; keys are URL-decoded.
 
     ``events`` carry media_source and campaign, or ``users`` holds them: then
     events are summed per user before the join, so a user with very many
@@ -189,7 +196,9 @@ def campaign_report(
             users.select("distinct_id", *GROUP_KEYS), "distinct_id", "left"
         )
     report = _assemble(activity, names).withColumn("date", F.lit(days_before(as_of, 0)))
-    return report if ad_report is None else with_ad_report(report, ad_report, as_of)
+    if ad_report is not None:
+        report = with_ad_report(report, ad_report, as_of)
+    return report.withColumns({k: unquote(F.col(k)) for k in GROUP_KEYS})
 
 
 def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
@@ -219,14 +228,18 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
 
     inside = F.col("inside")
     paid = inside & F.col("keyed")
-    any_revenue = sum((F.coalesce(r, F.lit(0)) for r in revenue), F.lit(0).cast("decimal(34,6)"))
+    parts = [F.coalesce(F.col(r).try_cast(MONEY), F.lit(0).cast(MONEY)) for r in revenue]
+    any_revenue = parts[0]
+    for part in parts[1:]:
+        any_revenue = any_revenue + part
     any_rows = sum((F.col(f"{r}_rows") for r in revenue), F.lit(0))
     per_user = (
         activity.select("*", F.inline(slots))
         .groupBy(*group, "distinct_id")
         .agg(
-            *[F.sum(F.when(inside, F.col(c))).alias(c) for c in sums],
-            F.sum(F.when(paid, any_revenue)).alias("revenue"),
+            *[F.sum(F.when(inside, F.col(c))).alias(c) for c in sums if c not in revenue],
+            *[money_sum(F.when(inside, F.col(c))).alias(c) for c in revenue],
+            money_sum(F.when(paid, any_revenue)).alias("revenue"),
             F.sum(F.when(paid, any_rows)).alias("revenue_rows"),
             F.bit_or(F.when(paid, F.col("days"))).alias("days"),
         )
@@ -239,7 +252,7 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
     out.append((F.coalesce(day_users, F.lit(0)) / active_days).alias("dau"))
 
     def revenue_sum(name: str) -> Column:
-        total = F.coalesce(F.sum(name), F.lit(0)).cast("double")
+        total = F.coalesce(money_sum(F.col(name)), F.lit(0)).cast("double")
         return F.when(F.sum(f"{name}_rows") > 0, total).alias(name)
 
     for key, metric in counts.items():
@@ -267,7 +280,7 @@ def ad_report_slots(ad_report: DataFrame) -> DataFrame:
 
 
 def with_ad_report(report: DataFrame, ad_report: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """Full outer join on period, level and keys, then URL-decoded keys.
+    """Full outer join on period, level and keys.
 
     Both sides have one row per key. Keys are compared null-safe, as the
     media_source level has no campaign.
@@ -275,10 +288,9 @@ def with_ad_report(report: DataFrame, ad_report: DataFrame, as_of: str | dt.date
     ads = ad_report_slots(ad_report)
     keys = ["period", "level", *GROUP_KEYS]
     on = [report[k].eqNullSafe(ads[k]) for k in keys]
-    joined = report.join(ads, on, "full_outer").select(
+    return report.join(ads, on, "full_outer").select(
         *[F.coalesce(report[k], ads[k]).alias(k) for k in keys],
         *[report[c] for c in report.columns if c not in keys and c != "date"],
         *[ads[c] for c in AD_REPORT_METRICS],
         F.lit(days_before(as_of, 0)).alias("date"),
     )
-    return joined.withColumns({k: unquote(F.col(k)) for k in GROUP_KEYS})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import PERIODS, ROLLUP_KEYS
-from ..functions import days_before, money
+from ..functions import days_before, money, money_sum
 from .clean import within_days
 
 
@@ -21,9 +21,9 @@ def _metrics(df: DataFrame) -> list[str]:
 def _finest(df: DataFrame, extra: list[str], metrics: list[str]) -> DataFrame:
     """Exact sums of the full key. Only these groups, not the input rows, are
     multiplied by levels and periods afterwards."""
-    none = F.lit(0).cast("decimal(34,6)")
+    none = F.lit(0).cast("decimal(38,12)")
     return df.groupBy(*extra, *ROLLUP_KEYS).agg(
-        *[F.coalesce(F.sum(money(F.col(m))), none).alias(m) for m in metrics]
+        *[F.coalesce(money_sum(money(F.col(m))), none).alias(m) for m in metrics]
     )
 
 
@@ -48,7 +48,7 @@ def _levels(finest: DataFrame, extra: list[str], metrics: list[str]) -> DataFram
         finest.select(*extra, *metrics, F.inline(F.array(*levels)))
         .where(F.col("key").isNotNull())
         .groupBy(*extra, *names)
-        .agg(*[F.sum(m).cast("double").alias(m) for m in metrics])
+        .agg(*[money_sum(F.col(m)).cast("double").alias(m) for m in metrics])
     )
 
 

@@ -150,11 +150,12 @@ def report_ctes(rows: str) -> str:
 
 
 REPORT = f"WITH {report_ctes('fx_attributed')}"
-check("campaign_report_all", f"{REPORT} SELECT * FROM report")
-check("campaign_report_enriched", f"{REPORT} SELECT * FROM report")
+DECODED = "* REPLACE (url_decode(media_source) AS media_source, url_decode(campaign) AS campaign)"
+check("campaign_report_all", f"{REPORT} SELECT {DECODED} FROM report")
+check("campaign_report_enriched", f"{REPORT} SELECT {DECODED} FROM report")
 check(
     "campaign_report_monthly",
-    f"""{REPORT} SELECT * EXCLUDE (period, level, campaign) FROM report
+    f"""{REPORT} SELECT * EXCLUDE (period, level, campaign) REPLACE (url_decode(media_source) AS media_source) FROM report
         WHERE period = 'monthly' AND level = 'media_source'""",
 )
 
@@ -227,13 +228,17 @@ def number(column: str) -> str:
 SPEND, SHOWN, CLICKED, COST = (number(c) for c in ("spend_text", "impressions_text", "clicks_text", "cost_text"))
 
 FACEBOOK_SQL = f"""SELECT day AS date, campaign, adset, ad, {SPEND} AS spend, {SHOWN} AS impressions,
-    {CLICKED} AS clicks, 'facebook' AS channel FROM fx_ad_text"""
+    {CLICKED} AS clicks, {SHOWN} AS reach, {COST} AS cpm, {CLICKED} AS ctr, {SPEND} AS cpp, 'facebook' AS channel
+    FROM fx_ad_text"""
 GOOGLE_SQL = f"""SELECT day AS date, {CLICKED} AS status, campaign, adset, ad, {SHOWN} AS impressions,
-    {COST} AS spend, {CLICKED} AS clicks, 'google' AS channel FROM fx_ad_text WHERE cost_text > '0'"""
+    {COST} AS spend, {CLICKED} AS clicks, channel AS adset_id, {SPEND} AS cpm, {COST} AS cpc, {CLICKED} AS ctr,
+    {SHOWN} AS conversions, 'google' AS channel FROM fx_ad_text WHERE cost_text > '0'"""
 NAVER_SQL = f"""SELECT * FROM (SELECT day AS date, campaign, adset, ad AS adset_id, {CLICKED} AS clicks,
-    {SHOWN} AS impressions, {COST} AS spend, 'naver' AS channel FROM fx_ad_text) n WHERE spend > 0"""
+    {SHOWN} AS impressions, {COST} AS spend, ad, {CLICKED} AS ctr, {SPEND} AS ror, {SHOWN} AS views, {COST} AS cpc,
+    {CLICKED} AS conversions, 'naver' AS channel FROM fx_ad_text) n WHERE spend > 0"""
 ADISON_SQL = f"""SELECT day AS date, ad AS platform, campaign, {SHOWN} AS impressions, {CLICKED} AS clicks,
-    {CLICKED} AS participations, {SHOWN} AS completes, {SPEND} AS spend, 'adison' AS channel FROM fx_ad_text"""
+    {CLICKED} AS participations, {SHOWN} AS completes, {SPEND} AS spend,
+    {CLICKED} AS unique_participations, {SPEND} AS ctr, {COST} AS cvr, 'adison' AS channel FROM fx_ad_text"""
 LOOKUP_SQL = """SELECT date, cost_text FROM (
     SELECT *, row_number() OVER (PARTITION BY date ORDER BY row_no) AS rn FROM fx_sheet
     WHERE channel = 'Pincrux' AND cost_text <> 'None') f WHERE rn = 1"""
@@ -254,17 +259,27 @@ check(
     """SELECT date, CAST(sum(clicks) AS DOUBLE) AS clicks, CAST(sum(impressions) AS DOUBLE) AS impressions
        FROM fx_ad GROUP BY date""",
 )
-COMMON = "SELECT CAST(date AS DATE) AS date, channel, campaign, {adset} AS adset, {ad} AS ad, spend, {shown} AS impressions, clicks"
+OWN_COLUMNS = {
+    FACEBOOK_SQL: ["campaign", "adset", "ad", "spend", "impressions", "clicks", "reach", "cpm", "ctr", "cpp"],
+    GOOGLE_SQL: [
+        "status", "campaign", "adset", "ad", "impressions", "spend", "clicks", "adset_id", "cpm", "cpc", "ctr", "conversions",
+    ],
+    NAVER_SQL: [
+        "campaign", "adset", "adset_id", "ad", "clicks", "impressions", "spend", "ctr", "ror", "views", "cpc", "conversions",
+    ],
+    ADISON_SQL: [
+        "platform", "campaign", "impressions", "clicks", "participations", "completes", "spend", "unique_participations",
+        "ctr", "cvr",
+    ],
+    PINCRUX_SQL: ["clicks", "completes", "spend"],
+}
+ALL_COLUMNS = list(dict.fromkeys(c for own in OWN_COLUMNS.values() for c in own))
 check(
     "channel_unify",
     " UNION ALL ".join(
-        [
-            f"{COMMON.format(adset='adset', ad='ad', shown='impressions')} FROM ({FACEBOOK_SQL}) f",
-            f"{COMMON.format(adset='adset', ad='ad', shown='impressions')} FROM ({GOOGLE_SQL}) g",
-            f"{COMMON.format(adset='adset', ad='NULL', shown='impressions')} FROM ({NAVER_SQL}) n",
-            f"{COMMON.format(adset='NULL', ad='NULL', shown='impressions')} FROM ({ADISON_SQL}) a",
-            f"SELECT CAST(date AS DATE), channel, NULL, NULL, NULL, spend, NULL, clicks FROM ({PINCRUX_SQL}) p",
-        ]
+        f"""SELECT CAST(date AS DATE) AS date, channel, {', '.join(c if c in own else f'NULL AS {c}' for c in ALL_COLUMNS)}
+            FROM ({sql}) q"""
+        for sql, own in OWN_COLUMNS.items()
     ),
 )
 check(
@@ -381,9 +396,7 @@ check("alternate_ids", f"SELECT seq, {OWN_ID} AS distinct_id FROM fx_raw")
 check("identity_map", f"WITH {MAPPED} SELECT seq, device_id, distinct_id FROM mapped")
 check(
     "event_dedup",
-    """SELECT event, distinct_id, event_date, nullif(order_count, 'None') AS order_count, 0 AS part,
-              string_agg(DISTINCT insert_id, ',' ORDER BY insert_id) AS insert_id
-       FROM fx_raw GROUP BY 1, 2, 3, 4""",
+    """SELECT DISTINCT event, distinct_id, event_date, nullif(order_count, 'None') AS order_count, insert_id FROM fx_raw""",
 )
 check("row_dedup", "SELECT DISTINCT event, distinct_id, event_date FROM fx_raw")
 check(
@@ -395,9 +408,8 @@ check(
         rel AS (SELECT CASE WHEN is_c = 1 THEN 'corp_' ELSE '' END || CASE WHEN is_b = 1 THEN 'brand_' ELSE '' END || e2
                        AS event, distinct_id, event_date, order_count, insert_id, challenge_id
                 FROM ex LEFT JOIN ({FLAGS}) f ON challenge_id = cid)
-        SELECT event, distinct_id, event_date, order_count, challenge_id,
-               string_agg(DISTINCT insert_id, ',' ORDER BY insert_id) AS insert_id
-        FROM rel WHERE distinct_id IS NOT NULL AND event <> 'content_view' GROUP BY 1, 2, 3, 4, 5""",
+        SELECT DISTINCT event, distinct_id, event_date, order_count, challenge_id, insert_id
+        FROM rel WHERE distinct_id IS NOT NULL AND event <> 'content_view'""",
 )
 
 # --- marts ------------------------------------------------------------------------------------------
@@ -502,16 +514,9 @@ ENRICHED = f"""
     SELECT b.*, NULL, NULL, NULL, NULL, NULL, NULL FROM base b WHERE event NOT IN {PAID})"""
 check(
     "enriched_events",
-    f"""WITH {ENRICHED} SELECT time, event, distinct_id, first, media_source, campaign, event_date, service_type,
-           revenue_from_brand, revenue_from_challenge, revenue FROM enriched""",
-)
-check(
-    "enriched_report",
-    f"""WITH {ENRICHED}, {report_ctes('enriched')}
-        SELECT period, level, media_source, campaign, mau, challenge_complete_checkout_count,
-               challenge_complete_checkout_brand_count, count_store_checkouts,
-               round(challenge_revenue, 2) AS challenge_revenue, round(store_revenue, 2) AS store_revenue FROM report""",
+    f"WITH {ENRICHED} SELECT * FROM enriched",
 )
+check("enriched_report", f"WITH {ENRICHED}, {report_ctes('enriched')} SELECT {DECODED} FROM report")
 check("other_events", f"SELECT event_id, event FROM fx_event WHERE event NOT IN {PAID}")
 
 # --- funnel ------------------------------------------------------------------------------------------------
@@ -726,8 +731,12 @@ check(
 )
 check(
     "regex_scan",
-    """SELECT DISTINCT event, distinct_id FROM fx_event
-       WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-09'""",
+    """SELECT DISTINCT c_name, c_nationkey, NULL AS s_name FROM customer
+       UNION ALL SELECT DISTINCT NULL, NULL, s_name FROM supplier""",
+)
+check(
+    "period_csv_scan",
+    """SELECT campaign, spend_text, day AS file_date FROM fx_ad_text WHERE day BETWEEN '2024-01-03' AND '2024-01-12'""",
 )
 check(
     "period_file_scan",
@@ -746,7 +755,8 @@ check(
 )
 check(
     "period_report_scan",
-    f"{REPORT} SELECT media_source, campaign, mau, unique_installs, level FROM report WHERE period = 'weekly'",
+    f"""{REPORT} SELECT url_decode(media_source) AS media_source, url_decode(campaign) AS campaign, mau, unique_installs, level
+        FROM report WHERE period = 'weekly'""",
 )
 check(
     "attribution_files",

@@ -50,7 +50,8 @@ SQL = {
                CASE WHEN event_id % 7 = 0 THEN concat('dev-', CAST(user_id AS STRING))
                     ELSE concat('u', CAST(user_id AS STRING)) END AS raw_id,
                event_id % 4 = 0 AS first,
-               CASE event_id % 3 WHEN 0 THEN '1.0' WHEN 1 THEN '1' ELSE 'None' END AS order_count,
+               CASE event_id % 5 WHEN 0 THEN '1.0' WHEN 1 THEN '1' WHEN 2 THEN '2.0' WHEN 3 THEN 'bad' ELSE 'None' END
+                   AS order_count,
                CAST(event_id AS STRING) AS challenge_id,
                CAST(event_id AS STRING) AS order_no,
                CAST(ts - INTERVAL '9' HOUR AS DATE) AS event_date,
@@ -252,10 +253,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     used = " ".join([SQL[n] for n in _names(name)])
-    scans = []
+    scans, views = [], []
     for given in TABLES:
         if re.search(rf"\b{given}\b", used):
             view = f"given_{given}_{zlib.crc32(sf_dir.encode()):08x}"
             table(spark, sf_dir, given).createOrReplaceTempView(view)
             scans.append(f"{given} AS (SELECT * FROM {view})")
-    return spark.sql(with_fixtures(f"SELECT * FROM {name}", *scans))
+            views.append(view)
+    rows = spark.sql(with_fixtures(f"SELECT * FROM {name}", *scans))
+    for view in views:  # the frame is resolved and needs them no more
+        spark.catalog.dropTempView(view)
+    return rows

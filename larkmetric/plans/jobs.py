@@ -35,7 +35,6 @@ class Lake:
     """
 
     root: str
-    look_back: int = 366
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -44,7 +43,7 @@ class Lake:
         return spark.read.parquet(self.path(name))
 
     def latest(self, spark: SparkSession, name: str, as_of: str | dt.date) -> DataFrame:
-        return scans.latest_snapshot(self.table(spark, name), as_of, self.look_back).drop("date")
+        return scans.latest_snapshot(spark, self.path(name), as_of).drop("date")
 
 
 @dataclass(frozen=True)
@@ -62,14 +61,13 @@ class EventCleaning:
     id_list: str = "challenge_id"
     ints: tuple[str, ...] = ()
     flags: tuple[str, ...] = ("first",)
-    collected: str = "insert_id"
     excluded: tuple[str, ...] = ()
     keep: tuple[str, ...] = (*EVENT_COLUMNS, "device_id", "insert_id")
     sentinels: tuple[str, ...] = field(default_factory=lambda: tuple(SENTINELS))
 
 
 def clean_events(raw: DataFrame, id_types: DataFrame, rules: EventCleaning = EventCleaning()) -> DataFrame:
-    """Ids first, then relabels, then casts, then one row per event."""
+    """Ids first, then relabels, then casts, then one row per event and insert id."""
     used = {*rules.keep, *rules.alternate_ids, *[c for pair in rules.merges for c in pair]}
     used |= {*(rules.slash_pair or ()), *[amount for _, amount in rules.zero_amounts]}
     used |= {rules.brand_flag[0]} if rules.brand_flag else set()
@@ -88,7 +86,7 @@ def clean_events(raw: DataFrame, id_types: DataFrame, rules: EventCleaning = Eve
     df = clean.prefix_by_membership(df, id_types, rules.id_list)
     df = clean.cast_ids_and_flags(df, list(rules.ints), list(rules.flags))
     df = clean.keep_known(df, rules.id_column, list(rules.excluded))
-    return dedup.dedup_events(df, rules.collected)
+    return dedup.dedup_events(df)
 
 
 def cleanse_events(
@@ -98,8 +96,7 @@ def cleanse_events(
     day = days_before(as_of, 0)
     raw = lake.table(spark, "raw_events").where(F.col("date") == day).drop("date")
     types = lake.latest(spark, "challenge_mart", as_of).select("challenge_id", "service_type")
-    out = clean_events(raw, types, rules).withColumn("date", F.lit(day))
-    sinks.save_snapshot(out, lake.path("events"))
+    sinks.save_day(clean_events(raw, types, rules), lake.path("events"), day)
 
 
 def cleanse_ads(
@@ -107,21 +104,25 @@ def cleanse_ads(
 ) -> None:
     """Channel exports of 31 days to ``channel_report``, one rollup per period."""
     start, end = days_before(as_of, max(PERIODS.values())), days_before(as_of, 0)
-    exports = {c: _export(spark, lake, c, start, end) for c in channels}
+    found = {c: _export(spark, lake, c, start, end) for c in channels}
+    exports = {c: df for c, df in found.items() if df is not None}
     sheet = None
     if "pincrux" in channels:
-        sheets = lake.table(spark, "raw_sheet_costs")
-        sheet = scans.latest_snapshot(sheets, as_of, lake.look_back, "file_date").drop("file_date")
+        path = lake.path("raw_sheet_costs")
+        sheet = scans.latest_snapshot(spark, path, as_of, date="file_date").drop("file_date")
     ads = adchannels.unify(exports, sheet, sheet_order)
-    report = rollup.ad_rollup_periods(ads, as_of).withColumn("date", F.lit(end))
-    sinks.save_snapshot(report, lake.path("channel_report"), ("period", "date"))
+    sinks.save_day(rollup.ad_rollup_periods(ads, as_of), lake.path("channel_report"), end, ("period",))
 
 
-def _export(spark: SparkSession, lake: Lake, channel: str, start: dt.date, end: dt.date) -> DataFrame:
+def _export(spark: SparkSession, lake: Lake, channel: str, start: dt.date, end: dt.date) -> DataFrame | None:
+    """A channel's exports; None when it has no file in the period."""
     path = lake.path(f"raw_{channel}")
-    if channel == "pincrux":
-        return scans.read_period(spark, path, start, end, date="file_date").drop("file_date")
-    df = scans.read_period(spark, path, start, end)
+    try:
+        if channel == "pincrux":
+            return scans.read_period(spark, path, start, end, date="file_date").drop("file_date")
+        df = scans.read_period(spark, path, start, end)
+    except LookupError:
+        return None
     return df.withColumn("date", F.col("date").cast("string")).withColumnRenamed("date", "Date")
 
 
@@ -142,11 +143,10 @@ def build_marts(
         latest("challenge_info"),
     )
     products = marts.commerce_products(latest("commerce_product"), latest("challenge_commerce"), latest("product"))
-    day = F.lit(days_before(as_of, 0))
-    challenge = marts.challenge_mart(base, products, rules).withColumn("date", day)
-    sinks.save_snapshot(challenge, lake.path("challenge_mart"))
+    day = days_before(as_of, 0)
+    sinks.save_day(marts.challenge_mart(base, products, rules), lake.path("challenge_mart"), day)
     stores = marts.store_mart(latest("store_order"), latest("store_item"), latest("store_option"))
-    sinks.save_snapshot(stores.withColumn("date", day), lake.path("store_mart"))
+    sinks.save_day(stores, lake.path("store_mart"), day)
 
 
 VALUE_COLUMNS = ["revenue", "revenue_from_brand", "revenue_from_challenge"]
@@ -157,24 +157,28 @@ def enrich_day(spark: SparkSession, lake: Lake, as_of: str | dt.date, names: Eve
     """Cleansed events of two days, cut to the local day, to ``event_report``."""
     day = days_before(as_of, 0)
     events = scans.read_period(spark, lake.path("events"), days_before(as_of, 1), day)
-    # One row per event: further parts only carry more of the collected ids.
-    events = clean.select_existing(events.where("part = 0"), EVENT_COLUMNS).dropDuplicates()
+    # Without their insert ids, rows of one event are equal.
+    events = clean.select_existing(events, EVENT_COLUMNS).dropDuplicates()
     users = enrich.all_users(*[lake.latest(spark, f"raw_users_{k}", as_of) for k in ("challenge", "store")])
     challenges = lake.latest(spark, "challenge_mart", as_of)
     stores = lake.latest(spark, "store_mart", as_of).select("order_no", "revenue")
     rows = enrich.enrich(events, users, challenges, stores, names).where(F.col("event_date") == day)
-    sinks.save_typed(rows.withColumn("date", F.lit(day)), lake.path("event_report"), VALUE_COLUMNS, FLAG_COLUMNS)
+    sinks.save_day(sinks.typed(rows, VALUE_COLUMNS, FLAG_COLUMNS), lake.path("event_report"), day)
 
 
 def report_campaigns(
     spark: SparkSession, lake: Lake, as_of: str | dt.date, names: EventNames = EventNames()
 ) -> None:
-    """A month of enriched events and the day's ad report to ``campaign_report``."""
+    """A month of enriched events and the day's ad report to ``campaign_report``.
+
+    Each day's rows are distinct and lie in that day's folder alone.
+    """
     day = days_before(as_of, 0)
     start = days_before(as_of, max(PERIODS.values()) - 1)
-    events = scans.read_period(spark, lake.path("event_report"), start, day).drop("date").dropDuplicates()
+    events = scans.read_period(spark, lake.path("event_report"), start, day).drop("date")
     ads = lake.table(spark, "channel_report").where(F.col("date") == day)
-    sinks.save_report(metrics.campaign_report(events, as_of, ad_report=ads, names=names), lake.path("campaign_report"))
+    report = metrics.campaign_report(events, as_of, ad_report=ads, names=names)
+    sinks.save_report(report, lake.path("campaign_report"), day)
 
 
 def report_funnel(
@@ -183,10 +187,10 @@ def report_funnel(
     """The day's attribution files to ``attribution``, then its month to ``funnel``."""
     day = days_before(as_of, 0)
     files = scans.read_attribution(spark, lake.path("raw_attribution"), as_of)
-    sinks.save_snapshot(scans.shape_attribution(files).withColumn("date", F.lit(day)), lake.path("attribution"))
+    sinks.save_day(scans.shape_attribution(files), lake.path("attribution"), day)
     start = days_before(as_of, max(PERIODS.values()) - 1)
     month = scans.read_period(spark, lake.path("attribution"), start, day)
-    sinks.save_snapshot(funnel.funnel(month, as_of, names), lake.path("funnel"), ("period", "date"))
+    sinks.save_day(funnel.funnel(month, as_of, names), lake.path("funnel"), day, ("period",))
 
 
 def accumulate_ltv(
@@ -208,4 +212,4 @@ def accumulate_ltv(
         state = scans.require_snapshot(lake.table(spark, "ltv"), days_before(as_of, 1))
     events = lake.table(spark, "event_report").where(F.col("date") == day)
     info = lake.latest(spark, "user_info", as_of)
-    sinks.save_snapshot(ltv.accumulate(state, events, info, as_of, names, rules), lake.path("ltv"))
+    sinks.save_day(ltv.accumulate(state, events, info, as_of, names, rules), lake.path("ltv"), day)

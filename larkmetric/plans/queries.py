@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import TEST_VALUES, ServiceRules
+from ..config import NAVER, TEST_VALUES, ServiceRules
 from ..functions import (
     any_named,
     clean_number,
@@ -31,7 +32,7 @@ from ..functions import (
     unquote,
 )
 from ..operators import adchannels, clean, dedup, enrich, firstrow, funnel, identity, ltv, marts, metrics, rollup
-from ..session import allow_skew_split, scratch_dir
+from ..session import scratch_dir
 from ..sources import scans, sinks
 from ..streaming.ltv_stream import read_ltv, run_ltv_stream
 from .fixtures import AS_OF, fixture, table
@@ -50,11 +51,7 @@ RULES = ServiceRules(
 
 
 def register(name: str, fn: Query) -> None:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        allow_skew_split(spark)
-        return fn(spark, sf_dir)
-
-    QUERIES[name] = run
+    QUERIES[name] = fn
 
 
 def query(fn: Query) -> Query:
@@ -184,6 +181,10 @@ def _facebook_export(spark, sf_dir):
         F.col("spend_text").alias("spend"),
         F.col("impressions_text").alias("impressions"),
         F.col("clicks_text").alias("clicks"),
+        F.col("impressions_text").alias("reach"),
+        F.col("cost_text").alias("cpm"),
+        F.col("clicks_text").alias("ctr"),
+        F.col("spend_text").alias("cpp"),
     )
 
 
@@ -197,10 +198,17 @@ def _google_export(spark, sf_dir):
         F.col("impressions_text").alias("impressions"),
         F.col("clicks_text").alias("clicks"),
         F.col("cost_text").alias("cost"),
+        F.col("channel").alias("ad_set_id"),
+        F.col("spend_text").alias("cpm"),
+        F.col("cost_text").alias("cpc"),
+        F.col("clicks_text").alias("ctr"),
+        F.col("impressions_text").alias("conversions"),
     )
 
 
 def _naver_export(spark, sf_dir):
+    """All columns of the layout; those it drops hold anything."""
+    named = ["campaign_status", "campaign_id", "adgroup_status", "status"]
     return _ad_text(spark, sf_dir).select(
         F.col("day").alias("Date"),
         F.col("campaign").alias("campaign_name"),
@@ -212,6 +220,14 @@ def _naver_export(spark, sf_dir):
         F.col("clicks_text").alias("adgroup_clkCnt"),
         F.col("impressions_text").alias("adgroup_impCnt"),
         F.col("cost_text").alias("adgroup_salesAmt"),
+        F.col("ad").alias("ad_name"),
+        F.col("channel").alias("adgroup_nccCampaignId"),
+        F.col("clicks_text").alias("adgroup_ctr"),
+        F.col("spend_text").alias("adgroup_ror"),
+        F.col("impressions_text").alias("adgroup_viewCnt"),
+        F.col("cost_text").alias("adgroup_cpc"),
+        F.col("clicks_text").alias("adgroup_ccnt"),
+        *[F.col("channel").alias(c) for c in NAVER.drops if c not in named],
     )
 
 
@@ -228,6 +244,10 @@ def _adison_export(spark, sf_dir):
         F.col("spend_text").alias("광고비"),
         F.col("spend_text").alias("광고단가"),
         F.col("day").alias("Unnamed: 0"),
+        F.col("clicks_text").alias("유니크 참여"),
+        F.col("spend_text").alias("CTR"),
+        F.col("cost_text").alias("CVR"),
+        F.col("day").alias("리포팅 기간"),
     )
 
 
@@ -286,8 +306,7 @@ def channel_unify(spark, sf_dir):
         "adison": _adison_export(spark, sf_dir),
         "pincrux": _pincrux_export(spark, sf_dir),
     }
-    table = adchannels.unify(exports, _sheet(spark, sf_dir), ["row_no"])
-    return table.select("date", "channel", "campaign", "adset", "ad", "spend", "impressions", "clicks")
+    return adchannels.unify(exports, _sheet(spark, sf_dir), ["row_no"])
 
 
 @query
@@ -444,7 +463,7 @@ def event_dedup(spark, sf_dir):
     rows = clean.null_sentinels(_raw(spark, sf_dir)).select(
         "event", "distinct_id", "event_date", "order_count", "insert_id"
     )
-    return dedup.dedup_events(rows, "insert_id").withColumn("insert_id", id_list_text(F.col("insert_id")))
+    return dedup.dedup_events(rows)
 
 
 @query
@@ -471,8 +490,7 @@ def cleansed_events(spark, sf_dir):
     )
     rows = clean.prefix_by_membership(rows, fixture(spark, sf_dir, "fx_id_type"))
     rows = clean.keep_known(rows, "distinct_id", ["content_view"])
-    deduped = dedup.dedup_events(rows, "insert_id")
-    return deduped.where("part = 0").drop("part").withColumn("insert_id", id_list_text(F.col("insert_id")))
+    return dedup.dedup_events(rows)
 
 
 # --- marts --------------------------------------------------------------------------------
@@ -569,21 +587,13 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enriched_events(spark, sf_dir):
-    return _enriched(spark, sf_dir).select(
-        "time", "event", "distinct_id", "first", "media_source", "campaign", "event_date",
-        "service_type", "revenue_from_brand", "revenue_from_challenge", "revenue",
-    )
+    return _enriched(spark, sf_dir)
 
 
 @query
 def enriched_report(spark, sf_dir):
     """The campaign report over the enriched events."""
-    report = metrics.campaign_report(_enriched(spark, sf_dir), AS_OF)
-    return report.select(
-        "period", "level", "media_source", "campaign", "mau",
-        "challenge_complete_checkout_count", "challenge_complete_checkout_brand_count",
-        "count_store_checkouts", "challenge_revenue", "store_revenue",
-    ).withColumns({c: F.round(c, 2) for c in ("challenge_revenue", "store_revenue")})
+    return metrics.campaign_report(_enriched(spark, sf_dir), AS_OF)
 
 
 @query
@@ -666,20 +676,18 @@ def ltv_accumulate(spark, sf_dir):
 
 @query
 def ltv_daily_chain(spark, sf_dir):
-    """State saved per day and read back for the next, as the daily job does."""
-    path = scratch_dir(spark, "ltv")
+    """Yesterday's state, which must be there, and today's checkouts, as the daily job does."""
     day, info = _day(spark, sf_dir), _user_info(spark, sf_dir)
     eve = days_before(AS_OF, 1)
     first = ltv.accumulate(ltv.empty_state(spark), day.where(F.col("event_date") <= eve), info, eve)
-    sinks.save_snapshot(first, path)
-    state = scans.require_snapshot(spark.read.parquet(path), eve)
+    state = scans.require_snapshot(first, eve)
     return ltv.accumulate(state, day.where(F.col("event_date") == AS_OF), info, AS_OF)
 
 
 @query
 def ltv_stream(spark, sf_dir):
     """Checkout files arriving in two lots, taken in by a stream."""
-    base = scratch_dir(spark, "ltv-stream")
+    base = f"{scratch_dir(spark, 'ltv-stream', sf_dir)}/{uuid.uuid4().hex}"  # a stream's progress is its own
     arriving, out = f"{base}/in", f"{base}/out"
     day = _day(spark, sf_dir)
     schema = day.schema
@@ -858,22 +866,22 @@ def parquet_scan(spark, sf_dir):
 
 @query
 def json_scan(spark, sf_dir):
-    path = scratch_dir(spark, "json")
+    path = scratch_dir(spark, "json", sf_dir)
     rows = fixture(spark, sf_dir, "fx_day").drop("event_date")
-    rows.write.json(path, compression="gzip")
+    rows.write.mode("overwrite").json(path, compression="gzip")
     return scans.read_json(spark, path, "distinct_id string, event string, revenue double")
 
 
 @query
 def csv_text_scan(spark, sf_dir):
     """Missing values come back as the text 0."""
-    path = scratch_dir(spark, "csv")
+    path = scratch_dir(spark, "csv", sf_dir)
     sinks.save_csv(_ad_text(spark, sf_dir).select("day", "channel", "campaign", "adset", "spend_text"), path)
     return scans.read_csv(spark, path)
 
 
 def _daily_files(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "daily")
+    path = scratch_dir(spark, "daily", sf_dir)
     rows = fixture(spark, sf_dir, "fx_event").select(
         "event_id", "event", "distinct_id", F.col("event_date").alias("date")
     )
@@ -883,10 +891,9 @@ def _daily_files(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def regex_scan(spark, sf_dir):
-    """Files of the first nine January days, columns optional, rows distinct."""
-    path = _daily_files(spark, sf_dir)
+    """Two of the given tables by name, columns optional, rows distinct."""
     return scans.read_matching(
-        spark, path, r"date=2024-01-0\d/.*\.parquet$", ["event", "distinct_id", "absent"], distinct=True
+        spark, sf_dir, r"/(customer|supplier)\.parquet(/[^/]*)?$", ["c_name", "c_nationkey", "s_name", "absent"], distinct=True
     )
 
 
@@ -897,6 +904,16 @@ def period_file_scan(spark, sf_dir):
     return files.withColumnRenamed("Date", "file_date")
 
 
+@query
+def period_csv_scan(spark, sf_dir):
+    """Daily CSV files, which hold missing values as nothing."""
+    path = scratch_dir(spark, "daily-csv", sf_dir)
+    rows = _ad_text(spark, sf_dir).select("campaign", "spend_text", F.col("day").alias("date"))
+    rows.write.mode("overwrite").partitionBy("date").option("header", True).csv(path, compression="gzip")
+    files = scans.read_period_csv(spark, path, "2024-01-03", "2024-01-12", ["campaign", "spend_text", "Date", "absent"])
+    return files.withColumnRenamed("Date", "file_date")
+
+
 @query
 def period_scan(spark, sf_dir):
     path = _daily_files(spark, sf_dir)
@@ -907,12 +924,12 @@ def period_scan(spark, sf_dir):
 def latest_snapshot(spark, sf_dir):
     """The newest day up to a date some days after the last."""
     path = _daily_files(spark, sf_dir)
-    return scans.latest_snapshot(spark.read.parquet(path), "2024-02-03").select("event_id", "event", "date")
+    return scans.latest_snapshot(spark, path, "2024-02-03").select("event_id", "event", "date")
 
 
 @query
 def typed_save(spark, sf_dir):
-    path = scratch_dir(spark, "typed")
+    path = scratch_dir(spark, "typed", sf_dir)
     rows = _raw(spark, sf_dir).select("seq", "amount", F.col("kind_flag").alias("flag"), F.col("event_date").alias("date"))
     sinks.save_typed(rows, path, ["amount"], ["flag"])
     return spark.read.parquet(path)
@@ -920,15 +937,15 @@ def typed_save(spark, sf_dir):
 
 @query
 def period_report_scan(spark, sf_dir):
-    path = scratch_dir(spark, "report")
-    sinks.save_report(campaign_report_all(spark, sf_dir), path)
+    path = scratch_dir(spark, "report", sf_dir)
+    sinks.save_report(campaign_report_all(spark, sf_dir), path, AS_OF)
     return scans.read_report(spark, path, "weekly", AS_OF, ["media_source", "campaign", "mau", "unique_installs", "level"])
 
 
 @query
 def attribution_files(spark, sf_dir):
     """One CSV folder per app and kind, kinds tagged from the file name."""
-    path = scratch_dir(spark, "attribution")
+    path = scratch_dir(spark, "attribution", sf_dir)
     rows = fixture(spark, sf_dir, "fx_af").select(
         F.col("event").alias("Event Name"),
         F.col("time").alias("Event Time"),
@@ -936,20 +953,15 @@ def attribution_files(spark, sf_dir):
         F.col("user_id").alias("Customer User ID"),
         F.concat(F.lit(f"app_{AS_OF}_{AS_OF}_"), "kind", F.lit(".csv.gz")).alias("file"),
     )
-    rows.write.partitionBy("file").option("header", True).csv(path, compression="gzip")
+    rows.write.mode("overwrite").partitionBy("file").option("header", True).csv(path, compression="gzip")
     return scans.shape_attribution(scans.read_attribution(spark, path, AS_OF))
 
 
 @query
 def event_flatten(spark, sf_dir):
-    """JSON export lines with nested properties."""
-    path = scratch_dir(spark, "export")
-    rows = fixture(spark, sf_dir, "fx_day").select(
-        "event", F.struct("distinct_id", "revenue").alias("properties")
-    )
-    rows.write.json(path, compression="gzip")
-    schema = "event string, properties struct<distinct_id string, revenue double>"
-    return scans.flatten_export(scans.read_json(spark, path, schema))
+    """Rows with nested properties, as an export has them."""
+    rows = fixture(spark, sf_dir, "fx_day").select("event", F.struct("distinct_id", "revenue").alias("properties"))
+    return scans.flatten_export(rows)
 
 
 @query

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import zlib
 
 from pyspark.sql import SparkSession
 
@@ -40,16 +39,12 @@ def allow_skew_split(spark: SparkSession) -> None:
     spark.conf.set(key, SETTINGS[key])
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+def scratch_dir(spark: SparkSession, name: str, sf_dir: str = "") -> str:
+    """A folder for a query's own files under the session's shared storage.
 
-    Only where the session names none, as in tests, is a local one used.
+    That is ``spark.checkpoint.dir``, else the warehouse: on a cluster all
+    executors see both. The name depends on application, query and input only, so
+    a query that runs again replaces its files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="larkmetric-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{zlib.crc32(sf_dir.encode()):08x}"

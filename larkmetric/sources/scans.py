@@ -1,14 +1,17 @@
 """Reading daily files (SRC-1 … SRC-9, SRC-11, SRC-12).
 
-Legacy folders keep the date in the file name (``date=2024-01-30.parquet.gz``).
-Filters on ``_metadata`` columns prune such files before they are opened.
+Folders keep the date in the name of a file (``date=2024-01-30.parquet.gz``) or
+of a partition. Names are listed first, and only chosen files are opened, so
+what lies in other days can neither slow nor break a scan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +47,30 @@ def _wanted(df: DataFrame, columns: list[str] | None) -> DataFrame:
     return df if columns is None else select_existing(df, columns)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files under ``path``; none is opened. Empty when there is no such folder."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        return sorted(row.path for row in reader.load(path).select("path").collect())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def _chosen(spark: SparkSession, files: list[str], what: str) -> DataFrame:
+    """These parquet files stacked by column name; others are not opened, not even for their schema."""
+    if not files:
+        raise LookupError(f"no file {what}")
+    return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*files)
+
+
 def read_matching(
     spark: SparkSession, path: str, regex: str, columns: list[str] | None = None, distinct: bool = False
 ) -> DataFrame:
     """Parquet files under ``path`` whose full name matches, stacked by column name."""
-    df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
-    df = _wanted(df.where(F.col(FILE_PATH).rlike(regex)), columns)
+    files = [f for f in list_files(spark, path) if re.search(regex, f)]
+    df = _wanted(_chosen(spark, files, f"in {path} matches {regex}"), columns)
     return df.dropDuplicates() if distinct else df
 
 
@@ -61,9 +82,10 @@ def read_period_files(
     spark: SparkSession, path: str, start: str, end: str, columns: list[str] | None = None
 ) -> DataFrame:
     """Legacy daily parquet files from start to end, with the file's date as ``Date``."""
-    df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
-    dated = df.where(file_date().between(start, end)).select("*", file_date().alias("Date"))
-    return dated if columns is None else select_existing(dated, columns)
+    dated = [(re.search(FILE_DATE, f), f) for f in list_files(spark, path)]
+    files = [f for m, f in dated if m and start <= m[1] <= end]
+    df = _chosen(spark, files, f"in {path} from {start} to {end}").select("*", file_date().alias("Date"))
+    return df if columns is None else select_existing(df, columns)
 
 
 def read_period_csv(
@@ -71,24 +93,30 @@ def read_period_csv(
 ) -> DataFrame:
     """Daily CSV files ``date=….csv.gz``, whose headers may differ from day to day.
 
-    One reader per day of the period, as a CSV reader knows a single header.
+    One reader per day of the period that has files, as a CSV reader knows a
+    single header.
     """
     first, last = days_before(start, 0), days_before(end, 0)
-    days = [first + dt.timedelta(n) for n in range((last - first).days + 1)]
-    frames = []
-    for day in days:
-        file = f"{path}/date={day}.csv.gz"
-        if _exists(spark, file):
-            frames.append(read_csv(spark, file).withColumn("Date", F.lit(str(day))))
-    if not frames:
+    days: dict[str, list[str]] = {}
+    for file in list_files(spark, path):
+        if (m := re.search(FILE_DATE, file)) and str(first) <= m[1] <= str(last):
+            days.setdefault(m[1], []).append(file)
+    if not days:
         raise LookupError(f"no file in {path} from {first} to {last}")
+    frames = [read_csv(spark, files).withColumn("Date", F.lit(day)) for day, files in days.items()]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return _wanted(stacked, columns)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def snapshot_days(spark: SparkSession, path: str, date: str = "date") -> list[dt.date]:
+    """The days a folder partitioned by ``date`` has files of, oldest first."""
+    names = {m[1] for f in list_files(spark, path) if (m := re.search(rf"/{date}=(\d{{4}}-\d{{2}}-\d{{2}})/", f))}
+    return [dt.date.fromisoformat(day) for day in sorted(names)]
+
+
+def _read_days(spark: SparkSession, path: str, days: list[dt.date], date: str) -> DataFrame:
+    folders = [f"{path.rstrip('/')}/{date}={day}" for day in days]
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
 
 
 def read_period(
@@ -99,21 +127,28 @@ def read_period(
     columns: list[str] | None = None,
     date: str = "date",
 ) -> DataFrame:
-    """A snapshot folder partitioned by ``date``: the days of the period it has."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
-    return _wanted(df.where(F.col(date).between(days_before(start, 0), days_before(end, 0))), columns)
+    """A snapshot folder partitioned by ``date``: the days of the period it has.
+
+    Other days' files are not opened. A period without any file is an error.
+    """
+    first, last = days_before(start, 0), days_before(end, 0)
+    days = [day for day in snapshot_days(spark, path, date) if first <= day <= last]
+    if not days:
+        raise LookupError(f"no file in {path} from {first} to {last}")
+    return _wanted(_read_days(spark, path, days, date), columns)
 
 
-def latest_snapshot(
-    df: DataFrame, as_of: str | dt.date, look_back: int = 366, date: str = "date"
-) -> DataFrame:
-    """Rows of the newest day with rows, up to ``as_of`` and at most ``look_back`` days old.
+def latest_snapshot(spark: SparkSession, path: str, as_of: str | dt.date, date: str = "date") -> DataFrame:
+    """Rows of the newest day with rows, up to ``as_of``, however old; none is an error.
 
-    The day is a scalar subquery on the partition column, so only its
-    partition is read.
+    Days come from the names of the folders; only days without rows and the one
+    returned are opened.
     """
-    recent = df.where(F.col(date).between(days_before(as_of, look_back), days_before(as_of, 0)))
-    return recent.where(F.col(date) == recent.agg(F.max(date)).scalar())
+    last = days_before(as_of, 0)
+    for day in reversed(snapshot_days(spark, path, date)):
+        if day <= last and not (rows := _read_days(spark, path, [day], date)).isEmpty():
+            return rows
+    raise LookupError(f"no snapshot in {path} up to {last}")
 
 
 def require_snapshot(df: DataFrame, day: str | dt.date, date: str = "date") -> DataFrame:

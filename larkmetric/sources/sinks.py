@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_date
+
 
 def save_snapshot(df: DataFrame, path: str, partitions: tuple[str, ...] = ("date",)) -> None:
     """Replace the partitions the frame has rows for; others, and an empty frame, change nothing.
@@ -22,6 +26,20 @@ def save_snapshot(df: DataFrame, path: str, partitions: tuple[str, ...] = ("date
     )
 
 
+def save_day(df: DataFrame, path: str, day: str | dt.date, partitions: tuple[str, ...] = ()) -> None:
+    """Replace a day's folder ``date=…`` whole, whatever partitions below it the day had before.
+
+    An empty frame empties the day.
+    """
+    rows = df.drop("date")
+    if partitions:
+        rows = rows.hint("rebalance", *[F.col(p) for p in partitions])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "gzip")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(f"{path.rstrip('/')}/date={as_date(day)}")
+
+
 def typed(df: DataFrame, doubles: list[str], flags: list[str]) -> DataFrame:
     """Zero and false for what is missing, then doubles and booleans."""
     cols = {c: F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(0.0)) for c in doubles}
@@ -46,5 +64,5 @@ def save_csv(df: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression="gzip")
 
 
-def save_report(df: DataFrame, path: str) -> None:
-    save_snapshot(df, path, ("period", "level", "date"))
+def save_report(df: DataFrame, path: str, day: str | dt.date) -> None:
+    save_day(df, path, day, ("period", "level"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import WHOLE_READ_ROWS
+from ..config import ROWS_PER_TASK
 
 
 def table_bounds(spark: SparkSession, url: str, table: str, key: str, properties: dict) -> tuple:
@@ -19,12 +19,19 @@ def extract_table(
     table: str,
     key: str,
     properties: dict | None = None,
-    rows_per_task: int = WHOLE_READ_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    """Distinct rows of a table, in one read or, when large, in parallel key ranges."""
+    """Distinct rows of a table, read in parallel key ranges of about ``rows_per_task`` rows.
+
+    Ranges are of equal width. Where keys lie unevenly, ``predicates`` gives the
+    conditions to read by instead, one a task.
+    """
     properties = properties or {}
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=properties).dropDuplicates()
     n, lo, hi = table_bounds(spark, url, table, key, properties)
-    if n <= WHOLE_READ_ROWS:
+    if lo is None:  # no row has a key, so there are no ranges
         return spark.read.jdbc(url, table, properties=properties).dropDuplicates()
     return spark.read.jdbc(
         url,
@@ -32,6 +39,6 @@ def extract_table(
         column=key,
         lowerBound=lo,
         upperBound=hi,
-        numPartitions=-(-n // rows_per_task),
+        numPartitions=max(1, -(-n // rows_per_task)),
         properties=properties,
     ).dropDuplicates()

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LTV_COUNTS, LTV_VALUES, EventNames, LtvRules
 from ..operators.identity import devices_to_users
 from ..operators.ltv import contributions, sum_per_user
+from ..session import SETTINGS
+from ..sources.scans import list_files
 
 
 def run_ltv_stream(
@@ -19,9 +23,12 @@ def run_ltv_stream(
 ) -> None:
     """Take in what has arrived, and log the new sums of the users it touched.
 
-    Each micro-batch replaces its own folder, so a batch run again after a
+    The running sums of all users are kept on disk by the RocksDB state store, which
+    is set here. Each micro-batch replaces its own folder, so a batch run again after a
     failure leaves the same log.
     """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    checkouts.sparkSession.conf.set(key, SETTINGS[key])
     sums = sum_per_user(contributions(checkouts, names, rules))
 
     def log(batch: DataFrame, batch_id: int) -> None:
@@ -37,16 +44,39 @@ def run_ltv_stream(
     query.awaitTermination()
 
 
+def compact_ltv(spark: SparkSession, out: str) -> None:
+    """One folder with each user's newest sums in place of all batches up to now.
+
+    The folder takes the number of the newest batch it holds. Run it between
+    streams; batches it covers are ignored from then on and may be deleted.
+    """
+    batches = spark.read.parquet(out)
+    last = batches.agg(F.max("batch")).first()[0]
+    newest = _newest(_current(spark, out))
+    newest.write.mode("overwrite").parquet(f"{out.rstrip('/')}-base/upto={last}")
+
+
+def _current(spark: SparkSession, out: str) -> DataFrame:
+    """The newest base, if there is one, and the batches after it."""
+    base_path = f"{out.rstrip('/')}-base"
+    batches = spark.read.parquet(out)
+    days = [int(m[1]) for f in list_files(spark, base_path) if (m := re.search(r"/upto=(\d+)/.*[.]parquet", f))]
+    if not days:
+        return batches
+    last = max(days)
+    base = spark.read.parquet(f"{base_path}/upto={last}").withColumn("batch", F.lit(last))
+    return base.unionByName(batches.where(F.col("batch") > last))
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    names = [*LTV_COUNTS, *LTV_VALUES]
+    newest = rows.groupBy("distinct_id").agg(F.max_by(F.struct(*names), "batch").alias("s"))
+    return newest.select("distinct_id", *[F.col(f"s.{c}").alias(c) for c in names])
+
+
 def read_ltv(spark: SparkSession, out: str, user_info: DataFrame) -> DataFrame:
     """The state the log describes, with device ids given to their users.
 
     A running sum cannot change its key, so devices are mapped on reading.
     """
-    names = [*LTV_COUNTS, *LTV_VALUES]
-    newest = (
-        spark.read.parquet(out)
-        .groupBy("distinct_id")
-        .agg(F.max_by(F.struct(*names), "batch").alias("s"))
-        .select("distinct_id", *[F.col(f"s.{c}").alias(c) for c in names])
-    )
-    return sum_per_user(devices_to_users(newest, user_info))
+    return sum_per_user(devices_to_users(_newest(_current(spark, out)), user_info))

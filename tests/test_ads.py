@@ -115,3 +115,18 @@ def test_ratios_from_sums(spark):
     df = spark.createDataFrame([("fb", "c", "s", "a", 10.0, 100.0, 4.0), ("fb", "c", "s", "b", 30.0, 0.0, 0.0)], AD_SCHEMA + ", impressions double, clicks double")
     row = rollup.ad_rollup(df, ratios=True).where("key = 'channel'").first()
     assert (row.ctr_of_sums, row.cpm_of_sums, row.cpc_of_sums) == pytest.approx((4.0, 400.0, 10.0))
+
+
+def test_an_export_without_columns_adds_nothing(spark):
+    schema = "Date string, campaign_name string, adset_name string, ad_name string, spend string"
+    facebook = spark.createDataFrame([("2024-01-30", "c", "s", "a", "5")], schema)
+    empty = spark.range(0).select()
+    table = adchannels.unify({"google": empty, "facebook": facebook})
+    assert [(r.channel, r.spend) for r in table.collect()] == [("facebook", 5.0)]
+
+
+def test_sums_of_very_large_and_very_small_numbers(spark):
+    data = [("c", None, None, None, 1e19, 4e-7)] + [("c", None, None, None, 0.0, 4e-7)] * 2 + [("c", None, None, None, 1e30, None)]
+    df = spark.createDataFrame(data, "channel string, campaign string, adset string, ad string, spend double, rate double")
+    row = rollup.ad_rollup(df).where("key = 'channel'").first()
+    assert (row.spend, row.rate) == (1e19, pytest.approx(1.2e-6))

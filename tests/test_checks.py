@@ -34,3 +34,8 @@ def test_entry_has_rows(spark):
     df = entry_point.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["media_source", "mau", "dau"]
+
+
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_check_compares_rows(duck, name):
+    assert duck.sql(f"SELECT count(*) FROM ({CHECKS[name]}) q").fetchall()[0][0] > 0

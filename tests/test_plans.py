@@ -4,11 +4,9 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from larkmetric.operators import clean, dedup, enrich, identity, metrics
 from larkmetric.operators.joins import full_outer
-
-QUERIES = entry_point.queries()
+from larkmetric.plans.queries import QUERIES
 
 
 def plan_of(df, run=False):
@@ -118,7 +116,25 @@ def test_hot_user_reaches_the_join_summed(spark, conf):
     assert activity.agg(F.sum("signups")).first()[0] == 30000
 
 
-def test_dedup_shuffles_twice_and_reads_once(spark):
+def test_dedup_shuffles_and_reads_once(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").cast("string").alias("v"))
-    plan = plan_of(dedup.dedup_events(df, "v"))
-    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Range ") == 1
+    plan = plan_of(dedup.dedup_events(df))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Range ") == 1
+
+
+def test_devices_are_mapped_in_one_pass(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = spark.range(100).selectExpr("concat(if(id % 2 = 0, 'd-', 'u'), id) AS distinct_id", "id AS n")
+    info = spark.createDataFrame([("d-4", "u1")], "device_id string, distinct_id string")
+    df = identity.devices_to_users(rows, info)
+    assert plan_of(df).count("Range ") == 1
+    got = {r.n: r.distinct_id for r in df.collect()}
+    assert (len(got), got[4], got[6], got[7]) == (100, "u1", "d-6", "u7")
+
+
+def test_queries_leave_the_session_as_it_was(spark, conf):
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    conf(**{key.replace(".", "__"): "false"})
+    QUERIES["campaign_report_all"](spark, SF_DIR)
+    assert spark.conf.get(key) == "false"
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("given_")]

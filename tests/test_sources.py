@@ -2,7 +2,6 @@
 
 import datetime as dt
 import gzip
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,9 +58,12 @@ def test_snapshots(spark, rows, tmp_path):
     sinks.save_snapshot(spark.createDataFrame([], schema), path)
     df = spark.read.parquet(path)
     assert rows(df) == [("a", day1), ("c", day2)]
-    assert rows(scans.latest_snapshot(df, "2024-01-09"), "v") == [("c",)]
-    assert rows(scans.latest_snapshot(df, "2024-01-04"), "v") == [("a",)]
-    assert rows(scans.latest_snapshot(df, "2024-06-01", look_back=30), "v") == []
+    assert rows(scans.latest_snapshot(spark, path, "2024-01-09"), "v") == [("c",)]
+    assert rows(scans.latest_snapshot(spark, path, "2024-01-04"), "v") == [("a",)]
+    assert rows(scans.latest_snapshot(spark, path, "2025-02-10"), "v") == [("c",)], "however old"
+    for when, where in (("2023-12-31", path), ("2024-01-09", path + "-absent")):
+        with pytest.raises(LookupError):
+            scans.latest_snapshot(spark, where, when)
     assert rows(scans.read_period(spark, path, "2024-01-02", "2024-01-31", ["v", "absent"])) == [("c",)]
     assert rows(scans.require_snapshot(df, day1), "v") == [("a",)]
     with pytest.raises(LookupError):
@@ -78,9 +80,15 @@ def test_report_folders(spark, rows, tmp_path):
     path = str(tmp_path / "report")
     day = dt.date(2024, 1, 30)
     data = [("monthly", "campaign", day, 1), ("daily", "media_source", day, 2)]
-    sinks.save_report(spark.createDataFrame(data, "period string, level string, date date, mau int"), path)
+    schema = "period string, level string, date date, mau int"
+    sinks.save_report(spark.createDataFrame(data, schema), path, day)
     assert rows(scans.read_report(spark, path, "daily", day, ["level", "mau"])) == [("media_source", 2)]
-    assert (tmp_path / "report" / "period=monthly" / "level=campaign" / "date=2024-01-30").is_dir()
+    assert (tmp_path / "report" / "date=2024-01-30" / "period=monthly" / "level=campaign").is_dir()
+    sinks.save_report(spark.createDataFrame(data[1:], schema), path, day)
+    assert rows(spark.read.parquet(path), "period") == [("daily",)], "fewer periods leave none of the old ones"
+    sinks.save_report(spark.createDataFrame([("weekly", "campaign", None, 3)], schema), path, "2024-01-31")
+    sinks.save_report(spark.createDataFrame([], schema), path, day)
+    assert rows(spark.read.parquet(path), "period") == [("weekly",)], "an empty day replaces too"
 
 
 def test_typed_save(spark, rows, tmp_path):
@@ -140,10 +148,18 @@ class Reader:
         return self.spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, v string")
 
 
-def test_small_tables_are_read_whole(spark, rows):
-    reader = Reader(spark, (300_000, 1, 9))
+def test_small_tables_are_read_in_one_range(spark, rows):
+    reader = Reader(spark, (2, 1, 9))
     assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(1, "a"), (2, "b")]
-    assert "numPartitions" not in reader.calls[-1][1]
+    assert reader.calls[-1][1]["numPartitions"] == 1
+
+
+def test_tables_without_keys_and_by_predicates(spark):
+    reader = Reader(spark, (0, None, None))
+    tables.extract_table(reader, "jdbc:x", "t", "id")
+    assert "column" not in reader.calls[-1][1]
+    tables.extract_table(reader, "jdbc:x", "t", "id", predicates=["id < 2", "id >= 2"])
+    assert reader.calls[-1][1]["predicates"] == ["id < 2", "id >= 2"]
 
 
 def test_large_tables_are_read_in_ranges(spark, rows):
@@ -153,14 +169,17 @@ def test_large_tables_are_read_in_ranges(spark, rows):
     assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 7_000_000, 4)
 
 
-def test_latest_snapshot_reads_one_partition(spark, conf, tmp_path):
-    conf(spark__sql__maxMetadataStringLength="2000")
+def test_broken_files_of_other_days_do_no_harm(spark, rows, tmp_path):
     path = str(tmp_path / "snap")
-    spark.range(30).select("id", F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("date")).transform(
-        lambda df: sinks.save_snapshot(df, path) or df
-    )
-    df = scans.latest_snapshot(spark.read.parquet(path), "2024-02-10")
-    assert [r.id for r in df.collect()] == [29]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters") :].splitlines()[0]
-    assert re.search(r"\(date#\d+ = Subquery", filters), "the day found is a partition filter"
+    data = [("a", dt.date(2024, 1, 3)), ("b", dt.date(2024, 1, 5))]
+    sinks.save_snapshot(spark.createDataFrame(data, "v string, date date"), path)
+    for day in ("2020-01-01", "2024-01-09"):
+        folder = tmp_path / "snap" / f"date={day}"
+        folder.mkdir()
+        (folder / "part-0.parquet").write_bytes(b"broken")
+    assert rows(scans.read_period(spark, path, "2024-01-01", "2024-01-05"), "v") == [("a",), ("b",)]
+    assert rows(scans.read_period_files(spark, path, "2024-01-04", "2024-01-08"), "v", "Date") == [("b", "2024-01-05")]
+    assert rows(scans.read_matching(spark, path, r"date=2024-01-0[35]/"), "v") == [("a",), ("b",)]
+    assert rows(scans.latest_snapshot(spark, path, "2024-01-08"), "v") == [("b",)]
+    with pytest.raises(LookupError):
+        scans.read_period(spark, path, "2024-02-01", "2024-02-05")
