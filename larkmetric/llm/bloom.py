@@ -8,11 +8,14 @@ through, which later joins then settle: results do not depend on it. Keys are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from larkmetric.llm.arrays import mix, release
 
 BITS = 1 << 25
 PROBES = 3
@@ -79,6 +82,8 @@ def build(keys: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
                         "twice": [np.packbits(twice[part], bitorder="little").tobytes()],
                     }
                 )
+        del once, twice
+        release()
 
     merged = keys.mapInArrow(fill, SLICES).repartition("chunk").mapInArrow(_merge, SLICES)
     once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
@@ -87,3 +92,26 @@ def build(keys: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
         once[part] = np.frombuffer(row.once, np.uint8)
         twice[part] = np.frombuffer(row.twice, np.uint8)
     return once, twice
+
+
+def among(rows: DataFrame, bits: int = BITS >> 1) -> Callable[[Column], Column]:
+    """A test for ``rid`` columns: false only for rids that ``rows`` does not have.
+
+    Lets rows that a join does not concern pass it by.
+    """
+
+    def key(rid: np.ndarray) -> np.ndarray:
+        return mix(rid.view(np.uint64) + np.uint64(1))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rid = np.unique(batch.column(0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(key(rid).view(np.int64))], names=["key"])
+
+    once, _ = build(rows.select("rid").mapInArrow(hashed, "key long"), bits)
+
+    @F.arrow_udf("boolean")
+    def test(rid: pa.Array) -> pa.Array:
+        return pa.array(may_hold(once, key(rid.to_numpy(zero_copy_only=False))))
+
+    return test

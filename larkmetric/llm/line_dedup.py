@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkmetric.llm import arrays
+from larkmetric.llm import arrays, bloom
 from larkmetric.llm.store import free_name, stored, tagged
 
 #: A line of fewer bytes is no evidence: unrelated documents share it by chance.
@@ -198,7 +198,13 @@ def without_repeats(
     gone = stored(repeated_lines(docs, id_col, text_col, min_line_bytes, min_block_bytes), "gone")
     gone = gone.select(F.col("rid").alias(f"{rid}_of"), F.col("lines").alias(lost))
     rows = docs.withColumn(rid, F.monotonically_increasing_id())
-    joined = rows.join(gone, F.col(rid) == F.col(f"{rid}_of"), "left")
+    touched = bloom.among(gone.select(F.col(f"{rid}_of").alias("rid")))
+    mark = free_name(rows, "_touched")
+    rows = rows.withColumn(mark, touched(F.col(rid)))
+    # Most rows lose nothing and do not move.
+    whole = rows.where(~F.col(mark)).select(*docs.columns, F.lit(None).cast("array<int>").alias(lost))
+    cut = rows.where(F.col(mark)).hint("merge").join(gone, F.col(rid) == F.col(f"{rid}_of"), "left")
+    joined = whole.unionByName(cut.select(*docs.columns, lost))
     lines = F.split(F.col(text_col).cast("string"), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(lost), i)), "\n")
     out = joined.select(
