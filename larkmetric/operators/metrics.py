@@ -202,69 +202,82 @@ def campaign_report(
 
 
 def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
+    """All periods and levels from the users' activity.
+
+    Rows meet by user, once: per user and campaign, then per user and source, each
+    with the periods side by side as columns. Both are grouped from there, and only
+    the groups' rows are spread into one row per period.
+    """
     source, campaign = (F.col(k) for k in GROUP_KEYS)
     organic = F.lit(ORGANIC)
-    levels = [
-        ("campaign", F.coalesce(campaign, organic), source.isNotNull() & campaign.isNotNull()),
-        ("media_source", F.lit(None).cast("string"), source.isNotNull()),
-    ]
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(period).alias("period"),
-                F.lit(level).alias("level"),
-                F.coalesce(source, organic).alias("g_source"),
-                name.alias("g_campaign"),
-                keyed.alias("keyed"),
-                (F.col("band") <= n).alias("inside"),
-            )
-            for period, n in PERIODS.items()
-            for level, name, keyed in levels
-        ]
-    )
     counts, revenue = count_metrics(names), revenue_metrics(names)
-    sums = [*counts, *revenue, *[f"{r}_rows" for r in revenue]]
-    group = ["period", "level", "g_source", "g_campaign"]
-
-    inside = F.col("inside")
-    paid = inside & F.col("keyed")
+    any_rows = sum((F.col(f"{r}_rows") for r in revenue), F.lit(0))
     parts = [F.coalesce(F.col(r).try_cast(MONEY), F.lit(0).cast(MONEY)) for r in revenue]
     any_revenue = parts[0]
     for part in parts[1:]:
         any_revenue = any_revenue + part
-    any_rows = sum((F.col(f"{r}_rows") for r in revenue), F.lit(0))
-    per_user = (
-        activity.select("*", F.inline(slots))
-        .groupBy(*group, "distinct_id")
-        .agg(
-            *[F.sum(F.when(inside, F.col(c))).alias(c) for c in sums if c not in revenue],
-            *[money_sum(F.when(inside, F.col(c))).alias(c) for c in revenue],
-            money_sum(F.when(paid, any_revenue)).alias("revenue"),
-            F.sum(F.when(paid, any_rows)).alias("revenue_rows"),
-            F.bit_or(F.when(paid, F.col("days"))).alias("days"),
-        )
+    keyed = {"campaign": source.isNotNull() & campaign.isNotNull(), "media_source": source.isNotNull()}
+
+    def combined(name: str) -> str:
+        """How the rows of one user add up."""
+        if name.startswith("days "):
+            return "or"
+        return "money" if name.removesuffix(" media_source").removesuffix(" campaign") in (*revenue, "revenue") else "sum"
+
+    def fold(column: Column, name: str) -> Column:
+        how = {"or": F.bit_or, "money": money_sum, "sum": F.sum}[combined(name)]
+        return how(column)
+
+    def at(name: str, period: str) -> str:
+        return f"{name} {period}"
+
+    values: dict[str, Column] = {c: F.col(c) for c in (*counts, *revenue, *[f"{r}_rows" for r in revenue])}
+    for level, has in keyed.items():
+        values[f"revenue {level}"] = F.when(has, any_revenue)
+        values[f"revenue_rows {level}"] = F.when(has, any_rows)
+        values[f"days {level}"] = F.when(has, F.col("days"))
+    slots = {(n, p): F.when(F.col("band") <= days, v) for p, days in PERIODS.items() for n, v in values.items()}
+    users = activity.repartition("distinct_id")
+    per_campaign = users.groupBy(
+        "distinct_id", F.coalesce(source, organic).alias("g_source"), F.coalesce(campaign, organic).alias("g_campaign")
+    ).agg(*[fold(v, n).alias(at(n, p)) for (n, p), v in slots.items()])
+    per_source = per_campaign.groupBy("distinct_id", "g_source").agg(
+        *[fold(F.col(f"`{at(n, p)}`"), n).alias(at(n, p)) for n, p in slots]
     )
 
-    known = F.col("distinct_id").isNotNull()
-    out = [F.count("distinct_id").alias("mau")]
-    day_users = F.sum(F.when(known, F.bit_count("days")))
-    active_days = F.bit_count(F.bit_or("days"))
-    out.append((F.coalesce(day_users, F.lit(0)) / active_days).alias("dau"))
-
-    def revenue_sum(name: str) -> Column:
-        total = F.coalesce(money_sum(F.col(name)), F.lit(0)).cast("double")
-        return F.when(F.sum(f"{name}_rows") > 0, total).alias(name)
-
-    for key, metric in counts.items():
-        seen = F.sum(key) > 0
-        out.append(F.when(seen, F.count_if((F.col(key) > 0) & known)).alias(metric.users))
-        out.append(F.when(seen, F.sum(key)).alias(metric.events))
-    out += [revenue_sum(name) for name in ["revenue", *revenue]]
-    return (
-        per_user.groupBy(*group)
-        .agg(*out)
-        .withColumnsRenamed({"g_source": "media_source", "g_campaign": "campaign"})
+    def groups(rows: DataFrame, level: str, group: list[str]) -> DataFrame:
+        known = F.col("distinct_id").isNotNull()
+
+        def row(period: str) -> Column:
+            def col(name: str) -> Column:
+                return F.col(f"`{at(name, period)}`")
+
+            days = col(f"days {level}")
+            day_users = F.coalesce(F.sum(F.when(known, F.bit_count(days))), F.lit(0))
+            out = [F.lit(period).alias("period"), F.count("distinct_id").alias("mau")]
+            out.append((day_users / F.bit_count(F.bit_or(days))).alias("dau"))
+
+            def revenue_sum(name: str, value: Column, n: Column) -> Column:
+                total = F.coalesce(money_sum(value), F.lit(0)).cast("double")
+                return F.when(F.sum(n) > 0, total).alias(name)
+
+            for key, metric in counts.items():
+                seen = F.sum(col(key)) > 0
+                out.append(F.when(seen, F.count_if((col(key) > 0) & known)).alias(metric.users))
+                out.append(F.when(seen, F.sum(col(key))).alias(metric.events))
+            out.append(revenue_sum("revenue", col(f"revenue {level}"), col(f"revenue_rows {level}")))
+            return F.struct(*out, *[revenue_sum(r, col(r), col(f"{r}_rows")) for r in revenue])
+
+        found = rows.groupBy(*group).agg(F.array(*[row(p) for p in PERIODS]).alias("periods"))
+        name = F.col("g_campaign") if "g_campaign" in group else F.lit(None).cast("string")
+        keys = [F.lit(level).alias("level"), F.col("g_source").alias("media_source"), name.alias("campaign")]
+        return found.select(*keys, F.inline("periods"))
+
+    report = groups(per_campaign, "campaign", ["g_source", "g_campaign"]).unionByName(
+        groups(per_source, "media_source", ["g_source"])
     )
+    first = ["period", "level", *GROUP_KEYS]
+    return report.select(*first, *[c for c in report.columns if c not in first])
 
 
 def ad_report_slots(ad_report: DataFrame) -> DataFrame:
