@@ -6,12 +6,14 @@ end; equal inputs have equal hashes in every task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+#: Texts looked at together; work on them takes up to some hundred bytes of memory a byte.
+CHUNK_BYTES = 1 << 19
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = U64(pow(int(BASE), -1, 1 << 64))
@@ -40,6 +42,23 @@ def chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + limit, side="right")) - 1)
         yield batch.slice(at, end - at), data[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at]
         at = end
+    release()
+
+
+def _libc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda pad: 0
+
+
+_trim = _libc_trim()
+
+
+def release() -> None:
+    """Gives freed memory back: Spark keeps Python workers, some idle, beside those at work."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 _powers: dict[int, np.ndarray] = {}

@@ -22,6 +22,8 @@ LENGTH = 100
 GRAM = 32
 PLACE_BITS = 30
 BUCKET_BITS = 8
+#: Texts whose anchors are sent on together.
+BLOCK_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1
 #: One row for each block of documents and bucket of anchor hashes.
 RECORDS = "bucket int, block long, docs binary, rids binary, g binary, w binary, low binary, at binary, run binary, known binary"
@@ -99,8 +101,13 @@ def _records(rows: DataFrame) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, bounds in arrays.chunks(batch):
-                text, low, run, at, g, w = anchors(data, bounds)
+            for part, _, bounds in arrays.chunks(batch, BLOCK_BYTES):
+                found, before = [], 0
+                for few, data, own in arrays.chunks(part):
+                    text, low, *rest = anchors(data, own)
+                    found.append((text + before, low + bounds[before], *rest))
+                    before += few.num_rows
+                text, low, run, at, g, w = (np.concatenate(x) for x in zip(*found))
                 if not len(text):
                     continue
                 rid = part.column(0).to_numpy(zero_copy_only=False)[text]
@@ -111,7 +118,9 @@ def _records(rows: DataFrame) -> DataFrame:
                 same[1:] = (g[order][1:] == g[order][:-1]) & (w[order][1:] == w[order][:-1])
                 known = np.zeros(len(order), dtype=bool)
                 known[order[same]] = True
-                bucket = (g >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+                # Anchors are smallest hashes, so their high bits are alike; the low ones are not.
+                bucket = (g & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+                g = g >> np.uint64(BUCKET_BITS)
                 by = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[by], np.arange((1 << BUCKET_BITS) + 1))
                 for b in np.flatnonzero(np.diff(cuts)):
@@ -166,7 +175,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(new_g) - 1
         several = np.bincount(group[new_w], minlength=1)[group] > 1 if len(group) else new_w
         ask = new_w & several
-        yield _found(rid[ask], doc[ask], low[ask], run[ask], at[ask], (rows[0]["bucket"] << 40) | g[ask])
+        yield _found(rid[ask], doc[ask], low[ask], run[ask], at[ask], (g[ask] << BUCKET_BITS) | rows[0]["bucket"])
 
     yield from _by_bucket(batches, "bucket", settle)
 
@@ -181,6 +190,8 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], key: str, settle) -> Iterator[
             held.append(row)
     if held:
         yield from settle(held)
+    del held
+    arrays.release()
 
 
 def _found(rid, doc, low, run, at, g) -> pa.RecordBatch:
@@ -202,7 +213,7 @@ def _contexts(rows: DataFrame, asked: DataFrame) -> DataFrame:
     per_row = asked.groupBy(F.col("rid").alias("of")).agg(
         F.collect_list(F.struct("doc", "low", "run", "at", "g")).alias("asked")
     )
-    joined = rows.join(per_row, rows["rid"] == per_row["of"]).select("rid", "asked", "text")
+    joined = rows.hint("merge").join(per_row, rows["rid"] == per_row["of"]).select("rid", "asked", "text")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,6 +309,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch.slice(cut)]
     if held:
         yield settle(pa.Table.from_batches(held))
+    del held
+    arrays.release()
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -311,33 +324,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _records(rows).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_classes, FOUND), "anchors"
     )
     asked = found.where("g IS NOT NULL")
-    wanted = _among(asked)
+    wanted = bloom.among(asked)
     contexts = _contexts(rows.where(wanted(F.col("rid"))), asked)
     compared = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_compare, SPANS)
     whole = found.where("g IS NULL").select("rid", "low", (F.col("low") + F.col("run") + LENGTH).alias("high"))
     return rows, stored(whole.unionByName(compared), "spans")
 
 
-def _among(rows: DataFrame):
-    """A test for rids that may be in ``rows``, over a filter of fixed size."""
-
-    def key(rid: np.ndarray) -> np.ndarray:
-        return arrays.mix(rid.view(np.uint64) + np.uint64(1))
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid = np.unique(batch.column(0).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([pa.array(key(rid).view(np.int64))], names=["key"])
-
-    once, _ = bloom.build(rows.select("rid").mapInArrow(hashed, "key long"))
-
-    @F.arrow_udf("boolean")
-    def test(rid: pa.Array) -> pa.Array:
-        return pa.array(bloom.may_hold(once, key(rid.to_numpy(zero_copy_only=False))))
-
-    return test
-
-
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``spans`` (byte ``low``, ``high``) and ``kept`` (binary) of every row.
 
@@ -349,7 +342,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows, spans = repeated_spans(docs, id_col, text_col)
     merged = spans.groupBy(F.col("rid").alias("of")).agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
-    touched = _among(spans)
+    touched = bloom.among(spans)
     kind = docs.schema[id_col].dataType.simpleString()
     named = rows.withColumn("touched", touched(F.col("rid")))
     doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias("doc_id")
@@ -361,29 +354,32 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.array().cast("array<struct<low:int,high:int>>").alias("spans"),
         F.col("text").cast("binary").alias("kept"),
     )
-    cut = named.where("touched").select("rid", doc_id, size, "text").join(merged, F.col("rid") == F.col("of"), "left")
+    cut = named.where("touched").select("rid", doc_id, size, "text").hint("merge")
+    cut = cut.join(merged, F.col("rid") == F.col("of"), "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, text, found in zip(*(batch.column(i) for i in (0, 2, 3))):
-                text = text.as_py().encode()
-                union: list[list[int]] = []
-                for span in found.as_py() or []:
-                    if union and span["low"] <= union[-1][1]:
-                        union[-1][1] = max(union[-1][1], span["high"])
-                    else:
-                        union.append([span["low"], span["high"]])
-                edges = [0, *(x for span in union for x in span), len(text)]
-                kept = b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2]))
-                spans = [{"low": i, "high": j} for i, j in union]
-                out.append((doc.as_py(), len(text), len(text) - len(kept), spans, kept))
-            columns = list(zip(*out)) or [[]] * 5
-            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), SPAN_LIST, pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"],
-            )
+            for part, data, bounds in arrays.chunks(batch):
+                out = []
+                for doc, low, high, found in zip(
+                    part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), part.column(3).to_pylist()
+                ):
+                    text = data[low:high].tobytes()
+                    union: list[list[int]] = []
+                    for span in found or []:
+                        if union and span["low"] <= union[-1][1]:
+                            union[-1][1] = max(union[-1][1], span["high"])
+                        else:
+                            union.append([span["low"], span["high"]])
+                    edges = [0, *(x for span in union for x in span), len(text)]
+                    kept = b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2]))
+                    spans = [{"low": i, "high": j} for i, j in union]
+                    out.append((doc, len(text), len(text) - len(kept), spans, kept))
+                kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), SPAN_LIST, pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), k) for c, k in zip(zip(*out), kinds)],
+                    names=["doc_id", "n_bytes", "n_removed", "spans", "kept"],
+                )
 
     fields = f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<low:int,high:int>>, kept binary"
     return plain.unionByName(cut.select("doc_id", "n_bytes", "text", "spans").mapInArrow(remove, fields))
