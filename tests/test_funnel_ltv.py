@@ -7,7 +7,7 @@ import pytest
 
 from larkmetric.config import LTV_COUNTS, LTV_VALUES
 from larkmetric.operators import funnel, ltv
-from larkmetric.streaming.ltv_stream import read_ltv, run_ltv_stream
+from larkmetric.streaming.ltv_stream import compact_ltv, read_ltv, run_ltv_stream
 
 AS_OF = "2024-01-30"
 AF = "event string, appsflyer_id string, user_id string, event_date date"
@@ -163,3 +163,22 @@ def test_stream_with_nothing_new_changes_nothing(spark, rows, tmp_path):
         run_ltv_stream(spark.readStream.schema(df.schema).parquet(f"{base}/in"), f"{base}/out", f"{base}/cp")
         results.append(rows(read_ltv(spark, f"{base}/out", info)))
     assert results[0] == results[1]
+
+
+def test_stream_compaction_changes_nothing(spark, rows, tmp_path):
+    schema = "distinct_id string, event string, revenue_from_brand double, revenue_from_challenge double, revenue double"
+    arriving, out = str(tmp_path / "in"), str(tmp_path / "out")
+    info = spark.createDataFrame([("d-1", "u1")], "device_id string, distinct_id string")
+
+    def take_in(lot):
+        spark.createDataFrame(lot, schema).write.mode("append").parquet(arriving)
+        run_ltv_stream(spark.readStream.schema(schema).parquet(arriving), out, str(tmp_path / "checkpoint"))
+
+    take_in([("u1", "store_complete_checkout", None, None, 5.0), ("d-1", "store_complete_checkout", None, None, 2.0)])
+    take_in([("u2", "store_complete_checkout", None, None, 1.0)])
+    before = rows(read_ltv(spark, out, info))
+    compact_ltv(spark, out)
+    assert rows(read_ltv(spark, out, info)) == before
+    take_in([("u1", "store_complete_checkout", None, None, 10.0)])
+    got = {r.distinct_id: r.store_value for r in read_ltv(spark, out, info).collect()}
+    assert got == {"u1": 17.0, "u2": 1.0}
