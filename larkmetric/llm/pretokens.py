@@ -93,7 +93,7 @@ class Pieces:
     At most ``limit`` pre-tokens are held; then it starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000) -> None:
+    def __init__(self, path: str, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

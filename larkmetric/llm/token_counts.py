@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from larkmetric.llm import arrays, pretokens
 from larkmetric.llm.store import tagged
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 FREQUENCIES = "bucket int, block long, n_docs int, lengths binary, words binary, n_docs_of binary, docs binary, counts binary"
 SUMS = "block long, docs binary, sums binary"
 
