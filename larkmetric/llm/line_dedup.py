@@ -155,15 +155,16 @@ def repeated_lines(
     long = F.filter(F.arrays_zip("hashes", "sizes"), lambda x: x["sizes"] >= min_line_bytes)
     each = held.select(order.alias("row"), F.explode(F.array_distinct(F.transform(long, lambda x: x["hashes"]))).alias("h"))
     homes = each.groupBy("h").agg(F.min("row").alias("home"), F.count("*").alias("n")).where("n > 1")
-    homes = homes.select((F.col("h") + F.lit(0)).alias("of"), "home")
+    # Joined on expressions: both sides get a shuffle of their own, so AQE can split a hot line.
+    homes = homes.select(F.bitwise_not("h").alias("of"), "home")
     pairs = (
-        each.join(homes, each["h"] == homes["of"])
+        each.join(homes, F.bitwise_not(each["h"]) == homes["of"])
         .where(F.col("row.rid") != F.col("home.rid"))
         .select(F.col("home.rid").alias("earlier"), F.col("row.rid").alias("later"))
         .distinct()
     )
-    first = held.select((F.col("rid") + F.lit(0)).alias("r1"), F.col("hashes").alias("a"))
-    second = held.select((F.col("rid") + F.lit(0)).alias("r2"), F.col("hashes").alias("b"), "sizes")
+    first = held.select(F.col("rid").alias("r1"), F.col("hashes").alias("a"))
+    second = held.select(F.col("rid").alias("r2"), F.col("hashes").alias("b"), "sizes")
     pairs = pairs.join(first, pairs["earlier"] == first["r1"]).select("later", "a")
     pairs = pairs.join(second, pairs["later"] == second["r2"]).select("later", "a", "b", "sizes")
 

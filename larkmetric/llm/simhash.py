@@ -230,7 +230,8 @@ def near_groups(
         "simhash-roots",
     )
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of_root")
-    named = labelled.join(least, labelled["root"] == least["of_root"]).select(F.col("fp").alias("of"), "component_id", "root")
+    named = labelled.join(least, labelled["root"] == least["of_root"])
+    named = named.select(F.col("fp").alias("of"), "component_id", "root")
     return marked.join(named, marked["fp"] == named["of"]).select("rid", "doc_id", "fp", "component_id", "root")
 
 
@@ -239,5 +240,5 @@ def repeated(groups: DataFrame) -> DataFrame:
     best = groups.groupBy(F.col("root").alias("of")).agg(
         F.min(F.struct(F.isnull("doc_id"), "doc_id", "rid")).alias("best"), F.count("*").alias("n")
     )
-    several = best.where("n > 1").select((F.col("of") + F.lit(0)).alias("of"), F.col("best.rid").alias("stays"))
-    return groups.join(several, groups["root"] == several["of"]).where("rid != stays").select("rid")
+    several = best.where("n > 1").select(F.bitwise_not("of").alias("of"), F.col("best.rid").alias("stays"))
+    return groups.join(several, F.bitwise_not(groups["root"]) == several["of"]).where("rid != stays").select("rid")
