@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larkmetric.llm import arrays, bloom
 from larkmetric.llm.store import free_name, stored, tagged
 
-#: A line of fewer bytes is no evidence: unrelated documents share it by chance.
+#: A line of fewer bytes is no evidence alone, as unrelated documents share it by chance, but with those after it.
 MIN_LINE_BYTES = 32
 #: Aligned blocks of fewer bytes stay.
 MIN_BLOCK_BYTES = 32
@@ -47,6 +47,23 @@ def _lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return arrays.span_hashes(arrays.BYTE_VALUE[data], begin, end), end - begin, n
 
 
+def _evidence(
+    hashes: np.ndarray, sizes: np.ndarray, n: np.ndarray, min_line_bytes: int, min_block_bytes: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lines of ``min_line_bytes``, and of the shortest runs of ``min_block_bytes`` from each other line on.
+
+    Also their number in each text. Any block of ``min_block_bytes`` has one of them within it.
+    """
+    upto = np.append(0, np.cumsum(sizes))
+    alone = sizes >= min_line_bytes
+    start = np.arange(len(sizes))
+    end = np.where(alone, start + 1, np.searchsorted(upto, upto[:-1] + min_block_bytes))
+    # A run that begins with a blank line holds no more than the one after it.
+    of = np.repeat(np.arange(len(n)), n)
+    some = np.flatnonzero((alone | (sizes > 0)) & (end <= np.cumsum(n)[of]))
+    return arrays.span_hashes(hashes, start[some], end[some]), np.bincount(of[some], minlength=len(n))
+
+
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain of pairs that increases on both sides; ``pairs`` are sorted by the first."""
     tails: list[int] = []
@@ -128,10 +145,12 @@ def repeated_lines(
     Of two rows the one with the smaller id (null last), then the first in the
     scan, is the earlier. Lines are equal when they are without white space
     around them. Each line of at least ``min_line_bytes``, long enough to be rare,
-    pairs a row with the first row that holds it: every line repeated from an
-    earlier row is so covered by one partner, however many rows share it, and a
-    line in a third of all rows gives one pair a row. Pairs are aligned by
-    patience diff over whole texts. Null and empty texts have no such line.
+    pairs a row with the first row that holds it, and so does each run of lines
+    that begins with a shorter one and goes on until it has ``min_block_bytes``:
+    each gives one partner, however many rows share it, and a line in a third of
+    all rows gives one pair a row. Pairs are aligned by patience diff over whole
+    texts; a block that only other holders have in the same order stays. Null and
+    empty texts have no such line.
     """
     rows = tagged(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -140,20 +159,22 @@ def repeated_lines(
         for batch in batches:
             for part, data, bounds in arrays.chunks(batch):
                 h, size, n = _lines(data, bounds)
+                keys, n_keys = _evidence(h, size, n, min_line_bytes, min_block_bytes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(1),
                         arrays.lists(h.view(np.int64), n, pa.int64()),
                         arrays.lists(size.astype(np.int32), n, pa.int32()),
+                        arrays.lists(keys.view(np.int64), n_keys, pa.int64()),
                     ],
-                    names=["rid", "doc_id", "hashes", "sizes"],
+                    names=["rid", "doc_id", "hashes", "sizes", "keys"],
                 )
 
-    held = stored(rows.mapInArrow(make, f"rid long, doc_id {kind}, hashes array<long>, sizes array<int>"), "lines")
+    fields = f"rid long, doc_id {kind}, hashes array<long>, sizes array<int>, keys array<long>"
+    held = stored(rows.mapInArrow(make, fields), "lines")
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "rid")
-    long = F.filter(F.arrays_zip("hashes", "sizes"), lambda x: x["sizes"] >= min_line_bytes)
-    each = held.select(order.alias("row"), F.explode(F.array_distinct(F.transform(long, lambda x: x["hashes"]))).alias("h"))
+    each = held.select(order.alias("row"), F.explode(F.array_distinct("keys")).alias("h"))
     homes = each.groupBy("h").agg(F.min("row").alias("home"), F.count("*").alias("n")).where("n > 1")
     # Joined on expressions: both sides get a shuffle of their own, so AQE can split a hot line.
     homes = homes.select(F.bitwise_not("h").alias("of"), "home")
