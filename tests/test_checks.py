@@ -4,7 +4,7 @@ import os
 
 import pytest
 from compare import connect, difference
-from conftest import SF_DIR
+from compare import SF_DIR
 
 import __spark_entry__ as entry_point
 from larkmetric.plans.checks import CHECKS

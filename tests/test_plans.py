@@ -1,7 +1,7 @@
 """What the plans must and must not hold."""
 
 import pytest
-from conftest import SF_DIR
+from compare import SF_DIR
 from pyspark.sql import functions as F
 
 from larkmetric.operators import clean, dedup, enrich, identity, metrics
