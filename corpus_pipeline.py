@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, folds, language, line_dedup, near_copies, packing, simhash
+from larkmetric.llm import decontaminate, folds, language, line_dedup, packing, simhash
 from larkmetric.llm.queries import TOKENIZER, reach_workers, read
 from larkmetric.llm.store import stored, without_rows
 
@@ -44,9 +44,14 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of at least 0.8) the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id, null last, then the first in the scan.
+
+    Near copies are linked where SimHash fingerprints of four-word shingles differ in
+    at most four bits, by the operator and parameters of ``op8_simhash``. Documents
+    without words, null texts among them, are one group; ids that repeat stay apart.
+    """
     reach_workers(spark)
-    return without_rows(docs, simhash.repeated(near_copies.near_groups(docs)), "near-copies")
+    return without_rows(docs, simhash.repeated(simhash.near_groups(docs)), "near-copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
