@@ -1,7 +1,8 @@
 """Texts of an Arrow batch as flat numpy arrays: bytes, words, rolling hashes.
 
-All hashes are polynomials over 64-bit values, modulo 2**64 and mixed at the
-end; equal inputs have equal hashes in every task.
+Hashes of spans are two polynomials modulo a prime, mixed at the end; equal
+inputs have equal hashes in every task. Modulo 2**64 they would be cheaper, but
+there some structured strings share a hash under any base.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ CHUNK_BYTES = 1 << 19
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = U64(pow(int(BASE), -1, 1 << 64))
+PRIME = U64((1 << 31) - 1)
+PRIME_BASES = (1_283_746_519, 902_147_681)
 _rng = np.random.Generator(np.random.PCG64(20240601))
 BYTE_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -83,12 +86,51 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A number under 2**32 that equals ``x`` modulo ``PRIME``, for ``x`` under 2**62; in place."""
+    high = x >> U64(31)
+    x &= PRIME
+    x += high
+    return x
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo ``PRIME``, for ``x`` under 2**62."""
+    x = _folded(_folded(x.copy()))
+    x[x == PRIME] = 0
+    return x
+
+
+_prime_powers: dict[int, np.ndarray] = {}
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """``base ** (0, 1, ... n - 1)`` modulo ``PRIME``, kept for up to two chunks."""
+    have = _prime_powers.get(base)
+    if have is None or len(have) < n:
+        have = np.ones(1, dtype=np.uint64)
+        while len(have) < n:
+            step = U64(pow(base, len(have), int(PRIME)))
+            have = np.concatenate([have, _residue(have * step)])
+        if n <= 2 * CHUNK_BYTES:
+            _prime_powers[base] = have
+    return have[:n]
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each ``values[start:end]``; lengths count too."""
+    """A hash of each ``values[start:end]``; lengths count too.
+
+    One polynomial takes the low half of each value, another the high half.
+    """
     n = len(values)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * powers(INVERSE, n), dtype=np.uint64, out=sums[1:])
-    h = (sums[ends] - sums[starts]) * powers(BASE, n + 1)[starts]
+    halves = []
+    for base, part in zip(PRIME_BASES, (values & PRIME, values >> U64(33))):
+        part *= prime_powers(pow(base, -1, int(PRIME)), n)
+        np.cumsum(_folded(part), out=sums[1:])
+        span = _residue(sums[ends] - sums[starts])
+        halves.append(_residue(span * prime_powers(base, n + 1)[starts]))
+    h = (halves[0] << U64(33)) ^ (halves[1] << U64(2))
     return mix(h + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
 
 

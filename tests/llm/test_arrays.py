@@ -32,6 +32,21 @@ def test_pieces_are_the_tokenizers(texts):
     assert got == [HOLDER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def twins(n):
+    """Two words that share every polynomial hash modulo 2**64 if ``n`` is a power of two from 1,024 on."""
+    odd = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[k] for k in odd), "".join("ba"[k] for k in odd)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_structured_words_have_hashes_of_their_own(n):
+    a, b = twins(n)
+    data = np.frombuffer(f"{a} {b} {a}".encode(), np.uint8)
+    at = np.array([0, n + 1, 2 * n + 2])
+    first, second, third = arrays.span_hashes(arrays.BYTE_VALUE[data], at, at + n)
+    assert first == third and first != second
+
+
 def test_chunks_keep_every_row():
     texts = ["x" * n for n in (0, 5, 100, 3, 0, 0, 7, 300, 1)]
     batch = pa.record_batch({"text": pa.array(texts)})

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from test_arrays import twins
 
 from larkmetric.llm import (
     decontaminate,
@@ -110,6 +111,18 @@ def test_token_counts(docs, ordered, library):
     assert got == multiset(want)
 
 
+def test_words_of_one_polynomial(workers, frame, library):
+    """Long words that differ but share polynomial hashes modulo 2**64."""
+    rows = [(2 * k + i, t) for k, n in enumerate((1024, 4096)) for i, t in enumerate(twins(n))]
+    docs = frame(rows, 1)
+    assert plain(token_counts.token_counts(docs, TOKENIZER), "doc_id", "n_tokens") == multiset((i, len(library.encode(t).ids)) for i, t in rows)
+    got = {(r.doc_id, r.start): r.ids for r in packing.cut(docs, TOKENIZER).collect()}
+    for i, t in rows:
+        assert [x for k in sorted(got) if k[0] == i for x in got[k]] == [*library.encode(t).ids, packing.END]
+    kept, _, lost = line_dedup.without_repeats(docs)
+    assert all(r[lost] == 0 for r in kept.collect())
+
+
 def test_token_counts_of_many_small_rows(frame, library):
     rows = [(i, f"the cat {i % 9}") for i in range(300)]
     got = plain(token_counts.token_counts(frame(rows), TOKENIZER), "doc_id", "n_tokens")
