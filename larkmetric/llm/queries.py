@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, simhash, sketches, suffix_dedup, token_counts, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -118,6 +118,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.edited_likeness(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.text_of(F.col("sketch")).alias("fingerprint"),
+        sketches.text_of(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
@@ -129,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 CHECKS: dict[str, str] = {
