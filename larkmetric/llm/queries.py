@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, simhash, sketches, suffix_dedup, token_counts, toxicity
+from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, ranked_search, simhash, sketches, suffix_dedup, token_counts, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -118,6 +118,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(read(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read(spark, sf_dir, "benchmark"))
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sketches.edited_likeness(read(spark, sf_dir, "documents"))
     return found.select(
@@ -142,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op12_ranked_search": op12_ranked_search,
     "op13_document_fingerprints": op13_document_fingerprints,
 }
 
@@ -209,4 +215,33 @@ CHECKS: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+        ), s AS (
+            SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0
+        ), m AS (
+            SELECT doc_id, t, 100 - 75 + ((75 * len(t) * n_docs) // n_terms) AS m FROM d, s WHERE len(t) > 0
+        ), i AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+            ) GROUP BY item_id, term
+        ), p AS (
+            SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(t) AS term FROM m)
+            WHERE term IN (SELECT term FROM i) GROUP BY doc_id, m, term
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+        ), r AS (
+            SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM i JOIN p USING (term) JOIN w USING (term) GROUP BY item_id, doc_id
+        ), o AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM r WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+    """,
 }
