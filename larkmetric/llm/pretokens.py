@@ -90,18 +90,24 @@ def split(data: np.ndarray, bounds: np.ndarray, special: tuple[bytes, ...] = ())
 class Pieces:
     """The ids of pre-tokens by hash, each asked of the tokenizer once while held.
 
-    At most ``limit`` pre-tokens are held; then it starts anew.
+    At most ``limit`` pre-tokens are held; then it starts anew. ``plain`` takes
+    special strings in a text as ordinary text.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 1_000_000, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else self.tokenizer.get_added_tokens_decoder().values()
+        self.special = tuple(t.content.encode() for t in added)
         self.limit = limit
         self._clear()
 
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def _clear(self) -> None:
         self.keys = np.empty(0, np.uint64)
         self.start = np.empty(0, np.int64)
@@ -119,7 +125,7 @@ class Pieces:
                 self._clear()
                 return self.look_up(keys, data, starts, ends)
             words = [data[i:j].decode("utf-8", "replace") for i, j in zip(starts[new].tolist(), ends[new].tolist())]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            found = self._encode(words)
             count = np.fromiter(map(len, found), np.int64, len(found))
             ids = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
             all_keys = np.concatenate([self.keys, keys[new]])

@@ -10,9 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkmetric.llm import decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, ranked_search, simhash, sketches, suffix_dedup, token_counts, toxicity
+from larkmetric.llm import alignment, decontaminate, exact_dedup, folds, language, line_dedup, packing, quality, ranked_search, simhash, sketches, suffix_dedup, token_counts, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1024
 
 
@@ -118,6 +119,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return alignment.alignments(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER_TOKENIZER))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.build_index(read(spark, sf_dir, "documents"))
     return ranked_search.search(index, read(spark, sf_dir, "benchmark"))
@@ -147,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_token_alignment": op11_token_alignment,
     "op12_ranked_search": op12_ranked_search,
     "op13_document_fingerprints": op13_document_fingerprints,
 }
