@@ -30,7 +30,7 @@ from ..sources import scans, sinks
 class Lake:
     """Where each table lies.
 
-    Folders are partitioned by ``date``; those whose rows have a date of their
+    Tables are kept by ``date``; those whose rows have a date of their
     own (cost sheets, pincrux exports) by ``file_date``.
     """
 
@@ -40,7 +40,12 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+        """All days."""
+        return scans.read_all(spark, self.path(name))
+
+    def day(self, spark: SparkSession, name: str, day: str | dt.date) -> DataFrame:
+        """One day, which must be there."""
+        return scans.read_period(spark, self.path(name), day, day)
 
     def latest(self, spark: SparkSession, name: str, as_of: str | dt.date) -> DataFrame:
         return scans.latest_snapshot(spark, self.path(name), as_of).drop("date")
@@ -94,7 +99,7 @@ def cleanse_events(
 ) -> None:
     """Raw events of the day to ``events``."""
     day = days_before(as_of, 0)
-    raw = lake.table(spark, "raw_events").where(F.col("date") == day).drop("date")
+    raw = lake.day(spark, "raw_events", day).drop("date")
     types = lake.latest(spark, "challenge_mart", as_of).select("challenge_id", "service_type")
     sinks.save_day(clean_events(raw, types, rules), lake.path("events"), day)
 
@@ -176,7 +181,7 @@ def report_campaigns(
     day = days_before(as_of, 0)
     start = days_before(as_of, max(PERIODS.values()) - 1)
     events = scans.read_period(spark, lake.path("event_report"), start, day).drop("date")
-    ads = lake.table(spark, "channel_report").where(F.col("date") == day)
+    ads = lake.day(spark, "channel_report", day)
     report = metrics.campaign_report(events, as_of, ad_report=ads, names=names)
     sinks.save_report(report, lake.path("campaign_report"), day)
 
@@ -209,7 +214,8 @@ def accumulate_ltv(
     if first_day:
         state = ltv.empty_state(spark)
     else:
-        state = scans.require_snapshot(lake.table(spark, "ltv"), days_before(as_of, 1))
-    events = lake.table(spark, "event_report").where(F.col("date") == day)
+        eve = days_before(as_of, 1)
+        state = scans.require_snapshot(lake.day(spark, "ltv", eve), eve)
+    events = lake.day(spark, "event_report", day)
     info = lake.latest(spark, "user_info", as_of)
     sinks.save_day(ltv.accumulate(state, events, info, as_of, names, rules), lake.path("ltv"), day)

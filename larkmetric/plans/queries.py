@@ -880,12 +880,15 @@ def csv_text_scan(spark, sf_dir):
     return scans.read_csv(spark, path)
 
 
-def _daily_files(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "daily", sf_dir)
-    rows = fixture(spark, sf_dir, "fx_event").select(
+def _daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark, sf_dir, "fx_event").select(
         "event_id", "event", "distinct_id", F.col("event_date").alias("date")
     )
-    sinks.save_snapshot(rows, path)
+
+
+def _daily_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_dir(spark, "snapshots", sf_dir)
+    sinks.save_snapshot(_daily_rows(spark, sf_dir), path)
     return path
 
 
@@ -899,7 +902,8 @@ def regex_scan(spark, sf_dir):
 
 @query
 def period_file_scan(spark, sf_dir):
-    path = _daily_files(spark, sf_dir)
+    path = scratch_dir(spark, "daily", sf_dir)
+    _daily_rows(spark, sf_dir).repartition("date").write.mode("overwrite").partitionBy("date").parquet(path)
     files = scans.read_period_files(spark, path, "2024-01-10", "2024-01-20", ["event_id", "Date", "absent"])
     return files.withColumnRenamed("Date", "file_date")
 
@@ -916,14 +920,14 @@ def period_csv_scan(spark, sf_dir):
 
 @query
 def period_scan(spark, sf_dir):
-    path = _daily_files(spark, sf_dir)
+    path = _daily_snapshots(spark, sf_dir)
     return scans.read_period(spark, path, "2024-01-24", "2024-02-03", ["event_id", "event", "date", "absent"])
 
 
 @query
 def latest_snapshot(spark, sf_dir):
     """The newest day up to a date some days after the last."""
-    path = _daily_files(spark, sf_dir)
+    path = _daily_snapshots(spark, sf_dir)
     return scans.latest_snapshot(spark, path, "2024-02-03").select("event_id", "event", "date")
 
 
@@ -932,7 +936,7 @@ def typed_save(spark, sf_dir):
     path = scratch_dir(spark, "typed", sf_dir)
     rows = _raw(spark, sf_dir).select("seq", "amount", F.col("kind_flag").alias("flag"), F.col("event_date").alias("date"))
     sinks.save_typed(rows, path, ["amount"], ["flag"])
-    return spark.read.parquet(path)
+    return scans.read_all(spark, path)
 
 
 @query

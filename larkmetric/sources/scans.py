@@ -1,8 +1,8 @@
 """Reading daily files (SRC-1 … SRC-9, SRC-11, SRC-12).
 
-Folders keep the date in the name of a file (``date=2024-01-30.parquet.gz``) or
-of a partition. Names are listed first, and only chosen files are opened, so
-what lies in other days can neither slow nor break a scan.
+Folders keep the date in the name of a file (``date=2024-01-30.parquet.gz``), of a
+partition, or in the log of published days. Names of the period are listed first, and only
+chosen files are opened, so what lies in other days can neither slow nor break a scan.
 """
 
 from __future__ import annotations
@@ -10,17 +10,23 @@ from __future__ import annotations
 import datetime as dt
 import re
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import ATTRIBUTION_COLUMNS, ATTRIBUTION_KINDS, ATTRIBUTION_RENAMES, ATTRIBUTION_SKIPPED
 from ..functions import days_before, text_to_date
 from ..operators.clean import select_existing
+from .listing import day_glob, found_files, list_files, month_glob, months_back
+from .versions import Version, day_of, published, read_versions
 
 FILE_PATH = "_metadata.file_path"
+FILE_NAME = "_file_path"
 FILE_DATE = r"date=(\d{4}-\d{2}-\d{2})"
+#: Files whose first lines are read at once.
+HEADERS_AT_ONCE = 16
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -47,17 +53,6 @@ def _wanted(df: DataFrame, columns: list[str] | None) -> DataFrame:
     return df if columns is None else select_existing(df, columns)
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of all files under ``path``; none is opened. Empty when there is no such folder."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        return sorted(row.path for row in reader.load(path).select("path").collect())
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-
-
 def _chosen(spark: SparkSession, files: list[str], what: str) -> DataFrame:
     """These parquet files stacked by column name; others are not opened, not even for their schema."""
     if not files:
@@ -68,9 +63,11 @@ def _chosen(spark: SparkSession, files: list[str], what: str) -> DataFrame:
 def read_matching(
     spark: SparkSession, path: str, regex: str, columns: list[str] | None = None, distinct: bool = False
 ) -> DataFrame:
-    """Parquet files under ``path`` whose full name matches, stacked by column name."""
-    files = [f for f in list_files(spark, path) if re.search(regex, f)]
-    df = _wanted(_chosen(spark, files, f"in {path} matches {regex}"), columns)
+    """Parquet files under ``path`` whose full name matches, stacked by column name.
+
+    ``path`` may be a glob pattern, such as a month's folders; nothing beside what it matches is listed.
+    """
+    df = _wanted(_chosen(spark, list_files(spark, path, regex), f"in {path} matches {regex}"), columns)
     return df.dropDuplicates() if distinct else df
 
 
@@ -78,45 +75,98 @@ def file_date() -> Column:
     return F.regexp_extract(FILE_PATH, FILE_DATE, 1)
 
 
+def _dated_files(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> dict[str, list[str]]:
+    """Files with a day of the period in their own name or in that of a folder right under ``path``, by day."""
+    days: dict[str, list[str]] = {}
+    for file in list_files(spark, f"{path.rstrip('/')}/*date={day_glob(first, last)}*", FILE_DATE):
+        day = re.search(FILE_DATE, file)[1]
+        if str(first) <= day <= str(last):
+            days.setdefault(day, []).append(file)
+    return days
+
+
 def read_period_files(
     spark: SparkSession, path: str, start: str, end: str, columns: list[str] | None = None
 ) -> DataFrame:
     """Legacy daily parquet files from start to end, with the file's date as ``Date``."""
-    dated = [(re.search(FILE_DATE, f), f) for f in list_files(spark, path)]
-    files = [f for m, f in dated if m and start <= m[1] <= end]
+    days = _dated_files(spark, path, days_before(start, 0), days_before(end, 0))
+    files = [f for held in days.values() for f in held]
     df = _chosen(spark, files, f"in {path} from {start} to {end}").select("*", file_date().alias("Date"))
     return df if columns is None else select_existing(df, columns)
 
 
+def _headers(spark: SparkSession, files: list[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files that have the same header line, by its names. Of each file the first line alone is read, many at a time."""
+    with ThreadPool(HEADERS_AT_ONCE) as pool:
+        names = pool.map(lambda file: tuple(read_csv(spark, file, multi_line).columns), files)
+    held: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(names, files):
+        held.setdefault(header, []).append(file)
+    held.pop((), None)  # files without a line
+    return held
+
+
+def read_by_header(spark: SparkSession, files: list[str], multi_line: bool = False) -> DataFrame:
+    """CSV files stacked by the names in their own headers, every column as text, with ``FILE_PATH`` still to be had.
+
+    A CSV reader knows a single header and goes by position in all its files, so
+    files are read by one reader for each header there is. Headers may differ in order and in columns; a column that a file does not
+    have is null. Names that differ in case only are one column.
+    """
+    frames = []
+    for header, held in _headers(spark, files, multi_line).items():
+        schema = StructType([StructField(name, StringType()) for name in header])
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+        frames.append(reader.csv(held).select("*", F.col(FILE_PATH).alias(FILE_NAME)))
+    if not frames:
+        raise LookupError(f"no header in {files}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_period_csv(
     spark: SparkSession, path: str, start: str | dt.date, end: str | dt.date, columns: list[str] | None = None
 ) -> DataFrame:
-    """Daily CSV files ``date=….csv.gz``, whose headers may differ from day to day.
-
-    One reader per day of the period that has files, as a CSV reader knows a
-    single header.
-    """
+    """Daily CSV files ``date=….csv.gz``, whose headers may differ from day to day and within a day."""
     first, last = days_before(start, 0), days_before(end, 0)
-    days: dict[str, list[str]] = {}
-    for file in list_files(spark, path):
-        if (m := re.search(FILE_DATE, file)) and str(first) <= m[1] <= str(last):
-            days.setdefault(m[1], []).append(file)
+    days = _dated_files(spark, path, first, last)
     if not days:
         raise LookupError(f"no file in {path} from {first} to {last}")
-    frames = [read_csv(spark, files).withColumn("Date", F.lit(day)) for day, files in days.items()]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return _wanted(stacked, columns)
+    rows = read_by_header(spark, [f for held in days.values() for f in held])
+    day = F.regexp_extract(FILE_NAME, FILE_DATE, 1)
+    return _wanted(rows.withColumn("Date", day).drop(FILE_NAME), columns)
+
+
+def _landed(spark: SparkSession, path: str, days: str, date: str) -> set[str]:
+    """The matching days that have plain folders, as others write them."""
+    files = found_files(spark, f"{path.rstrip('/')}/{date}={days}")
+    if files is None:
+        return set()
+    names = files.select(F.regexp_extract("path", rf"/{date}=([^/]*)/", 1).alias("day")).distinct()
+    return {r["day"] for r in names.collect()}
 
 
-def snapshot_days(spark: SparkSession, path: str, date: str = "date") -> list[dt.date]:
-    """The days a folder partitioned by ``date`` has files of, oldest first."""
-    names = {m[1] for f in list_files(spark, path) if (m := re.search(rf"/{date}=(\d{{4}}-\d{{2}}-\d{{2}})/", f))}
-    return [dt.date.fromisoformat(day) for day in sorted(names)]
+def _days(spark: SparkSession, path: str, first: dt.date | None, last: dt.date, date: str) -> dict[str, Version | None]:
+    """The days of a period: their published version, or None for a plain folder. A published day hides a plain one."""
+    found = {**dict.fromkeys(_landed(spark, path, day_glob(first, last), date)), **published(spark, path, month_glob(first, last))}
+    return {name: v for name, v in found.items() if (day := day_of(name)) and (first is None or first <= day) and day <= last}
 
 
-def _read_days(spark: SparkSession, path: str, days: list[dt.date], date: str) -> DataFrame:
-    folders = [f"{path.rstrip('/')}/{date}={day}" for day in days]
-    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
+def _read_days(spark: SparkSession, path: str, days: dict[str, Version | None], date: str) -> DataFrame:
+    """These days, stacked by column name; plain ones are opened for their columns, published ones are not."""
+    frames = []
+    if versions := [v for v in days.values() if v]:
+        frames.append(read_versions(spark, path, versions, date))
+    if folders := [f"{path.rstrip('/')}/{date}={day}" for day, v in days.items() if not v]:
+        frames.append(spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_all(spark: SparkSession, path: str, date: str = "date") -> DataFrame:
+    """Every day of a snapshot folder, and rows without a day; none at all is an error."""
+    days = {**dict.fromkeys(_landed(spark, path, "*", date)), **published(spark, path)}
+    if not days:
+        raise LookupError(f"no file in {path}")
+    return _read_days(spark, path, days, date)
 
 
 def read_period(
@@ -127,12 +177,12 @@ def read_period(
     columns: list[str] | None = None,
     date: str = "date",
 ) -> DataFrame:
-    """A snapshot folder partitioned by ``date``: the days of the period it has.
+    """A snapshot folder by ``date``: the days of the period it has.
 
-    Other days' files are not opened. A period without any file is an error.
+    Other days are neither listed nor opened. A period without any day is an error.
     """
     first, last = days_before(start, 0), days_before(end, 0)
-    days = [day for day in snapshot_days(spark, path, date) if first <= day <= last]
+    days = _days(spark, path, first, last, date)
     if not days:
         raise LookupError(f"no file in {path} from {first} to {last}")
     return _wanted(_read_days(spark, path, days, date), columns)
@@ -141,14 +191,16 @@ def read_period(
 def latest_snapshot(spark: SparkSession, path: str, as_of: str | dt.date, date: str = "date") -> DataFrame:
     """Rows of the newest day with rows, up to ``as_of``, however old; none is an error.
 
-    Days come from the names of the folders; only days without rows and the one
-    returned are opened.
+    Days are listed month by month, backwards, and all older ones at once only after a year without rows. Only days without
+    rows and the one returned are opened.
     """
-    last = days_before(as_of, 0)
-    for day in reversed(snapshot_days(spark, path, date)):
-        if day <= last and not (rows := _read_days(spark, path, [day], date)).isEmpty():
-            return rows
-    raise LookupError(f"no snapshot in {path} up to {last}")
+    as_of = days_before(as_of, 0)
+    for first, last in months_back(as_of):
+        found = _days(spark, path, first, last, date)
+        for name in sorted(found, reverse=True):
+            if not (rows := _read_days(spark, path, {name: found[name]}, date)).isEmpty():
+                return rows
+    raise LookupError(f"no snapshot in {path} up to {as_of}")
 
 
 def require_snapshot(df: DataFrame, day: str | dt.date, date: str = "date") -> DataFrame:
@@ -162,9 +214,9 @@ def require_snapshot(df: DataFrame, day: str | dt.date, date: str = "date") -> D
 def read_report(
     spark: SparkSession, path: str, period: str, date: str | dt.date, columns: list[str] | None = None
 ) -> DataFrame:
-    """One period's report of one day."""
-    df = spark.read.parquet(path)
-    rows = df.where((F.col("period") == period) & (F.col("date") == days_before(date, 0)))
+    """One period's report of one day; no other day is listed."""
+    day = days_before(date, 0)
+    rows = read_period(spark, path, day, day).where(F.col("period") == period)
     return rows if columns is None else rows.select(*columns)
 
 
@@ -172,13 +224,16 @@ def read_attribution(spark: SparkSession, path: str, date: str | dt.date) -> Dat
     """A day's attribution CSV files of all apps and kinds, tagged ``appsflyer_type``.
 
     Names (of a file or of a folder of parts) end in ``<date>_<kind>.csv.gz``.
-    Re-attribution files are skipped.
+    Re-attribution files are skipped. Files may have columns in any order, and columns of their
+    own: each is read by its own header.
     """
     day = str(days_before(date, 0))
-    kind = F.regexp_extract(FILE_PATH, rf"{day}_({'|'.join(ATTRIBUTION_KINDS)})\.csv\.gz(/|$)", 1)
-    skipped = F.col(FILE_PATH).rlike("|".join(ATTRIBUTION_SKIPPED))
-    df = read_csv(spark, f"{path}/*{day}*.csv.gz")
-    return df.where((kind != "") & ~skipped).select("*", kind.alias("appsflyer_type"))
+    kind = rf"{day}_({'|'.join(ATTRIBUTION_KINDS)})\.csv\.gz(/|$)"
+    files = [f for f in list_files(spark, f"{path.rstrip('/')}/*{day}*.csv.gz", kind) if not re.search("|".join(ATTRIBUTION_SKIPPED), f)]
+    if not files:
+        raise LookupError(f"no attribution file in {path} of {day}")
+    rows = read_by_header(spark, files)
+    return rows.withColumn("appsflyer_type", F.regexp_extract(FILE_NAME, kind, 1)).drop(FILE_NAME)
 
 
 def shape_attribution(df: DataFrame) -> DataFrame:

@@ -8,36 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
+from .versions import publish
 
 
 def save_snapshot(df: DataFrame, path: str, partitions: tuple[str, ...] = ("date",)) -> None:
-    """Replace the partitions the frame has rows for; others, and an empty frame, change nothing.
+    """Replace the days the frame has rows for; others, and an empty frame, change nothing.
 
     Rebalancing by partition column gives few files of even size, and splits a
-    partition that holds most rows.
+    partition that holds most rows. Each day is published when all its files are there.
     """
-    (
-        df.hint("rebalance", *[F.col(p) for p in partitions])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "gzip")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    publish(df, path, partitions)
 
 
 def save_day(df: DataFrame, path: str, day: str | dt.date, partitions: tuple[str, ...] = ()) -> None:
-    """Replace a day's folder ``date=…`` whole, whatever partitions below it the day had before.
+    """Replace a day whole, whatever partitions below it the day had before.
 
-    An empty frame empties the day.
+    An empty frame empties the day. A write that fails leaves the day as it was.
     """
-    rows = df.drop("date")
-    if partitions:
-        rows = rows.hint("rebalance", *[F.col(p) for p in partitions])
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "gzip")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{path.rstrip('/')}/date={as_date(day)}")
+    day = as_date(day)
+    publish(df.withColumn("date", F.lit(day)), path, ("date", *partitions), [day])
 
 
 def typed(df: DataFrame, doubles: list[str], flags: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from ..config import LTV_COUNTS, LTV_VALUES, EventNames, LtvRules
 from ..operators.identity import devices_to_users
 from ..operators.ltv import contributions, sum_per_user
 from ..session import SETTINGS
-from ..sources.scans import list_files
+from ..sources.listing import list_files
 
 
 def run_ltv_stream(

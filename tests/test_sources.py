@@ -6,7 +6,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from larkmetric.sources import scans, sinks, tables
+from larkmetric.sources import listing, scans, sinks, tables
 
 
 def legacy_day(spark, base, day, data, schema):
@@ -56,7 +56,7 @@ def test_snapshots(spark, rows, tmp_path):
     sinks.save_snapshot(spark.createDataFrame([("a", day1), ("b", day2)], schema), path)
     sinks.save_snapshot(spark.createDataFrame([("c", day2)], schema), path)
     sinks.save_snapshot(spark.createDataFrame([], schema), path)
-    df = spark.read.parquet(path)
+    df = scans.read_all(spark, path)
     assert rows(df) == [("a", day1), ("c", day2)]
     assert rows(scans.latest_snapshot(spark, path, "2024-01-09"), "v") == [("c",)]
     assert rows(scans.latest_snapshot(spark, path, "2024-01-04"), "v") == [("a",)]
@@ -83,18 +83,18 @@ def test_report_folders(spark, rows, tmp_path):
     schema = "period string, level string, date date, mau int"
     sinks.save_report(spark.createDataFrame(data, schema), path, day)
     assert rows(scans.read_report(spark, path, "daily", day, ["level", "mau"])) == [("media_source", 2)]
-    assert (tmp_path / "report" / "date=2024-01-30" / "period=monthly" / "level=campaign").is_dir()
+    assert list(tmp_path.glob("report/data/*/date=2024-01-30/period=monthly/level=campaign"))
     sinks.save_report(spark.createDataFrame(data[1:], schema), path, day)
-    assert rows(spark.read.parquet(path), "period") == [("daily",)], "fewer periods leave none of the old ones"
+    assert rows(scans.read_all(spark, path), "period") == [("daily",)], "fewer periods leave none of the old ones"
     sinks.save_report(spark.createDataFrame([("weekly", "campaign", None, 3)], schema), path, "2024-01-31")
     sinks.save_report(spark.createDataFrame([], schema), path, day)
-    assert rows(spark.read.parquet(path), "period") == [("weekly",)], "an empty day replaces too"
+    assert rows(scans.read_all(spark, path), "period") == [("weekly",)], "an empty day replaces too"
 
 
 def test_typed_save(spark, rows, tmp_path):
     df = spark.createDataFrame([("x", None, "2024-01-01"), ("2.5", "true", "2024-01-01")], "n string, f string, date string")
     sinks.save_typed(df, str(tmp_path / "t"), ["n"], ["f"])
-    assert rows(spark.read.parquet(str(tmp_path / "t")), "n", "f") == [(0.0, False), (2.5, True)]
+    assert rows(scans.read_all(spark, str(tmp_path / "t")), "n", "f") == [(0.0, False), (2.5, True)]
 
 
 def test_csv_sink_fills_zero(spark, rows, tmp_path):
@@ -119,6 +119,122 @@ def test_attribution_files(spark, rows, tmp_path):
     ]
 
 
+def test_attribution_files_of_two_apps(spark, rows, tmp_path):
+    """Four kinds and two apps, each file with columns in an order of its own, some missing, some of its own."""
+    columns = {"Event Name": "e{i}", "Event Time": "2024-01-30 10:00:0{i}", "AppsFlyer ID": "d{i}", "Customer User ID": "u{i}", "Media Source": "m{i}"}
+    kinds = ["inapp", "install", "org_inapp", "org_install"]
+    want = []
+    for i, (app, kind) in enumerate((a, k) for a in ("ios", "aos") for k in kinds):
+        names = list(columns)[i % 5 :] + list(columns)[: i % 5]
+        names = [n for n in names if n != "Media Source" or i % 2]
+        text = ",".join([*names, f"Extra {i}"]) + "\n" + ",".join([*(columns[n].format(i=i) for n in names), '"x, y"']) + "\n"
+        (tmp_path / f"{app}_2024-01-30_2024-01-30_{kind}.csv.gz").write_bytes(gzip.compress(text.encode()))
+        want.append((f"e{i}", f"2024-01-30 10:00:0{i}", f"d{i}", f"u{i}", kind, dt.date(2024, 1, 30)))
+    (tmp_path / "web_2024-01-30_2024-01-30_inapp.csv.gz").write_bytes(gzip.compress(b""))
+    # A folder of parts, of which one has another header.
+    folder = tmp_path / "tv_2024-01-30_2024-01-30_install.csv.gz"
+    folder.mkdir()
+    for i, header in ((8, "Event Name,Event Time"), (9, "Event Time,Event Name")):
+        values = ",".join(columns[n].format(i=i) for n in header.split(","))
+        (folder / f"part-{i}.csv.gz").write_bytes(gzip.compress(f"{header}\n{values}\n".encode()))
+        want.append((f"e{i}", f"2024-01-30 10:00:0{i}", None, None, "install", dt.date(2024, 1, 30)))
+    raw = scans.read_attribution(spark, str(tmp_path), "2024-01-30")
+    df = scans.shape_attribution(raw)
+    assert rows(df, "event", "time", "appsflyer_id", "user_id", "appsflyer_type", "event_date") == want
+    assert {r["Extra 3"] for r in raw.collect()} == {None, "x, y"}
+    with pytest.raises(LookupError):
+        scans.read_attribution(spark, str(tmp_path), "2024-01-29")
+
+
+def test_csv_files_of_one_day_may_differ(spark, rows, tmp_path):
+    folder = tmp_path / "date=2024-01-02"
+    folder.mkdir()
+    for i, text in enumerate(("a,b\n1,x\n", "b,a\ny,2\n", "c\nz\n", "")):
+        (folder / f"p{i}.csv").write_text(text)
+    df = scans.read_period_csv(spark, str(tmp_path), "2024-01-01", "2024-01-05", ["a", "b", "c", "Date"])
+    assert rows(df) == [(None, None, "z", "2024-01-02"), ("1", "x", None, "2024-01-02"), ("2", "y", None, "2024-01-02")]
+
+
+def broken(spark, rows, schema):
+    """A frame that fails after some of its rows."""
+    fail = F.when(F.col("v") == "bad", F.raise_error(F.lit("half-way"))).otherwise(F.col("v"))
+    return spark.createDataFrame([*rows, ("bad", rows[0][1])], schema).repartition(4).withColumn("v", fail)
+
+
+def test_failed_writes_leave_days_as_they_were(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "v string, period string"
+    eve, day = dt.date(2024, 1, 29), dt.date(2024, 1, 30)
+    for d, v in ((eve, "old"), (day, "new")):
+        sinks.save_day(spark.createDataFrame([(v, "weekly"), (v, "daily")], schema), path, d, ("period",))
+    for partitions in ((), ("period",)):
+        with pytest.raises(Exception, match="half-way"):
+            sinks.save_day(broken(spark, [(f"x{k}", "daily") for k in range(50)], schema), path, day, partitions)
+        assert rows(scans.latest_snapshot(spark, path, day), "v", "period", "date") == [("new", "daily", day), ("new", "weekly", day)]
+        assert rows(scans.read_period(spark, path, eve, day), "v") == [("new",)] * 2 + [("old",)] * 2
+    with pytest.raises(Exception, match="half-way"):
+        sinks.save_snapshot(broken(spark, [("x", eve)], "v string, date date"), path)
+    assert rows(scans.read_period(spark, path, eve, eve), "v") == [("old",)] * 2
+    sinks.save_day(spark.createDataFrame([("again", "daily")], schema), path, day, ("period",))
+    assert rows(scans.latest_snapshot(spark, path, day), "v") == [("again",)]
+
+
+def test_unpublished_files_are_not_seen(spark, rows, tmp_path):
+    """A job killed after its rows were written and before they were published."""
+    path = str(tmp_path / "t")
+    sinks.save_day(spark.createDataFrame([("a",)], "v string"), path, "2024-01-30")
+    spark.createDataFrame([("b",)], "v string").write.parquet(f"{path}/data/_version=left/date=2024-01-30")
+    spark.createDataFrame([("c",)], "v string").write.parquet(f"{path}/data/_version=left/date=2024-01-31")
+    assert rows(scans.latest_snapshot(spark, path, "2024-02-02"), "v") == [("a",)]
+    assert rows(scans.read_all(spark, path), "v") == [("a",)]
+
+
+def test_published_days_hide_plain_ones_and_columns_may_grow(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for day in ("2023-12-31", "2024-01-01"):
+        spark.createDataFrame([("plain", 1)], "v string, n int").write.parquet(f"{path}/date={day}")
+    sinks.save_day(spark.createDataFrame([("mine", 2, "x")], "v string, n long, w string"), path, "2024-01-01")
+    sinks.save_day(spark.createDataFrame([], "v string, u string"), path, "2024-01-02")
+    df = scans.read_period(spark, path, "2023-12-01", "2024-01-31", ["v", "n", "w", "u", "date"])
+    assert rows(df) == [("mine", 2, "x", None, dt.date(2024, 1, 1)), ("plain", 1, None, None, dt.date(2023, 12, 31))]
+    assert scans.read_period(spark, path, "2024-01-02", "2024-01-02").columns == ["v", "u", "date"]
+
+
+def test_only_the_period_is_listed(spark, rows, tmp_path, monkeypatch):
+    """A lake of 2,000 days: what is listed is what the period has."""
+    start = dt.date(2024, 1, 28) - dt.timedelta(1999)
+    for i in range(2000):
+        folder = tmp_path / "plain" / f"date={start + dt.timedelta(i)}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_bytes(b"broken")
+    log = tmp_path / "t" / "log"
+    for i in range(0, 2000, 5):
+        month = log / f"month={start + dt.timedelta(i):%Y-%m}" / f"_version=00000001-v{i}"
+        month.mkdir(parents=True)
+        (month / "part-0.json").write_text('{"day": "%s", "files": 0, "columns": "{}"}' % (start + dt.timedelta(i)))
+    day = dt.date(2024, 1, 30)
+    for path in ("plain", "t"):
+        sinks.save_day(spark.createDataFrame([("a",)], "v string"), str(tmp_path / path), day)
+    listed = []
+    real = scans.found_files
+    monkeypatch.setattr(scans, "found_files", lambda spark, path: listed.append((path, found := real(spark, path))) or found)
+    assert rows(scans.latest_snapshot(spark, str(tmp_path / "plain"), "2024-02-03"), "v") == [("a",)]
+    assert rows(scans.read_period(spark, str(tmp_path / "plain"), day, day), "v") == [("a",)]
+    assert [files.count() for _, files in listed if files is not None] == [28], "the rest of that month alone"
+    assert len(scans._days(spark, str(tmp_path / "plain"), dt.date(2019, 3, 1), dt.date(2019, 3, 9), "date")) == 9
+    assert len(listed[-1][1].collect()) == 9
+    logs = spark.read.json(f"{tmp_path}/t/log/month=2019-03/_version=*")
+    assert len(logs.inputFiles()) == len(scans.published(spark, str(tmp_path / "t"), "2019-03"))
+
+
+def test_globs(tmp_path):
+    day = dt.date(2024, 1, 30)
+    assert listing.day_glob(day, day) == "2024-01-30" and listing.day_glob(None, day) == "*"
+    assert listing.day_glob(day, dt.date(2024, 2, 1)) == "{2024-01-30,2024-01-31,2024-02-01}"
+    assert listing.day_glob(dt.date(2023, 11, 9), day) == "{2023-11-*,2023-12-*,2024-01-*}"
+    assert listing.month_glob(dt.date(2023, 12, 31), day) == "{2023-12,2024-01}"
+    assert list(listing.months_back(day, 2)) == [(dt.date(2024, 1, 1), day), (dt.date(2023, 12, 1), dt.date(2023, 12, 31)), (None, dt.date(2023, 11, 30))]
+
+
 def test_exports(spark, rows, tmp_path):
     lines = [
         '{"event": "a", "properties": {"distinct_id": "u1", "media_source": "fb", "corp_name": null}}',
@@ -172,7 +288,7 @@ def test_large_tables_are_read_in_ranges(spark, rows):
 def test_broken_files_of_other_days_do_no_harm(spark, rows, tmp_path):
     path = str(tmp_path / "snap")
     data = [("a", dt.date(2024, 1, 3)), ("b", dt.date(2024, 1, 5))]
-    sinks.save_snapshot(spark.createDataFrame(data, "v string, date date"), path)
+    spark.createDataFrame(data, "v string, date date").write.partitionBy("date").parquet(path)
     for day in ("2020-01-01", "2024-01-09"):
         folder = tmp_path / "snap" / f"date={day}"
         folder.mkdir()
