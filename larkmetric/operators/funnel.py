@@ -37,6 +37,21 @@ def _steps(names: FunnelEvents) -> Column:
     )
 
 
+def _per_kind(events: DataFrame, names: FunnelEvents, by: tuple[str, ...] = ()) -> DataFrame:
+    """``event_date``, ``kind``, ``id``, ``steps``: a row of each kind of id for each event."""
+    ids = F.array(
+        F.struct(F.lit("device").alias("kind"), F.col("appsflyer_id").alias("id")),
+        F.struct(F.lit("user").alias("kind"), F.col("user_id").alias("id")),
+    )
+    return events.select(*by, "event_date", _steps(names).alias("steps"), F.inline(ids))
+
+
+def day_steps(events: DataFrame, names: FunnelEvents = FunnelEvents(), by: tuple[str, ...] = ()) -> DataFrame:
+    """The steps of each id on each day: what is kept of a day for the funnels of the next month."""
+    dated = _per_kind(events.where(F.col("event_date").isNotNull()), names, by)
+    return dated.groupBy(*by, "event_date", "kind", "id").agg(F.bit_or("steps").alias("steps"))
+
+
 def funnel(
     events: DataFrame,
     as_of: str | dt.date,
@@ -51,24 +66,22 @@ def funnel(
     enough: the month if the first day is there exactly, the others if some day is
     old enough. ``null_as_value`` counts missing ids as one id named ``None``.
     """
-    longest = max(PERIODS.values())
-    window = within_days(events, as_of, longest)
-    if len(PERIODS) * STEP_BITS > 31:
-        raise ValueError("the steps of so many periods do not fit one number")
-    steps, word = _steps(names), F.lit(0).cast("int")
-    for i, days in enumerate(PERIODS.values()):
-        inside = F.col("event_date") >= days_before(as_of, days - 1)
-        word = word.bitwiseOR(F.when(inside, F.shiftleft(steps, i * STEP_BITS)).otherwise(F.lit(0)))
+    window = within_days(events, as_of, max(PERIODS.values()))
+    return funnel_of_days(_per_kind(window, names), as_of, null_as_value)
 
-    def ident(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit("None")) if null_as_value else F.col(name)
 
-    ids = F.array(
-        F.struct(F.lit("device").alias("kind"), ident("appsflyer_id").alias("id")),
-        F.struct(F.lit("user").alias("kind"), ident("user_id").alias("id")),
-    )
+def funnel_of_days(days: DataFrame, as_of: str | dt.date, null_as_value: bool = False) -> DataFrame:
+    """The same funnel from the kept rows of :func:`day_steps`."""
+    if len(PERIODS) * STEP_BITS > 31:
+        raise ValueError("the steps of so many periods do not fit one number")
+    word = F.lit(0).cast("int")
+    for i, period in enumerate(PERIODS.values()):
+        inside = F.col("event_date") >= days_before(as_of, period - 1)
+        word = word.bitwiseOR(F.when(inside, F.shiftleft("steps", i * STEP_BITS)).otherwise(F.lit(0)))
+    ident = F.coalesce("id", F.lit("None")) if null_as_value else F.col("id")
     per_id = (
-        window.select("event_date", word.alias("word"), F.inline(ids))
+        within_days(days, as_of, max(PERIODS.values()))
+        .select("event_date", word.alias("word"), "kind", ident.alias("id"))
         .groupBy("kind", "id")
         .agg(F.bit_or("word").alias("word"), F.min("event_date").alias("first_day"))
     )

@@ -144,22 +144,8 @@ def revenue_of(
 # --- all metrics, levels and periods in one pass -------------------------------
 
 
-def user_activity(
-    events: DataFrame, as_of: str | dt.date, keys: list[str], names: EventNames = EventNames()
-) -> DataFrame:
-    """Counts and sums per user, keys and day band of the longest period.
-
-    Bands (the day itself, the rest of the week, the rest of the month) do not
-    overlap, so each event counts once here; ``days`` has one bit per active day.
-    """
-    back = F.datediff(F.lit(days_before(as_of, 0)), F.col("event_date"))
-    edges = sorted(PERIODS.values())
-    if edges[-1] > DAY_BITS:
-        raise ValueError(f"a period has more than {DAY_BITS} days")
-    band = F.when(back < edges[0], F.lit(edges[0]))
-    for edge in edges[1:]:
-        band = band.when(back < edge, F.lit(edge))
-    window = within_days(events, as_of, edges[-1])
+def _sums(names: EventNames) -> list[Column]:
+    """What a user's events add up to; such sums of parts add up to the sums of all."""
     counts = [F.count_if(m.hit()).alias(k) for k, m in count_metrics(names).items()]
     money_rows = [
         agg
@@ -169,11 +155,54 @@ def user_activity(
             F.count_if(F.col("event") == event).alias(f"{name}_rows"),
         )
     ]
-    return (
-        window.withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), back))
-        .groupBy(*keys, "distinct_id", band.alias("band"))
-        .agg(*counts, *money_rows, F.bit_or("_bit").alias("days"))
-    )
+    return [*counts, *money_rows]
+
+
+def _banded(days: DataFrame, as_of: str | dt.date) -> DataFrame:
+    """Rows of the longest period with their day band, and the bit of their day.
+
+    Bands (the day itself, the rest of the week, the rest of the month) do not overlap.
+    """
+    back = F.datediff(F.lit(days_before(as_of, 0)), F.col("event_date"))
+    edges = sorted(PERIODS.values())
+    if edges[-1] > DAY_BITS:
+        raise ValueError(f"a period has more than {DAY_BITS} days")
+    band = F.when(back < edges[0], F.lit(edges[0]))
+    for edge in edges[1:]:
+        band = band.when(back < edge, F.lit(edge))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), back)
+    return within_days(days, as_of, edges[-1]).withColumns({"band": band, "_bit": bit})
+
+
+def user_activity(
+    events: DataFrame, as_of: str | dt.date, keys: list[str], names: EventNames = EventNames()
+) -> DataFrame:
+    """Counts and sums per user, keys and day band of the longest period.
+
+    Each event counts once here; ``days`` has one bit per active day.
+    """
+    rows = _banded(events, as_of).groupBy(*keys, "distinct_id", "band")
+    return rows.agg(*_sums(names), F.bit_or("_bit").alias("days"))
+
+
+def day_activity(events: DataFrame, keys: list[str] = GROUP_KEYS, names: EventNames = EventNames()) -> DataFrame:
+    """Counts and sums per user, keys and day: what is kept of a day for the reports of the next month."""
+    dated = events.where(F.col("event_date").isNotNull())
+    return dated.groupBy(*keys, "distinct_id", "event_date").agg(*_sums(names))
+
+
+def merged_activity(
+    days: DataFrame, as_of: str | dt.date, keys: list[str] = GROUP_KEYS, names: EventNames = EventNames()
+) -> DataFrame:
+    """As :func:`user_activity`, from the rows of :func:`day_activity` of the days of the longest period.
+
+    A day's bit is its distance from ``as_of``, so it moves up as days pass.
+    """
+    revenue = revenue_metrics(names)
+    sums = [F.sum(c).alias(c) for c in (*count_metrics(names), *[f"{r}_rows" for r in revenue])]
+    amounts = [money_sum(F.col(r)).alias(r) for r in revenue]
+    rows = _banded(days, as_of).groupBy(*keys, "distinct_id", "band")
+    return rows.agg(*sums, *amounts, F.bit_or("_bit").alias("days"))
 
 
 def campaign_report(
@@ -189,12 +218,27 @@ def campaign_report(
     events are summed per user before the join, so a user with very many
     events brings at most one row per day band to it.
     """
-    if users is None:
-        activity = user_activity(events, as_of, GROUP_KEYS, names)
-    else:
-        activity = user_activity(events, as_of, [], names).join(
-            users.select("distinct_id", *GROUP_KEYS), "distinct_id", "left"
-        )
+    keys = GROUP_KEYS if users is None else []
+    return _report(user_activity(events, as_of, keys, names), as_of, users, ad_report, names)
+
+
+def campaign_report_of_days(
+    days: DataFrame,
+    as_of: str | dt.date,
+    users: DataFrame | None = None,
+    ad_report: DataFrame | None = None,
+    names: EventNames = EventNames(),
+) -> DataFrame:
+    """The same report from the kept rows of :func:`day_activity`, without keys where ``users`` holds them."""
+    keys = GROUP_KEYS if users is None else []
+    return _report(merged_activity(days, as_of, keys, names), as_of, users, ad_report, names)
+
+
+def _report(
+    activity: DataFrame, as_of: str | dt.date, users: DataFrame | None, ad_report: DataFrame | None, names: EventNames
+) -> DataFrame:
+    if users is not None:
+        activity = activity.join(users.select("distinct_id", *GROUP_KEYS), "distinct_id", "left")
     report = _assemble(activity, names).withColumn("date", F.lit(days_before(as_of, 0)))
     if ad_report is not None:
         report = with_ad_report(report, ad_report, as_of)

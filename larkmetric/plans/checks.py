@@ -152,6 +152,7 @@ def report_ctes(rows: str) -> str:
 REPORT = f"WITH {report_ctes('fx_attributed')}"
 DECODED = "* REPLACE (url_decode(media_source) AS media_source, url_decode(campaign) AS campaign)"
 check("campaign_report_all", f"{REPORT} SELECT {DECODED} FROM report")
+check("campaign_report_of_days", f"{REPORT} SELECT {DECODED} FROM report")
 check("campaign_report_enriched", f"{REPORT} SELECT {DECODED} FROM report")
 check(
     "campaign_report_monthly",
@@ -584,6 +585,7 @@ def funnel_sql(ids: dict[str, str], columns: str = "*") -> str:
 
 PLAIN = {"device": "appsflyer_id", "user": "user_id"}
 check("funnel_all_periods", funnel_sql(PLAIN))
+check("funnel_of_days", funnel_sql(PLAIN))
 check("funnel_null_as_value", funnel_sql({k: f"coalesce({v}, 'None')" for k, v in PLAIN.items()}))
 check("funnel_device", funnel_sql(PLAIN, "COLUMNS(lambda c: c NOT LIKE '%uid%')"))
 check("funnel_user", funnel_sql(PLAIN, "date, period, COLUMNS(lambda c: c LIKE '%uid%')"))

@@ -7,6 +7,7 @@ writes, so a day can be run again. The caller gives ``as_of``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import (
     EVENT_COLUMNS,
+    GROUP_KEYS,
     SENTINELS,
     EventNames,
     FunnelEvents,
@@ -154,6 +156,36 @@ def build_marts(
     sinks.save_day(stores, lake.path("store_mart"), day)
 
 
+def kept_days(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    target: str,
+    as_of: str | dt.date,
+    make: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """What ``make`` gives of each day of ``source`` in the longest period, kept by day in ``target``.
+
+    ``make`` keeps the column ``date``. A day is made when it is missing, or when its source was replaced since: on
+    an ordinary day that is the new day alone, and no other day of ``source`` is opened.
+    Days in plain folders have no version; they are made once, and the newest day each time.
+    """
+    first, last = days_before(as_of, max(PERIODS.values()) - 1), days_before(as_of, 0)
+    there = scans.days_of(spark, lake.path(source), first, last)
+    if not there:
+        raise LookupError(f"no {source} from {first} to {last}")
+    made = scans.days_of(spark, lake.path(target), first, last)
+    stale = {}
+    for day, version in there.items():
+        origin, kept = version.name if version else "plain", made.get(day)
+        if kept is None or kept.origin != origin or (version is None and day == str(last)):
+            stale[day] = origin
+    if stale:
+        new = scans.read_days(spark, lake.path(source), {day: there[day] for day in stale})
+        sinks.save_days(make(new), lake.path(target), stale)
+    return scans.read_period(spark, lake.path(target), first, last).where(F.col("date").cast("string").isin(*there))
+
+
 VALUE_COLUMNS = ["revenue", "revenue_from_brand", "revenue_from_challenge"]
 FLAG_COLUMNS = ["first", "is_brand", "is_corp"]
 
@@ -176,26 +208,29 @@ def report_campaigns(
 ) -> None:
     """A month of enriched events and the day's ad report to ``campaign_report``.
 
-    Each day's rows are distinct and lie in that day's folder alone.
+    Each day's events are summed per user once, into ``activity``; the report
+    reads those sums, and the events of the new day alone.
     """
     day = days_before(as_of, 0)
-    start = days_before(as_of, max(PERIODS.values()) - 1)
-    events = scans.read_period(spark, lake.path("event_report"), start, day).drop("date")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return metrics.day_activity(rows, ["date", *GROUP_KEYS], names)
+
+    days = kept_days(spark, lake, "event_report", "activity", as_of, summed)
     ads = lake.day(spark, "channel_report", day)
-    report = metrics.campaign_report(events, as_of, ad_report=ads, names=names)
+    report = metrics.campaign_report_of_days(days, as_of, ad_report=ads, names=names)
     sinks.save_report(report, lake.path("campaign_report"), day)
 
 
 def report_funnel(
     spark: SparkSession, lake: Lake, as_of: str | dt.date, names: FunnelEvents = FunnelEvents()
 ) -> None:
-    """The day's attribution files to ``attribution``, then its month to ``funnel``."""
+    """The day's attribution files to ``attribution``, their steps to ``funnel_steps``, and a month of those to ``funnel``."""
     day = days_before(as_of, 0)
     files = scans.read_attribution(spark, lake.path("raw_attribution"), as_of)
     sinks.save_day(scans.shape_attribution(files), lake.path("attribution"), day)
-    start = days_before(as_of, max(PERIODS.values()) - 1)
-    month = scans.read_period(spark, lake.path("attribution"), start, day)
-    sinks.save_day(funnel.funnel(month, as_of, names), lake.path("funnel"), day, ("period",))
+    days = kept_days(spark, lake, "attribution", "funnel_steps", as_of, lambda rows: funnel.day_steps(rows, names, ("date",)))
+    sinks.save_day(funnel.funnel_of_days(days, as_of), lake.path("funnel"), day, ("period",))
 
 
 def accumulate_ltv(

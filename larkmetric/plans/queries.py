@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import NAVER, TEST_VALUES, ServiceRules
+from ..config import ATTRIBUTION_KINDS, ATTRIBUTION_SKIPPED, NAVER, PERIODS, TEST_VALUES, ServiceRules
 from ..functions import (
     any_named,
     clean_number,
@@ -122,6 +122,20 @@ def campaign_report_all(spark, sf_dir):
     )
 
 
+def _kept(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> DataFrame:
+    """Rows kept by day, and read again."""
+    path = scratch_dir(spark, name, sf_dir)
+    sinks.save_snapshot(rows.withColumn("date", F.col("event_date")), path)
+    return scans.read_period(spark, path, days_before(AS_OF, max(PERIODS.values()) - 1), AS_OF).drop("date")
+
+
+@query
+def campaign_report_of_days(spark, sf_dir):
+    """The same report from sums per user that were kept day by day."""
+    days = _kept(spark, sf_dir, "activity", metrics.day_activity(fixture(spark, sf_dir, "fx_event"), []))
+    return metrics.campaign_report_of_days(days, AS_OF, users=fixture(spark, sf_dir, "fx_user"))
+
+
 @query
 def campaign_report_enriched(spark, sf_dir):
     """The same from events that already carry their attribution."""
@@ -614,6 +628,12 @@ def funnel_all_periods(spark, sf_dir):
     return _funnel(spark, sf_dir)
 
 
+@query
+def funnel_of_days(spark, sf_dir):
+    """The same funnel from the steps per id that were kept day by day."""
+    return funnel.funnel_of_days(_kept(spark, sf_dir, "funnel-steps", funnel.day_steps(fixture(spark, sf_dir, "fx_af"))), AS_OF)
+
+
 @query
 def funnel_null_as_value(spark, sf_dir):
     return _funnel(spark, sf_dir, null_as_value=True)
@@ -948,16 +968,23 @@ def period_report_scan(spark, sf_dir):
 
 @query
 def attribution_files(spark, sf_dir):
-    """One CSV folder per app and kind, kinds tagged from the file name."""
+    """One CSV folder for each of two apps and each kind, with columns in another order for each, and some of its own."""
     path = scratch_dir(spark, "attribution", sf_dir)
     rows = fixture(spark, sf_dir, "fx_af").select(
         F.col("event").alias("Event Name"),
         F.col("time").alias("Event Time"),
         F.col("appsflyer_id").alias("AppsFlyer ID"),
         F.col("user_id").alias("Customer User ID"),
-        F.concat(F.lit(f"app_{AS_OF}_{AS_OF}_"), "kind", F.lit(".csv.gz")).alias("file"),
-    )
-    rows.write.mode("overwrite").partitionBy("file").option("header", True).csv(path, compression="gzip")
+        "kind",
+        F.when(F.pmod(F.xxhash64("time", "user_id"), F.lit(2)) == 0, F.lit("ios")).otherwise(F.lit("aos")).alias("app"),
+    )
+    texts = rows.columns[:4]
+    kinds = [*ATTRIBUTION_KINDS, *ATTRIBUTION_SKIPPED]
+    for i, (app, kind) in enumerate((a, k) for a in ("ios", "aos") for k in kinds):
+        order = texts[i % 4 :] + texts[: i % 4]
+        part = rows.where((F.col("app") == app) & (F.col("kind") == kind)).select(F.lit("own").alias(f"Column {i}"), *order)
+        folder = f"{path}/{app}_{AS_OF}_{AS_OF}_{kind}.csv.gz"
+        part.write.mode("overwrite").option("header", True).csv(folder, compression="gzip")
     return scans.shape_attribution(scans.read_attribution(spark, path, AS_OF))
 
 

@@ -145,13 +145,15 @@ def _landed(spark: SparkSession, path: str, days: str, date: str) -> set[str]:
     return {r["day"] for r in names.collect()}
 
 
-def _days(spark: SparkSession, path: str, first: dt.date | None, last: dt.date, date: str) -> dict[str, Version | None]:
+def days_of(
+    spark: SparkSession, path: str, first: dt.date | None, last: dt.date, date: str = "date"
+) -> dict[str, Version | None]:
     """The days of a period: their published version, or None for a plain folder. A published day hides a plain one."""
     found = {**dict.fromkeys(_landed(spark, path, day_glob(first, last), date)), **published(spark, path, month_glob(first, last))}
     return {name: v for name, v in found.items() if (day := day_of(name)) and (first is None or first <= day) and day <= last}
 
 
-def _read_days(spark: SparkSession, path: str, days: dict[str, Version | None], date: str) -> DataFrame:
+def read_days(spark: SparkSession, path: str, days: dict[str, Version | None], date: str = "date") -> DataFrame:
     """These days, stacked by column name; plain ones are opened for their columns, published ones are not."""
     frames = []
     if versions := [v for v in days.values() if v]:
@@ -166,7 +168,7 @@ def read_all(spark: SparkSession, path: str, date: str = "date") -> DataFrame:
     days = {**dict.fromkeys(_landed(spark, path, "*", date)), **published(spark, path)}
     if not days:
         raise LookupError(f"no file in {path}")
-    return _read_days(spark, path, days, date)
+    return read_days(spark, path, days, date)
 
 
 def read_period(
@@ -182,10 +184,10 @@ def read_period(
     Other days are neither listed nor opened. A period without any day is an error.
     """
     first, last = days_before(start, 0), days_before(end, 0)
-    days = _days(spark, path, first, last, date)
+    days = days_of(spark, path, first, last, date)
     if not days:
         raise LookupError(f"no file in {path} from {first} to {last}")
-    return _wanted(_read_days(spark, path, days, date), columns)
+    return _wanted(read_days(spark, path, days, date), columns)
 
 
 def latest_snapshot(spark: SparkSession, path: str, as_of: str | dt.date, date: str = "date") -> DataFrame:
@@ -196,9 +198,9 @@ def latest_snapshot(spark: SparkSession, path: str, as_of: str | dt.date, date:
     """
     as_of = days_before(as_of, 0)
     for first, last in months_back(as_of):
-        found = _days(spark, path, first, last, date)
+        found = days_of(spark, path, first, last, date)
         for name in sorted(found, reverse=True):
-            if not (rows := _read_days(spark, path, {name: found[name]}, date)).isEmpty():
+            if not (rows := read_days(spark, path, {name: found[name]}, date)).isEmpty():
                 return rows
     raise LookupError(f"no snapshot in {path} up to {as_of}")
 

@@ -29,6 +29,11 @@ def save_day(df: DataFrame, path: str, day: str | dt.date, partitions: tuple[str
     publish(df.withColumn("date", F.lit(day)), path, ("date", *partitions), [day])
 
 
+def save_days(df: DataFrame, path: str, origins: dict[str, str]) -> None:
+    """Replace several days whole by one write; each is noted with what it was made from."""
+    publish(df, path, ("date",), [as_date(day) for day in origins], origins)
+
+
 def typed(df: DataFrame, doubles: list[str], flags: list[str]) -> DataFrame:
     """Zero and false for what is missing, then doubles and booleans."""
     cols = {c: F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(0.0)) for c in doubles}

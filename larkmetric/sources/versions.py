@@ -27,17 +27,18 @@ from .listing import found_files
 
 #: The name Spark gives to the folder of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-LOG_SCHEMA = "day string, files long, columns string"
+LOG_SCHEMA = "day string, files long, columns string, origin string"
 
 
 @dataclass(frozen=True)
 class Version:
-    """A published version of a day: its name, how many files it has, and its columns."""
+    """A published version of a day: its name, how many files it has, its columns, and what it was made from."""
 
     day: str
     name: str
     files: int
     columns: str
+    origin: str
 
 
 def _log(spark: SparkSession, path: str, months: str) -> list[Version]:
@@ -49,7 +50,7 @@ def _log(spark: SparkSession, path: str, months: str) -> list[Version]:
             raise
         return []
     name = F.regexp_extract("_metadata.file_path", "/_version=([^/]*)/[^/]*$", 1).alias("name")
-    return [Version(r["day"], r["name"], r["files"], r["columns"]) for r in rows.select("day", name, "files", "columns").collect()]
+    return [Version(**r.asDict()) for r in rows.select("*", name).collect()]
 
 
 def published(spark: SparkSession, path: str, months: str = "*") -> dict[str, Version]:
@@ -65,11 +66,14 @@ def _month(day: str) -> str:
     return day[:7] if day_of(day) else "none"
 
 
-def publish(df: DataFrame, path: str, partitions: tuple[str, ...], days: list[dt.date] | None = None) -> None:
+def publish(
+    df: DataFrame, path: str, partitions: tuple[str, ...], days: list[dt.date] | None = None, origins: dict[str, str] = {}
+) -> None:
     """Replace days, each whole, with the rows of ``df``; ``partitions`` are the day's column and columns below it.
 
     ``days`` are replaced even where the frame has no row of them; without it, the days it has rows of.
-    Other days stay as they are. Readers see a day's old rows until its new ones are all there.
+    Other days stay as they are. Readers see a day's old rows until its new ones are all there. ``origins`` are noted
+    in the log by day, such as the versions of the days that these were made from.
     """
     spark, path, date = df.sparkSession, path.rstrip("/"), partitions[0]
     unique = uuid.uuid4().hex
@@ -87,7 +91,7 @@ def publish(df: DataFrame, path: str, partitions: tuple[str, ...], days: list[dt
     for month, held in by_month.items():
         # Behind all there are of these days; of two writers at once the greater name is the later.
         last = max((int(v.name.split("-")[0]) for v in _log(spark, path, month)), default=0)
-        lines = spark.createDataFrame([(day, count.get(day, 0), df.schema.json()) for day in held], LOG_SCHEMA)
+        lines = spark.createDataFrame([(day, count.get(day, 0), df.schema.json(), origins.get(day, "")) for day in held], LOG_SCHEMA)
         lines.coalesce(1).write.json(f"{path}/log/month={month}/_version={last + 1:08d}-{unique}")
 
 

@@ -210,7 +210,7 @@ def test_only_the_period_is_listed(spark, rows, tmp_path, monkeypatch):
     for i in range(0, 2000, 5):
         month = log / f"month={start + dt.timedelta(i):%Y-%m}" / f"_version=00000001-v{i}"
         month.mkdir(parents=True)
-        (month / "part-0.json").write_text('{"day": "%s", "files": 0, "columns": "{}"}' % (start + dt.timedelta(i)))
+        (month / "part-0.json").write_text('{"day": "%s", "files": 0, "columns": "{}", "origin": ""}' % (start + dt.timedelta(i)))
     day = dt.date(2024, 1, 30)
     for path in ("plain", "t"):
         sinks.save_day(spark.createDataFrame([("a",)], "v string"), str(tmp_path / path), day)
@@ -220,7 +220,7 @@ def test_only_the_period_is_listed(spark, rows, tmp_path, monkeypatch):
     assert rows(scans.latest_snapshot(spark, str(tmp_path / "plain"), "2024-02-03"), "v") == [("a",)]
     assert rows(scans.read_period(spark, str(tmp_path / "plain"), day, day), "v") == [("a",)]
     assert [files.count() for _, files in listed if files is not None] == [28], "the rest of that month alone"
-    assert len(scans._days(spark, str(tmp_path / "plain"), dt.date(2019, 3, 1), dt.date(2019, 3, 9), "date")) == 9
+    assert len(scans.days_of(spark, str(tmp_path / "plain"), dt.date(2019, 3, 1), dt.date(2019, 3, 9))) == 9
     assert len(listed[-1][1].collect()) == 9
     logs = spark.read.json(f"{tmp_path}/t/log/month=2019-03/_version=*")
     assert len(logs.inputFiles()) == len(scans.published(spark, str(tmp_path / "t"), "2019-03"))
