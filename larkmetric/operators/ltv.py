@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LTV_COUNTS, LTV_VALUES, EventNames, LtvRules
-from ..functions import days_before, money, money_sum
-from .identity import devices_to_users
+from ..functions import days_before, is_uuid_like, money, money_sum
+from .identity import device_owners, devices_to_users
 
 STATE_SCHEMA = (
     "distinct_id string, "
@@ -73,15 +73,20 @@ def contributions(
     )
 
 
-def sum_per_user(rows: DataFrame) -> DataFrame:
-    """One row per user; missing numbers count as 0, values are summed exactly."""
+def _exact_per_user(rows: DataFrame) -> DataFrame:
+    """One row per user; missing numbers count as 0, values are exact decimals."""
     zero = F.lit(0)
     return rows.groupBy("distinct_id").agg(
         *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in LTV_COUNTS],
-        *[F.coalesce(money_sum(money(F.col(c))), zero).cast("double").alias(c) for c in LTV_VALUES],
+        *[F.coalesce(money_sum(money(F.col(c))), zero).alias(c) for c in LTV_VALUES],
     )
 
 
+def sum_per_user(rows: DataFrame) -> DataFrame:
+    """One row per user; missing numbers count as 0, values are summed exactly."""
+    return _exact_per_user(rows).withColumns({c: F.col(c).cast("double") for c in LTV_VALUES})
+
+
 def accumulate(
     state: DataFrame,
     day: DataFrame,
@@ -99,3 +104,56 @@ def accumulate(
     before = state.select("distinct_id", *LTV_COUNTS, *LTV_VALUES)
     merged = devices_to_users(before.unionByName(today), user_info)
     return sum_per_user(merged).withColumn("date", F.lit(days_before(date, 0)))
+
+
+#: The column a kept state is bucketed by.
+STATE_KEY = "_key"
+
+
+def _key(c: Column) -> Column:
+    """An id as a key that is never missing; no id's key is that of the missing id."""
+    return F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+
+
+def keyed_state(state: DataFrame) -> DataFrame:
+    """The state with the key it is bucketed by."""
+    return state.withColumn(STATE_KEY, _key(F.col("distinct_id")))
+
+
+def advance(
+    state: DataFrame,
+    day: DataFrame,
+    user_info: DataFrame,
+    date: str | dt.date,
+    names: EventNames = EventNames(),
+    rules: LtvRules = LtvRules(),
+) -> DataFrame:
+    """As :func:`accumulate`, for a state that is bucketed by its key: the state itself stays where it is.
+
+    What changes is worked out first: the day's checkouts, and the rows of devices that now have an
+    owner. Only these are shuffled, to where the users' rows lie. The new state is bucketed as the old one.
+    """
+    values = [*LTV_COUNTS, *LTV_VALUES]
+    owners = device_owners(user_info).where(is_uuid_like(F.col("device_id")))
+    owners = owners.select(_key(F.col("device_id")).alias("_device"), "owner_id")
+    owned = state[STATE_KEY] == F.col("_device")
+    moved = state.join(owners.where(F.col("owner_id").isNotNull()), owned).select(F.col("owner_id").alias("distinct_id"), *values)
+    today = devices_to_users(sum_per_user(contributions(day, names, rules)), user_info)
+    changes = _exact_per_user(moved.unionByName(today.select("distinct_id", *values)))
+    changes = changes.select(
+        _key(F.col("distinct_id")).alias("_to"), F.col("distinct_id").alias("_id"), *[F.col(c).alias(f"_{c}_change") for c in values]
+    )
+    gone = owners.where(F.col("owner_id").isNotNull()).select(F.col("_device").alias("_gone"))
+    kept = state.join(gone, state[STATE_KEY] == F.col("_gone"), "left_anti")
+    both = kept.join(changes, kept[STATE_KEY] == F.col("_to"), "full_outer")
+    zero = F.lit(0).cast("decimal(38,12)")
+    return both.select(
+        F.coalesce("distinct_id", "_id").alias("distinct_id"),
+        *[(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_{c}_change"), F.lit(0))).cast("bigint").alias(c) for c in LTV_COUNTS],
+        *[
+            F.coalesce(F.try_add(F.coalesce(money(F.col(c)), zero), F.coalesce(F.col(f"_{c}_change"), zero)), zero).cast("double").alias(c)
+            for c in LTV_VALUES
+        ],
+        F.lit(days_before(date, 0)).alias("date"),
+        F.coalesce(STATE_KEY, "_to").alias(STATE_KEY),
+    )

@@ -628,6 +628,7 @@ LTV = f"""
   LEFT JOIN ({OWNERS}) o ON r.distinct_id = o.device_id GROUP BY 1"""
 check("ltv_accumulate", f"SELECT l.*, {D0} AS date FROM ({LTV}) l")
 check("ltv_daily_chain", f"SELECT l.*, {D0} AS date FROM ({LTV}) l")
+check("ltv_bucketed_state", f"SELECT l.*, {D0} AS date FROM ({LTV}) l")
 check("ltv_stream", LTV)
 
 # --- first rows and cut-offs ---------------------------------------------------------------------------------

@@ -28,6 +28,10 @@ from ..operators import adchannels, clean, dedup, enrich, funnel, identity, ltv,
 from ..sources import scans, sinks
 
 
+#: Files of the running state. A job of as many tasks should fit the cluster for years, as a state keeps its number.
+STATE_BUCKETS = 512
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where each table lies.
@@ -240,17 +244,18 @@ def accumulate_ltv(
     first_day: bool = False,
     names: EventNames = EventNames(),
     rules: LtvRules = LtvRules(),
+    buckets: int = STATE_BUCKETS,
 ) -> None:
     """Yesterday's ``ltv`` state and today's enriched events to today's state.
 
-    Only the first day may start from nothing: a missing state is an error.
+    Only the first day may start from nothing: a missing state is an error. The state is kept in
+    ``buckets`` by user, a number that a table keeps; a day's work moves what changes, not the state.
     """
     day = days_before(as_of, 0)
-    if first_day:
-        state = ltv.empty_state(spark)
-    else:
-        eve = days_before(as_of, 1)
-        state = scans.require_snapshot(lake.day(spark, "ltv", eve), eve)
+    state = ltv.empty_state(spark) if first_day else scans.read_state(spark, lake.path("ltv"), days_before(as_of, 1))
+    if ltv.STATE_KEY not in state.columns:
+        state = ltv.keyed_state(state)
     events = lake.day(spark, "event_report", day)
     info = lake.latest(spark, "user_info", as_of)
-    sinks.save_day(ltv.accumulate(state, events, info, as_of, names, rules), lake.path("ltv"), day)
+    new = ltv.advance(state, events, info, as_of, names, rules)
+    sinks.save_bucketed_day(new, lake.path("ltv"), day, ltv.STATE_KEY, buckets)

@@ -704,6 +704,18 @@ def ltv_daily_chain(spark, sf_dir):
     return ltv.accumulate(state, day.where(F.col("event_date") == AS_OF), info, AS_OF)
 
 
+@query
+def ltv_bucketed_state(spark, sf_dir):
+    """The same days over a state that is kept in buckets by user."""
+    path = scratch_dir(spark, "ltv-state", sf_dir)
+    day, info = _day(spark, sf_dir), _user_info(spark, sf_dir)
+    eve = days_before(AS_OF, 1)
+    first = ltv.advance(ltv.keyed_state(ltv.empty_state(spark)), day.where(F.col("event_date") <= eve), info, eve)
+    sinks.save_bucketed_day(first, path, eve, ltv.STATE_KEY, 8)
+    state = scans.read_state(spark, path, eve)
+    return ltv.advance(state, day.where(F.col("event_date") == AS_OF), info, AS_OF).drop(ltv.STATE_KEY)
+
+
 @query
 def ltv_stream(spark, sf_dir):
     """Checkout files arriving in two lots, taken in by a stream."""

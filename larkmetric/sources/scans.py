@@ -20,7 +20,7 @@ from ..config import ATTRIBUTION_COLUMNS, ATTRIBUTION_KINDS, ATTRIBUTION_RENAMES
 from ..functions import days_before, text_to_date
 from ..operators.clean import select_existing
 from .listing import day_glob, found_files, list_files, month_glob, months_back
-from .versions import Version, day_of, published, read_versions
+from .versions import Version, day_of, published, read_bucketed, read_versions
 
 FILE_PATH = "_metadata.file_path"
 FILE_NAME = "_file_path"
@@ -205,6 +205,14 @@ def latest_snapshot(spark: SparkSession, path: str, as_of: str | dt.date, date:
     raise LookupError(f"no snapshot in {path} up to {as_of}")
 
 
+def read_state(spark: SparkSession, path: str, day: str | dt.date) -> DataFrame:
+    """One day of a state, which must be there, with its buckets if it has some."""
+    day = days_before(day, 0)
+    version = days_of(spark, path, day, day).get(str(day))
+    rows = read_bucketed(spark, path, version) if version else None
+    return require_snapshot(read_period(spark, path, day, day) if rows is None else rows, day)
+
+
 def require_snapshot(df: DataFrame, day: str | dt.date, date: str = "date") -> DataFrame:
     """Rows of one day; an absent day is an error, not an empty result."""
     rows = df.where(F.col(date) == days_before(day, 0))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
-from .versions import publish
+from .versions import publish, publish_bucketed
 
 
 def save_snapshot(df: DataFrame, path: str, partitions: tuple[str, ...] = ("date",)) -> None:
@@ -34,6 +34,11 @@ def save_days(df: DataFrame, path: str, origins: dict[str, str]) -> None:
     publish(df, path, ("date",), [as_date(day) for day in origins], origins)
 
 
+def save_bucketed_day(df: DataFrame, path: str, day: str | dt.date, key: str, buckets: int) -> None:
+    """Replace a day whole with files bucketed and sorted by ``key``."""
+    publish_bucketed(df, path, as_date(day), key, buckets)
+
+
 def typed(df: DataFrame, doubles: list[str], flags: list[str]) -> DataFrame:
     """Zero and false for what is missing, then doubles and booleans."""
     cols = {c: F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(0.0)) for c in doubles}

@@ -27,6 +27,8 @@ from .listing import found_files
 
 #: The name Spark gives to the folder of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: What the log says of a day's files by buckets: their number and key follow.
+BUCKETED = "buckets="
 LOG_SCHEMA = "day string, files long, columns string, origin string"
 
 
@@ -66,6 +68,18 @@ def _month(day: str) -> str:
     return day[:7] if day_of(day) else "none"
 
 
+def _announce(spark: SparkSession, path: str, unique: str, files: dict[str, int], columns: str, origins: dict[str, str]) -> None:
+    """Make a complete version the newest of its days: one small file for each month, in one step."""
+    by_month: dict[str, list[str]] = defaultdict(list)
+    for day in sorted(files):
+        by_month[_month(day)].append(day)
+    for month, held in by_month.items():
+        # Behind all there are of these days; of two writers at once the greater name is the later.
+        last = max((int(v.name.split("-")[0]) for v in _log(spark, path, month)), default=0)
+        lines = spark.createDataFrame([(day, files[day], columns, origins.get(day, "")) for day in held], LOG_SCHEMA)
+        lines.coalesce(1).write.json(f"{path}/log/month={month}/_version={last + 1:08d}-{unique}")
+
+
 def publish(
     df: DataFrame, path: str, partitions: tuple[str, ...], days: list[dt.date] | None = None, origins: dict[str, str] = {}
 ) -> None:
@@ -85,14 +99,37 @@ def publish(
     if files is not None:
         day = F.regexp_extract("path", rf"/{date}=([^/]*)/", 1).alias("day")
         count = {r["day"]: r["count"] for r in files.where(F.col("path").endswith(".parquet")).groupBy(day).count().collect()}
-    by_month: dict[str, list[str]] = defaultdict(list)
-    for day in sorted({*count, *map(str, days or [])}):
-        by_month[_month(day)].append(day)
-    for month, held in by_month.items():
-        # Behind all there are of these days; of two writers at once the greater name is the later.
-        last = max((int(v.name.split("-")[0]) for v in _log(spark, path, month)), default=0)
-        lines = spark.createDataFrame([(day, count.get(day, 0), df.schema.json(), origins.get(day, "")) for day in held], LOG_SCHEMA)
-        lines.coalesce(1).write.json(f"{path}/log/month={month}/_version={last + 1:08d}-{unique}")
+    every = {day: count.get(day, 0) for day in {*count, *map(str, days or [])}}
+    _announce(spark, path, unique, every, df.schema.json(), origins)
+
+
+def publish_bucketed(df: DataFrame, path: str, day: dt.date, key: str, buckets: int, date: str = "date") -> None:
+    """Replace a day with rows in files by a hash of ``key``, sorted by it, so that joins on it need no shuffle of them."""
+    spark, path, unique = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    rows = df.drop(date)
+    name = f"bucketed_{unique}"
+    writer = rows.write.format("parquet").option("compression", "gzip").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", f"{path}/data/_version={unique}/{date}={day}").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay; the log says what they are
+    columns = df.withColumn(date, F.lit(day)).schema.json()
+    _announce(spark, path, unique, {str(day): buckets}, columns, {str(day): f"{BUCKETED}{buckets}:{key}"})
+
+
+def read_bucketed(spark: SparkSession, path: str, version: Version, date: str = "date") -> DataFrame | None:
+    """A bucketed version with its buckets known to the plan; None for a version of another kind."""
+    if not version.origin.startswith(BUCKETED):
+        return None
+    buckets, key = version.origin.removeprefix(BUCKETED).split(":")
+    unique = version.name.split("-")[1]
+    fields = [f for f in StructType.fromJson(json.loads(version.columns)).fields if f.name != date]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    name = f"bucketed_{unique}"
+    folder = f"{path.rstrip('/')}/data/_version={unique}/{date}={version.day}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{folder}'"
+    )
+    return spark.table(name).withColumn(date, F.lit(day_of(version.day)))
 
 
 def read_versions(spark: SparkSession, path: str, versions: list[Version], date: str = "date") -> DataFrame:

@@ -69,7 +69,7 @@ def run_day(spark, lake, day, first):
     jobs.cleanse_ads(spark, lake, day, ["facebook", "pincrux"], ["row"])
     jobs.enrich_day(spark, lake, day)
     jobs.report_campaigns(spark, lake, day)
-    jobs.accumulate_ltv(spark, lake, day, first_day=first)
+    jobs.accumulate_ltv(spark, lake, day, first_day=first, buckets=4)
 
 
 def test_two_days(spark, rows, lake):
