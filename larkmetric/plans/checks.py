@@ -771,3 +771,8 @@ check(
     """SELECT corp_name, media_source, campaign, distinct_id FROM fx_user
        WHERE media_source IS NOT NULL OR (corp_name IS NOT NULL AND corp_name NOT IN ('', ' '))""",
 )
+check(
+    "open_export",
+    """SELECT distinct_id, media_source, CAST((campaign IS NOT NULL) AS INTEGER) + CAST((corp_name IS NOT NULL) AS INTEGER) AS n_others,
+              campaign, corp_name FROM fx_user""",
+)

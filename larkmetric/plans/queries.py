@@ -1000,16 +1000,45 @@ def attribution_files(spark, sf_dir):
     return scans.shape_attribution(scans.read_attribution(spark, path, AS_OF))
 
 
+def _exported(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> DataFrame:
+    """Rows written as JSON lines, which leave out what is missing, and read again without a schema."""
+    path = scratch_dir(spark, name, sf_dir)
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    return scans.read_open_json(spark, path)
+
+
 @query
 def event_flatten(spark, sf_dir):
-    """Rows with nested properties, as an export has them."""
-    rows = fixture(spark, sf_dir, "fx_day").select("event", F.struct("distinct_id", "revenue").alias("properties"))
-    return scans.flatten_export(rows)
+    """An export of events whose properties differ by row."""
+    extra = F.when(F.col("revenue") > 1, F.struct("event_date").alias("nested"))
+    rows = fixture(spark, sf_dir, "fx_day").select("event", F.struct("distinct_id", "revenue", extra.alias("extra")).alias("properties"))
+    events = _exported(spark, sf_dir, "event-export", rows)
+    return scans.flatten_open(events, {"distinct_id": "string", "revenue": "double"}, {"event": "string"}).select(
+        "distinct_id", "revenue", "event"
+    )
 
 
-@query
-def user_export(spark, sf_dir):
+def _user_export(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     users = fixture(spark, sf_dir, "fx_user").select(
         "distinct_id", F.struct("corp_name", "media_source", "campaign").alias("properties")
     )
-    return scans.attributed_users(users)
+    rows = _exported(spark, sf_dir, "user-export", users)
+    return scans.flatten_open(rows, dict.fromkeys(columns, "string"), {"distinct_id": "string"})
+
+
+@query
+def user_export(spark, sf_dir):
+    """Exported users that have an attribution."""
+    users = _user_export(spark, sf_dir, ["corp_name", "media_source", "campaign"])
+    users = users.where(scans.is_attributed(F.col("media_source"), F.col("corp_name")))
+    return users.select("corp_name", "media_source", "campaign", "distinct_id")
+
+
+@query
+def open_export(spark, sf_dir):
+    """Properties that no column was named for, as kept beside the others."""
+    users = _user_export(spark, sf_dir, ["media_source"])
+    others = F.col("other_properties")
+    return users.select(
+        "distinct_id", "media_source", F.size(others).alias("n_others"), others["campaign"].alias("campaign"), others["corp_name"].alias("corp_name")
+    )

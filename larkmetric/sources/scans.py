@@ -252,14 +252,68 @@ def shape_attribution(df: DataFrame) -> DataFrame:
     return kept.withColumn("event_date", text_to_date(F.col("time")))
 
 
+def read_open_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON lines as one variant column ``row``: whatever fields each line has, and no pass to infer a schema.
+
+    A line that is no JSON is an error when it is read.
+    """
+    return spark.read.option("singleVariantColumn", "row").option("mode", "FAILFAST").json(path)
+
+
+def _open_field(column: Column, path: str, kind: str) -> Column:
+    """A field of a variant; null where it is missing or does not fit. As text, what is no scalar is JSON."""
+    return F.try_variant_get(column, path, kind)
+
+
+def _quoted(*names: str) -> str:
+    if any('"' in name for name in names):
+        raise ValueError(f"a name holds a quotation mark: {names}")
+    return "$" + "".join(f'["{name}"]' for name in names)
+
+
+def _others(fields: Column, known: list[str]) -> Column:
+    """What is not in a column of its own, by name: text as it is, all else as JSON."""
+    rest = F.map_filter(fields, lambda name, value: ~name.isin(*known)) if known else fields
+    return F.transform_values(rest, lambda name, value: _open_field(value, "$", "string"))
+
+
+def flatten_open(
+    df: DataFrame,
+    columns: dict[str, str],
+    fields: dict[str, str],
+    properties: str = "properties",
+    other_properties: str = "other_properties",
+    other_fields: str = "other_fields",
+) -> DataFrame:
+    """Event or user export from :func:`read_open_json`: properties and top-level fields as columns.
+
+    ``columns`` and ``fields`` give name and type of those that get a column; a
+    value that does not fit its type is null. Everything else is kept in two maps by name, so a property
+    that appears tomorrow is neither lost nor an error today. Rows without properties have no other ones.
+    """
+    row = F.col("row")
+    inner = _open_field(row, _quoted(properties), "map<string,variant>")
+    outer = _open_field(row, "$", "map<string,variant>")
+    return df.select(
+        *[_open_field(row, _quoted(properties, name), kind).alias(name) for name, kind in columns.items()],
+        *[_open_field(row, _quoted(name), kind).alias(name) for name, kind in fields.items()],
+        _others(inner, list(columns)).alias(other_properties),
+        _others(outer, [*fields, properties]).alias(other_fields),
+    )
+
+
 def flatten_export(df: DataFrame, properties: str = "properties") -> DataFrame:
     """Event or user export: the properties beside the top-level fields."""
     rest = [c for c in df.columns if c != properties]
     return df.select(f"{properties}.*", *rest)
 
 
+def is_attributed(source: Column, corp: Column) -> Column:
+    """Whether a user has a media source, or a corporate name that is not blank."""
+    return source.isNotNull() | F.coalesce(~corp.isin("", " "), F.lit(False))
+
+
 def attributed_users(df: DataFrame, properties: str = "properties") -> DataFrame:
     """Exported users with a media source, or with a corporate name that is not blank."""
-    source, corp = F.col(f"{properties}.media_source"), F.col(f"{properties}.corp_name")
-    named = F.coalesce(~corp.isin("", " "), F.lit(False))
-    return flatten_export(df.where(source.isNotNull() | named), properties)
+    kept = is_attributed(F.col(f"{properties}.media_source"), F.col(f"{properties}.corp_name"))
+    return flatten_export(df.where(kept), properties)

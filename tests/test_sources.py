@@ -247,6 +247,35 @@ def test_exports(spark, rows, tmp_path):
     assert rows(scans.attributed_users(df), "distinct_id") == [("u1",), ("u3",)]
 
 
+def test_exports_with_open_properties(spark, rows, tmp_path):
+    lines = [
+        '{"event": "a", "properties": {"distinct_id": "u1", "revenue": 1.5, "x y": {"k": [1, 2]}, "n": null}, "time": 7}',
+        '{"event": "b", "properties": {"distinct_id": 12, "flag": true, "big": 12345678901234567890, "revenue": "much"}}',
+        '{"event": "c"}',
+        '{"event": "d", "properties": {}, "distinct_id": "top"}',
+        '{"event": "e", "properties": "text", "list": [1, "2"]}',
+    ]
+    (tmp_path / "f.json.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    df = scans.flatten_open(scans.read_open_json(spark, str(tmp_path)), {"distinct_id": "string", "revenue": "double"}, {"event": "string"})
+    got = {r.event: (r.distinct_id, r.revenue, r.other_properties, r.other_fields) for r in df.collect()}
+    assert got == {
+        "a": ("u1", 1.5, {"x y": '{"k":[1,2]}', "n": None}, {"time": "7"}),
+        "b": ("12", None, {"flag": "true", "big": "12345678901234567890"}, {}),
+        "c": (None, None, None, {}),
+        "d": (None, None, {}, {"distinct_id": "top"}),
+        "e": (None, None, None, {"list": '[1,"2"]'}),
+    }
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "variant" in plan and "Python" not in plan
+    users = scans.flatten_open(scans.read_open_json(spark, str(tmp_path)), {"distinct_id": "string"}, {})
+    assert "revenue" in {k for r in users.collect() for k in r.other_properties or {}}, "kept where no column was named"
+    (tmp_path / "g.json").write_text("broken\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        scans.read_open_json(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError):
+        scans.flatten_open(df, {'a"b': "string"}, {})
+
+
 class Reader:
     """Stands in for the JDBC reader: no database is started for tests."""
 
