@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,41 +278,60 @@ def test_exports_with_open_properties(spark, rows, tmp_path):
 
 
 class Reader:
-    """Stands in for the JDBC reader: no database is started for tests."""
+    """Stands in for the JDBC reader: the statements run in this process, on a table of DuckDB."""
 
-    def __init__(self, spark, bounds):
-        self.spark, self.bounds, self.calls = spark, bounds, []
+    def __init__(self, spark, create):
+        self.spark, self.con, self.predicates = spark, duckdb.connect(), None
+        self.con.execute(f"CREATE TABLE t AS {create}")
 
     @property
     def read(self):
         return self
 
-    def jdbc(self, url, table, **options):
-        self.calls.append((table, options))
-        if table.startswith("(SELECT count"):
-            return self.spark.createDataFrame([self.bounds], "n long, lo long, hi long")
-        return self.spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, v string")
+    def frame(self, *queries):
+        found = [self.con.sql(q) for q in queries]
+        kinds = {"BIGINT": "long", "VARCHAR": "string", "DATE": "date", "INTEGER": "int"}
+        schema = ", ".join(f"{name} {kinds[str(kind)]}" for name, kind in zip(found[0].columns, found[0].types))
+        parts = [f.fetchall() for f in found]
+        return [len(p) for p in parts], self.spark.createDataFrame([row for part in parts for row in part], schema)
 
+    def jdbc(self, url, table, predicates=None, properties=None):
+        sizes, rows = self.frame(*[f"SELECT * FROM {table} WHERE {p}" for p in predicates or ["true"]])
+        if table == "t":
+            self.predicates, self.sizes = predicates, sizes
+        return rows
 
-def test_small_tables_are_read_in_one_range(spark, rows):
-    reader = Reader(spark, (2, 1, 9))
-    assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(1, "a"), (2, "b")]
-    assert reader.calls[-1][1]["numPartitions"] == 1
 
-
-def test_tables_without_keys_and_by_predicates(spark):
-    reader = Reader(spark, (0, None, None))
-    tables.extract_table(reader, "jdbc:x", "t", "id")
-    assert "column" not in reader.calls[-1][1]
+def test_small_tables_are_read_at_once(spark, rows):
+    reader = Reader(spark, "SELECT * FROM (VALUES (1::BIGINT, 'a'), (1, 'a'), (2, 'b'), (NULL, 'c')) v(id, v)")
+    assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(None, "c"), (1, "a"), (2, "b")]
+    assert reader.predicates is None
     tables.extract_table(reader, "jdbc:x", "t", "id", predicates=["id < 2", "id >= 2"])
-    assert reader.calls[-1][1]["predicates"] == ["id < 2", "id >= 2"]
+    assert reader.predicates == ["id < 2", "id >= 2"]
+
+
+def test_tables_without_keys(spark, rows):
+    for create in ("SELECT NULL::BIGINT AS id FROM range(30)", "SELECT 1::BIGINT AS id WHERE false"):
+        reader = Reader(spark, create)
+        assert tables.extract_table(reader, "jdbc:x", "t", "id", rows_per_task=10).count() == min(1, sum(reader.sizes))
+        assert reader.predicates is None
+
+
+@pytest.mark.parametrize(
+    "key, seldom",
+    [("i", "1000000000000"), ("CAST(i AS VARCHAR) || 'o''clock'", "'z'"), ("DATE '2000-01-01' + CAST(i AS INTEGER)", "DATE '2900-01-01'")],
+)
+def test_ranges_are_even_however_keys_lie(spark, key, seldom):
+    reader = Reader(spark, f"SELECT {key} AS id FROM range(1, 20001) r(i) UNION ALL SELECT {seldom} UNION ALL SELECT NULL")
+    df = tables.extract_table(reader, "jdbc:x", "t", "id", rows_per_task=1000)
+    assert len(reader.sizes) == 21 and sum(reader.sizes) == 20002 == df.count()
+    assert max(reader.sizes) <= 2 * 20002 / 21
 
 
-def test_large_tables_are_read_in_ranges(spark, rows):
-    reader = Reader(spark, (900_001, 5, 7_000_000))
-    assert rows(tables.extract_table(reader, "jdbc:x", "t", "id")) == [(1, "a"), (2, "b")]
-    options = reader.calls[-1][1]
-    assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 7_000_000, 4)
+def test_a_repeated_key_stays_in_one_range(spark):
+    reader = Reader(spark, "SELECT CASE WHEN i % 2 = 0 THEN 7 ELSE i END AS id, i AS n FROM range(1000) r(i)")
+    assert tables.extract_table(reader, "jdbc:x", "t", "id", rows_per_task=100).count() == 1000 == sum(reader.sizes)
+    assert sorted(reader.sizes)[-2] <= 200
 
 
 def test_broken_files_of_other_days_do_no_harm(spark, rows, tmp_path):
