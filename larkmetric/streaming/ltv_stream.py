@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,27 +45,56 @@ def run_ltv_stream(
 
 
 def compact_ltv(spark: SparkSession, out: str) -> None:
-    """One folder with each user's newest sums in place of all batches up to now.
+    """One folder with each user's newest sums in place of all batches up to now; nothing to do without a new batch.
 
-    The folder takes the number of the newest batch it holds. Run it between
-    streams; batches it covers are ignored from then on and may be deleted.
+    Batches it covers are ignored from then on and may be deleted, all of them too. Run it between
+    streams. The folder is a new one each time, and counts only when a note of it is written
+    last: a run that ends half-way, or is run again, changes nothing.
     """
-    batches = spark.read.parquet(out)
-    last = batches.agg(F.max("batch")).first()[0]
-    newest = _newest(_current(spark, out))
-    newest.write.mode("overwrite").parquet(f"{out.rstrip('/')}-base/upto={last}")
+    base = _base(spark, out)
+    batches = _batches(spark, out)
+    last = None if batches is None else batches.agg(F.max("batch")).first()[0]
+    if last is None or (base and base[0] >= last):
+        return
+    name = f"upto={last}-{uuid.uuid4().hex}"
+    _newest(_current(spark, out)).write.parquet(f"{_base_path(out)}/{name}")
+    note = spark.createDataFrame([(last, name)], NOTE)
+    note.coalesce(1).write.json(f"{_base_path(out)}/notes/{name}")
+
+
+#: What tells that a base is whole: up to which batch, and its folder.
+NOTE = "upto long, folder string"
+
+
+def _base_path(out: str) -> str:
+    return f"{out.rstrip('/')}-base"
+
+
+def _base(spark: SparkSession, out: str) -> tuple[int, str] | None:
+    """The newest whole base: the batch it goes up to, and its folder."""
+    notes = list_files(spark, f"{_base_path(out)}/notes", r"[.]json$")
+    if not notes:
+        return None
+    newest = spark.read.schema(NOTE).json(notes).agg(F.max(F.struct("upto", "folder"))).first()[0]
+    return (newest["upto"], f"{_base_path(out)}/{newest['folder']}")
+
+
+def _batches(spark: SparkSession, out: str) -> DataFrame | None:
+    """The log's batches; None when there are none, or none any more."""
+    if not list_files(spark, out, r"/batch=\d+/[^/]*[.]parquet$"):
+        return None
+    return spark.read.parquet(out)
 
 
 def _current(spark: SparkSession, out: str) -> DataFrame:
     """The newest base, if there is one, and the batches after it."""
-    base_path = f"{out.rstrip('/')}-base"
-    batches = spark.read.parquet(out)
-    days = [int(m[1]) for f in list_files(spark, base_path) if (m := re.search(r"/upto=(\d+)/.*[.]parquet", f))]
-    if not days:
+    base, batches = _base(spark, out), _batches(spark, out)
+    if base is None and batches is None:
+        raise LookupError(f"no batch in {out}")
+    if base is None:
         return batches
-    last = max(days)
-    base = spark.read.parquet(f"{base_path}/upto={last}").withColumn("batch", F.lit(last))
-    return base.unionByName(batches.where(F.col("batch") > last))
+    rows = spark.read.parquet(base[1]).withColumn("batch", F.lit(base[0]))
+    return rows if batches is None else rows.unionByName(batches.where(F.col("batch") > base[0]))
 
 
 def _newest(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import shutil
 
 import pytest
 
@@ -182,3 +183,19 @@ def test_stream_compaction_changes_nothing(spark, rows, tmp_path):
     take_in([("u1", "store_complete_checkout", None, None, 10.0)])
     got = {r.distinct_id: r.store_value for r in read_ltv(spark, out, info).collect()}
     assert got == {"u1": 17.0, "u2": 1.0}
+
+    compact_ltv(spark, out)
+    after = rows(read_ltv(spark, out, info))
+    folders = sorted(f.name for f in (tmp_path / "out-base").iterdir())
+    compact_ltv(spark, out)
+    assert sorted(f.name for f in (tmp_path / "out-base").iterdir()) == folders, "nothing new, nothing written"
+    # A base without its note, as a killed run leaves it, does not count.
+    spark.createDataFrame([("u9", 0, 0, 1.0, 1.0, 1.0, 1.0, 1.0)], ["distinct_id", *LTV_COUNTS, *LTV_VALUES]).write.parquet(f"{out}-base/upto=99-left")
+    assert rows(read_ltv(spark, out, info)) == after
+    for batch in (tmp_path / "out").glob("batch=*"):
+        shutil.rmtree(batch)
+    compact_ltv(spark, out)
+    assert rows(read_ltv(spark, out, info)) == after, "covered batches may be deleted, all of them"
+    take_in([("u2", "store_complete_checkout", None, None, 4.0)])
+    got = {r.distinct_id: r.store_value for r in read_ltv(spark, out, info).collect()}
+    assert got == {"u1": 17.0, "u2": 5.0}
