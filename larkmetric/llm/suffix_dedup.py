@@ -4,6 +4,11 @@ A string of ``LENGTH`` bytes is found by its anchor, the smallest hash of
 ``GRAM`` bytes within it. Equal strings have equal anchors at the same offset, so
 only suffixes and prefixes around anchors with one hash have to be sorted, and
 an anchor stands for the run of all strings that chose it, some 35 of them.
+
+Equal strings also agree in ``SIDE`` bytes before the anchor or ``SIDE`` bytes
+behind its hash, whichever lie within them. Anchors are compared only where
+these agree too, and strings of which one surrounding is very frequent by a hash of
+each whole string, so that no task gets all documents with one phrase.
 """
 
 from __future__ import annotations
@@ -21,12 +26,17 @@ from larkmetric.llm.store import stored
 LENGTH = 100
 GRAM = 32
 PLACE_BITS = 30
-BUCKET_BITS = 8
+#: Of a string, so many bytes before the anchor or behind its hash.
+SIDE = (LENGTH - GRAM) // 2
+#: Anchors of one surrounding beyond which their strings are settled one by one, by hash.
+HOT = 20_000
+#: Buckets are four times the shuffle partitions, within these numbers of bits.
+LEAST_BUCKET_BITS, MOST_BUCKET_BITS = 8, 16
 #: Texts whose anchors are sent on together.
 BLOCK_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1
 #: One row for each block of documents and bucket of anchor hashes.
-RECORDS = "bucket int, block long, docs binary, rids binary, g binary, w binary, low binary, at binary, run binary, known binary"
+RECORDS = "bucket int, block long, docs binary, rids binary, g binary, w binary, left binary, right binary, low binary, at binary, run binary, known binary"
 FOUND = "rid long, doc long, low int, run int, at int, g long"
 SPANS = "rid long, low int, high int"
 
@@ -53,11 +63,11 @@ def _from_steps(held: bytes) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Text, first start, number of further starts, anchor's offset from the first, anchor hash and hash of the run's bytes."""
+    """Text, first start, number of further starts, anchor's offset from the first, anchor hash, hashes of the run's bytes and of both sides."""
     n = len(data) - LENGTH + 1
     sizes = np.diff(bounds)
     if n < 1 or not (sizes >= LENGTH).any():
-        return tuple(np.empty(0, np.int64) for _ in range(4)) + tuple(np.empty(0, np.uint64) for _ in range(2))
+        return tuple(np.empty(0, np.int64) for _ in range(4)) + tuple(np.empty(0, np.uint64) for _ in range(4))
     values = arrays.BYTE_VALUE[data]
     places = np.arange(len(data) - GRAM + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -87,11 +97,28 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     at = anchor[first] - low
     end = low + run + LENGTH
     w = arrays.mix((sums[end] - sums[low]) * power[low] + at.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + run.astype(np.uint64))
-    return np.searchsorted(bounds, low, side="right") - 1, low, run, at, gram[anchor[first]], w
+    place = anchor[first]
+
+    def side(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
+        begin = np.where(there, begin, 0)
+        return np.where(there, arrays.mix((sums[begin + SIDE] - sums[begin]) * power[begin]) >> np.uint64(32), np.uint64(0))
+
+    left, right = side(place - SIDE, _has_left(at)), side(place + GRAM, _has_right(at, run))
+    return np.searchsorted(bounds, low, side="right") - 1, low, run, at, gram[place], w, left, right
+
+
+def _has_left(at: np.ndarray) -> np.ndarray:
+    """Whether some string of the run has ``SIDE`` bytes before the anchor."""
+    return at >= SIDE
 
 
-def _records(rows: DataFrame) -> DataFrame:
-    """Anchors by block and bucket.
+def _has_right(at: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Whether some string of the run has fewer, so more than ``SIDE`` bytes behind the anchor's hash."""
+    return at - run < SIDE
+
+
+def _records(rows: DataFrame, bits: int) -> DataFrame:
+    """Anchors by block and one of ``2 ** bits`` buckets.
 
     Of a block's anchors with equal bytes around them only the first can be
     the first of all; the others' bytes are repeated whatever comes
@@ -107,7 +134,7 @@ def _records(rows: DataFrame) -> DataFrame:
                     text, low, *rest = anchors(data, own)
                     found.append((text + before, low + bounds[before], *rest))
                     before += few.num_rows
-                text, low, run, at, g, w = (np.concatenate(x) for x in zip(*found))
+                text, low, run, at, g, w, left, right = (np.concatenate(x) for x in zip(*found))
                 if not len(text):
                     continue
                 rid = part.column(0).to_numpy(zero_copy_only=False)[text]
@@ -119,10 +146,10 @@ def _records(rows: DataFrame) -> DataFrame:
                 known = np.zeros(len(order), dtype=bool)
                 known[order[same]] = True
                 # Anchors are smallest hashes, so their high bits are alike; the low ones are not.
-                bucket = (g & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
-                g = g >> np.uint64(BUCKET_BITS)
+                bucket = (g & np.uint64((1 << bits) - 1)).astype(np.int64)
+                g = g >> np.uint64(bits)
                 by = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[by], np.arange((1 << BUCKET_BITS) + 1))
+                cuts = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
                 for b in np.flatnonzero(np.diff(cuts)):
                     mine = by[cuts[b] : cuts[b + 1]]
                     yield pa.RecordBatch.from_pydict(
@@ -133,6 +160,8 @@ def _records(rows: DataFrame) -> DataFrame:
                             "rids": [_steps(rid[mine])],
                             "g": [_planes(g[mine][~known[mine]].view(np.int64), 5)],
                             "w": [_planes(w[mine][~known[mine]].view(np.int64), 6)],
+                            "left": [_planes(left[mine][~known[mine]].view(np.int64), 4)],
+                            "right": [_planes(right[mine][~known[mine]].view(np.int64), 4)],
                             "low": [_planes(low[mine], 4)],
                             "at": [_planes(at[mine], 1)],
                             "run": [_planes(run[mine], 1)],
@@ -144,11 +173,11 @@ def _records(rows: DataFrame) -> DataFrame:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each bucket: strings known to be repeated (``g`` null), and first anchors that share a hash with others.
+    """Of each bucket: strings known to be repeated (``g`` null), and first anchors that share a side with others.
 
     Anchors with equal hashes and equal bytes around them are one class; all of
-    it but the first is repeated. Firsts of several classes under one hash have to
-    be compared further.
+    it but the first is repeated. Firsts of classes that agree under one hash on a side have to
+    be compared further, in the strings that hold this side; ``g`` is then the hash of both.
     """
 
     def settle(rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -156,26 +185,32 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
             low = _from_planes(row["low"], 4)
             known = np.unpackbits(np.frombuffer(row["known"], np.uint8), bitorder="little")[: len(low)].astype(bool)
-            g, w = np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
-            g[~known], w[~known] = _from_planes(row["g"], 5), _from_planes(row["w"], 6)
-            parts.append(
-                (_from_steps(row["docs"]), _from_steps(row["rids"]), low, _from_planes(row["run"], 1), _from_planes(row["at"], 1), g, w, known)
-            )
-        doc, rid, low, run, at, g, w, known = (np.concatenate(x) for x in zip(*parts))
+            hashes = [np.zeros(len(low), np.int64) for _ in range(4)]
+            for h, (name, width) in zip(hashes, (("g", 5), ("w", 6), ("left", 4), ("right", 4))):
+                h[~known] = _from_planes(row[name], width)
+            place = (_from_planes(row[name], 1) for name in ("run", "at"))
+            parts.append((_from_steps(row["docs"]), _from_steps(row["rids"]), low, *place, *hashes, known))
+        doc, rid, low, run, at, g, w, left, right, known = (np.concatenate(x) for x in zip(*parts))
         yield _found(rid[known], doc[known], low[known], run[known], at[known], None)
         order = np.flatnonzero(~known)
         order = order[np.lexsort((low[order], rid[order], doc[order], w[order], g[order]))]
-        doc, rid, low, run, at, g, w = (x[order] for x in (doc, rid, low, run, at, g, w))
+        doc, rid, low, run, at, g, w, left, right = (x[order] for x in (doc, rid, low, run, at, g, w, left, right))
         new_g = np.ones(len(g), dtype=bool)
         new_g[1:] = g[1:] != g[:-1]
         new_w = new_g.copy()
         new_w[1:] |= w[1:] != w[:-1]
         again = ~new_w
         yield _found(rid[again], doc[again], low[again], run[again], at[again], None)
-        group = np.cumsum(new_g) - 1
-        several = np.bincount(group[new_w], minlength=1)[group] > 1 if len(group) else new_w
-        ask = new_w & several
-        yield _found(rid[ask], doc[ask], low[ask], run[ask], at[ask], (g[ask] << BUCKET_BITS) | rows[0]["bucket"])
+        bucket = np.uint64(rows[0]["bucket"])
+        for of, there, which in ((left, _has_left(at), 1), (right, _has_right(at, run), 2)):
+            on = np.flatnonzero(new_w & there)
+            g2 = arrays.mix(arrays.mix(g[on].view(np.uint64) << np.uint64(16) | bucket) ^ (of[on].view(np.uint64) << np.uint64(2) | np.uint64(which)))
+            _, back, n = np.unique(g2, return_inverse=True, return_counts=True)
+            on, g2 = on[n[back] > 1], g2[n[back] > 1]
+            # Of the run, the strings that hold this side.
+            skip = np.zeros(len(on), np.int64) if which == 1 else np.maximum(0, at[on] - SIDE + 1)
+            last = np.minimum(run[on], at[on] - SIDE) if which == 1 else run[on]
+            yield _found(rid[on], doc[on], low[on] + skip, last - skip, at[on] - skip, g2.view(np.int64))
 
     yield from _by_bucket(batches, "bucket", settle)
 
@@ -254,7 +289,9 @@ def _repeats(g: np.ndarray, order_of: np.ndarray, low: np.ndarray, run: np.ndarr
         after = np.frombuffer(ctx, np.uint8, offset=k)[:LENGTH]
         right[i, : len(after)] = after
         left[i, :k] = np.frombuffer(ctx, np.uint8)[:k][::-1]
-    by_right, lcp_right = suffix_sort.sort(group, right, n_right)
+    # All share the anchor's bytes: what is sorted begins behind them.
+    by_right, lcp_right = suffix_sort.sort(group, right[:, GRAM:], n_right - GRAM)
+    lcp_right = np.where(lcp_right < 0, -1, lcp_right + GRAM)
     by_left, lcp_left = suffix_sort.sort(group, left, n_left)
     rows, starts = [], []
     right_class, left_class = np.empty(n, np.int64), np.empty(n, np.int64)
@@ -313,6 +350,38 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     arrays.release()
 
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each string of the anchors, by two hashes of its bytes and its anchor's offset."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rid, doc, low, run, at, g = (batch.column(i).to_numpy().astype(np.int64) for i in range(6))
+        data, bounds = arrays.flat(batch.column(6))
+        of = np.repeat(np.arange(len(run)), run + 1)
+        k = arrays.ragged(np.zeros(len(run), np.int64), run + 1)
+        begin = bounds[of] + k
+        h = arrays.span_hashes(arrays.BYTE_VALUE[data], begin, begin + LENGTH)
+        second = arrays.mix(g[of].view(np.uint64) + (at[of] - k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rid[of]), pa.array(doc[of]), pa.array((low[of] + k).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(second.view(np.int64))],
+            names=["rid", "doc", "low", "h", "h2"],
+        )
+    arrays.release()
+
+
+def _settled_by_hash(contexts: DataFrame) -> DataFrame:
+    """Spans of all strings but the first of equal ones, for anchors of very frequent surroundings.
+
+    Firsts are found with a sum before the shuffle, and a join that AQE can split gives them back.
+    """
+    strings = stored(contexts.mapInArrow(_strings, "rid long, doc long, low int, h long, h2 long"), "strings")
+    firsts = strings.groupBy("h", "h2").agg(F.min(F.struct("doc", "rid", "low")).alias("first"), F.count("*").alias("n"))
+    firsts = firsts.where("n > 1").select(F.bitwise_not("h").alias("of"), F.bitwise_not("h2").alias("of2"), "first")
+    same = (F.bitwise_not(strings["h"]) == firsts["of"]) & (F.bitwise_not(strings["h2"]) == firsts["of2"])
+    again = strings.join(firsts, same).where(F.struct("doc", "rid", "low") != F.col("first"))
+    return again.select("rid", "low", (F.col("low") + LENGTH).alias("high"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` (``rid``, ``doc``, ``text``), and ``rid``, ``low``, ``high`` of byte spans that are repeated."""
     rows = docs.select(
@@ -320,15 +389,23 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )
+    spark = docs.sparkSession
+    wanted_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(MOST_BUCKET_BITS, max(LEAST_BUCKET_BITS, (wanted_buckets - 1).bit_length()))
     found = stored(
-        _records(rows).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_classes, FOUND), "anchors"
+        _records(rows, bits).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_classes, FOUND), "anchors"
     )
     asked = found.where("g IS NOT NULL")
     wanted = bloom.among(asked)
-    contexts = _contexts(rows.where(wanted(F.col("rid"))), asked)
-    compared = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_compare, SPANS)
+    contexts = stored(_contexts(rows.where(wanted(F.col("rid"))), asked), "contexts")
+    frequent = contexts.groupBy("g").count().where(F.col("count") > HOT).select(F.bitwise_not("g").alias("of"))
+    frequent = stored(frequent, "frequent")
+    is_hot = F.bitwise_not(contexts["g"]) == frequent["of"]
+    cold = contexts.join(frequent, is_hot, "left_anti")
+    compared = cold.repartition("g").sortWithinPartitions("g").mapInArrow(_compare, SPANS)
+    by_hash = _settled_by_hash(contexts.join(frequent, is_hot, "left_semi"))
     whole = found.where("g IS NULL").select("rid", "low", (F.col("low") + F.col("run") + LENGTH).alias("high"))
-    return rows, stored(whole.unionByName(compared), "spans")
+    return rows, stored(whole.unionByName(compared).unionByName(by_hash), "spans")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,23 +1,28 @@
 """Deep-shallow sorting of suffixes: multikey quicksort, then blind tries.
 
-Suffixes come as rows of a byte matrix. A shallow sort looks at eight bytes
-at a time, as one large character, and only at suffixes that are equal so far.
-Groups still equal at the shallow depth share a long prefix; a blind trie,
-which holds only the places where suffixes part, puts each in order with one
-comparison.
+Suffixes come as rows of a byte matrix. Multikey quicksort parts each group of
+suffixes that are equal so far in three, by eight bytes taken as one character:
+below, at and above that of a pivot. Those at it go on eight bytes deeper. All
+groups take their steps together. Groups still equal at the shallow depth share
+a long prefix; a blind trie, which holds only the places where suffixes part,
+puts each in order with one comparison.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+from larkmetric.llm.arrays import ragged
+
 SHALLOW = 32
 
 
-def _word(rows: np.ndarray, at: int) -> np.ndarray:
-    part = np.zeros((len(rows), 8), dtype=np.uint8)
-    have = rows[:, at : at + 8]
-    part[:, : have.shape[1]] = have
+def _words(rows: np.ndarray, which: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Eight bytes of each row from its depth on, as one number; zeros beyond the end."""
+    part = np.zeros((len(which), 8), dtype=np.uint8)
+    for k in range(8):
+        inside = at + k < rows.shape[1]
+        part[inside, k] = rows[which[inside], at[inside] + k]
     return part.view(">u8").ravel().astype(np.uint64)
 
 
@@ -90,16 +95,24 @@ def sort(group: np.ndarray, rows: np.ndarray, lengths: np.ndarray, shallow: int
     run = group[order]
     first = np.ones(n, dtype=bool)
     first[1:] = run[1:] != run[:-1]
-    for at in range(0, min(shallow, rows.shape[1]), 8):
-        name = np.cumsum(first) - 1
-        open_ = np.flatnonzero(np.bincount(name, minlength=1)[name] > 1)
-        if not len(open_):
+    depth = np.zeros(n, dtype=np.int64)  # of each place: what its group is known to share
+    while True:
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, n))
+        going = (sizes > 1) & (depth[starts] < min(shallow, rows.shape[1]))
+        if not going.any():
             break
-        word = _word(rows[order[open_]], at)
-        by = np.lexsort((word, name[open_]))
-        order[open_] = order[open_][by]
-        word, within = word[by], name[open_]
-        first[open_[1:]] |= (word[1:] != word[:-1]) & (within[1:] == within[:-1])
+        starts, sizes = starts[going], sizes[going]
+        places = ragged(starts, sizes)
+        group_of = np.repeat(np.arange(len(starts)), sizes)
+        word = _words(rows, order[places], depth[places])
+        pivot = word[(np.cumsum(sizes) - sizes) + sizes // 2][group_of]
+        side = (word > pivot).astype(np.int8) - (word < pivot)
+        by = np.lexsort((side, group_of))
+        order[places] = order[places][by]
+        side = side[by]
+        first[places[1:]] |= (side[1:] != side[:-1]) & (group_of[1:] == group_of[:-1])
+        depth[places[side == 0]] += 8
     starts = np.flatnonzero(first)
     ends = np.append(starts[1:], n)
     for i, j in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):

@@ -1,6 +1,7 @@
 """Each operator on small documents against brute force, with all awkward rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -77,13 +78,39 @@ def brute_spans(rows):
     return [out[i] for i in range(len(rows))]
 
 
-def test_suffix_dedup(docs, ordered):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
+def test_suffix_dedup(docs, ordered, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     found = suffix_dedup.without_repeats(docs)
     got = multiset((r.doc_id, r.n_bytes, len(r.spans), bytes(r.kept)) for r in found.collect())
     want = brute_spans(ordered)
     assert got == multiset(want) and sum(x[2] for x in want) > 10
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 5])
+def test_phrases_in_many_texts(workers, frame, tmp_path, monkeypatch, hot):
+    """Phrases of 60 to 130 bytes between other text, some cut at an end: those under 100 bytes stay whole."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(12)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrst ") for _ in range(n))
+
+    rows = []
+    for size in (60, 95, 99, 100, 101, 115, 130):
+        phrase = noise(size)
+        for k in range(14):
+            cut = rng.choice([0, 0, 5, 20]) if size > 101 else 0
+            rows.append((len(rows), noise(rng.randint(0, 90)) + phrase[cut:] + noise(rng.randint(0, 90))))
+    rows.append((None, rows[40][1] + rows[90][1]))
+    frame(rows, 4).write.parquet(f"{tmp_path}/documents")
+    docs = workers.read.parquet(f"{tmp_path}/documents")
+    in_order = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = multiset((r.doc_id, r.n_bytes, len(r.spans), bytes(r.kept)) for r in suffix_dedup.without_repeats(docs).collect())
+    want = brute_spans(in_order)
+    assert got == multiset(want) and 30 < sum(x[2] for x in want) < 90
+
+
 # 2
 
 
