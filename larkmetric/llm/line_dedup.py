@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkmetric.llm import arrays, bloom
-from larkmetric.llm.store import free_name, stored, tagged
+from larkmetric.llm.store import free_name, numbered, on_files, stored, tagged
 
 #: A line of fewer bytes is no evidence alone, as unrelated documents share it by chance, but with those after it.
 MIN_LINE_BYTES = 32
@@ -214,18 +214,18 @@ def without_repeats(
 ) -> tuple[DataFrame, str, str]:
     """``docs`` with what is left of each text, and the names of two columns more: lines it had, lines it lost.
 
-    Rows keep all their columns; a null text stays null.
+    Rows keep all their columns, whatever their names; a null text stays null.
     """
-    rid, lost, had = (free_name(docs, x) for x in ("_rid", "_lost", "_had"))
+    docs = on_files(docs)
+    rid, of, mark, lost, had = (free_name(docs, x) for x in ("_rid", "_rid_of", "_touched", "_lost", "_had"))
     gone = stored(repeated_lines(docs, id_col, text_col, min_line_bytes, min_block_bytes), "gone")
-    gone = gone.select(F.col("rid").alias(f"{rid}_of"), F.col("lines").alias(lost))
-    rows = docs.withColumn(rid, F.monotonically_increasing_id())
-    touched = bloom.among(gone.select(F.col(f"{rid}_of").alias("rid")))
-    mark = free_name(rows, "_touched")
+    gone = gone.select(F.col("rid").alias(of), F.col("lines").alias(lost))
+    touched = bloom.among(gone.select(F.col(of).alias("rid")))
+    rows = numbered(docs, rid)
     rows = rows.withColumn(mark, touched(F.col(rid)))
     # Most rows lose nothing and do not move.
     whole = rows.where(~F.col(mark)).select(*docs.columns, F.lit(None).cast("array<int>").alias(lost))
-    cut = rows.where(F.col(mark)).hint("merge").join(gone, F.col(rid) == F.col(f"{rid}_of"), "left")
+    cut = rows.where(F.col(mark)).hint("merge").join(gone, F.col(rid) == F.col(of), "left")
     joined = whole.unionByName(cut.select(*docs.columns, lost))
     lines = F.split(F.col(text_col).cast("string"), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(lost), i)), "\n")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkmetric.llm import arrays, bloom, suffix_sort
-from larkmetric.llm.store import stored
+from larkmetric.llm.store import stored, tagged
 
 LENGTH = 100
 GRAM = 32
@@ -384,11 +384,7 @@ def _settled_by_hash(contexts: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` (``rid``, ``doc``, ``text``), and ``rid``, ``low``, ``high`` of byte spans that are repeated."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
-    )
+    rows = tagged(docs, id_col, text_col).select("rid", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
     spark = docs.sparkSession
     wanted_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(MOST_BUCKET_BITS, max(LEAST_BUCKET_BITS, (wanted_buckets - 1).bit_length()))

@@ -27,6 +27,14 @@ def _unpack(held: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes).view("<u4").ravel().astype(np.int64)
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch whose rows follow each other in one file."""
+    rid = batch.column(0).to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(rid) != 1) + 1).tolist(), len(rid)]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        yield from arrays.chunks(batch.slice(low, high - low), BLOCK_BYTES)
+
+
 def _frequencies(rows: DataFrame, special: tuple[bytes, ...], buckets: int) -> DataFrame:
     """Per block of documents and bucket of pre-tokens: each pre-token, and in which documents it is how often.
 
@@ -37,11 +45,8 @@ def _frequencies(rows: DataFrame, special: tuple[bytes, ...], buckets: int) -> D
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, bounds in arrays.chunks(batch, BLOCK_BYTES):
-                rid = part.column(0)
-                block, n = rid[0].as_py(), part.num_rows
-                if rid[n - 1].as_py() - block != n - 1:
-                    raise ValueError("rows of a block must follow each other")
+            for part, data, bounds in _blocks(batch):
+                block, n = part.column(0)[0].as_py(), part.num_rows
                 starts = pretokens.split(data, bounds, special)
                 if not len(starts):
                     continue
