@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larkmetric.llm import decontaminate, folds, language, line_dedup, packing, simhash
 from larkmetric.llm.queries import TOKENIZER, reach_workers, read
-from larkmetric.llm.store import stored, without_rows
+from larkmetric.llm.store import on_files, stored, without_rows
 
 #: A document of which no language explains this share of n-grams has none.
 MOST_OTHER = 0.5
@@ -51,11 +51,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     without words, null texts among them, are one group; ids that repeat stay apart.
     """
     reach_workers(spark)
+    docs = on_files(docs)
     return without_rows(docs, simhash.repeated(simhash.near_groups(docs)), "near-copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    docs = on_files(docs)
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"))
     return without_rows(docs, found.where("n_hit > 0").select("rid"), "contaminated")
 
