@@ -72,18 +72,73 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 
 
+# --- exact sums ----------------------------------------------------------------
+#
+# A double is summed in limbs, each an exact decimal, so no order of rows changes a
+# sum. Common amounts lie in the first limb alone; the others are NULL for them.
+
 MONEY = "decimal(36,12)"
+WIDE = "decimal(38,12)"
+#: Numbers from here on are whole and go to the limb of large ones; those beyond, or nearer to 0, to that of doubles.
+LARGE, BEYOND, TINY = 1e24, 1e36, 1e-20
+#: The limbs: common amounts, what they leave behind the twelfth place, large numbers, those that no decimal holds.
+LIMBS = ("", "_fine", "_large", "_beyond")
 
 
 def money(c: Column) -> Column:
-    """Exact sums whatever the row order; cast to double once, at the end.
-
-    Twelve places after the point and 24 before it. What is no number or lies
-    beyond counts as missing; it never fails a job.
-    """
+    """The first limb: twelve places after the point and 24 before it; NULL for what is no number or larger."""
     return c.try_cast(MONEY)
 
 
 def money_sum(c: Column) -> Column:
-    """The sum of a ``money`` column, 26 places before the point; missing beyond that, never an error."""
-    return F.try_sum(c.try_cast("decimal(38,12)"))
+    """The sum of a first limb, 26 places before the point."""
+    return F.try_sum(c.try_cast(WIDE))
+
+
+def limbs(c: Column) -> list[Column]:
+    """The limbs of a number, in the order of ``LIMBS``; all NULL for what is no finite number.
+
+    Behind the twelfth place a double has digits only below 100,000; these are kept to the 32nd place.
+    No number is lost: what no decimal holds (from 1e36 on, and below 1e-20) is summed as doubles, and only there
+    may the order of rows change the last bits.
+    """
+    x = c.try_cast("double")
+    size = F.abs(x)
+    first = F.when(size < LARGE, money(c))
+    rest = x.try_cast("decimal(38,32)") - first
+    fine = F.when((size < 1e5) & (size >= TINY) & (first.cast("double") != x), rest.try_cast("decimal(38,38)"))
+    large = F.when((size >= LARGE) & (size < BEYOND), x.try_cast("decimal(38,0)"))
+    beyond = F.when(((size >= BEYOND) & (size < float("inf"))) | ((size < TINY) & (size > 0)), x)
+    return [first, fine, large, beyond]
+
+
+def limb_sums(parts: list[Column]) -> list[Column]:
+    """The sums of limbs, which are limbs again."""
+    first, fine, large, beyond = parts
+    return [money_sum(first), F.try_sum(fine), F.try_sum(large), F.sum(beyond)]
+
+
+def named_limbs(name: str) -> list[Column]:
+    """Columns that hold the limbs of ``name``."""
+    return [F.col(f"`{name}{limb}`") for limb in LIMBS]
+
+
+def as_limbs(name: str, parts: list[Column]) -> list[Column]:
+    return [part.alias(f"{name}{limb}") for part, limb in zip(parts, LIMBS)]
+
+
+def add_limbs(a: list[Column], b: list[Column]) -> list[Column]:
+    """Limb by limb; NULL counts as nothing."""
+    kinds = (WIDE, "decimal(38,38)", "decimal(38,0)", "double")
+    return [F.coalesce(F.try_add(x.try_cast(k), y.try_cast(k)), x.try_cast(k), y.try_cast(k)) for x, y, k in zip(a, b, kinds)]
+
+
+def whole(parts: list[Column]) -> Column:
+    """The number that limbs hold, rounded once a limb, largest first; 0 for none."""
+    first, fine, large, beyond = (F.coalesce(part.cast("double"), F.lit(0.0)) for part in parts)
+    return beyond + large + first + fine
+
+
+def exact_sum(c: Column) -> Column:
+    """The sum of a column as a double, the same for any order of rows; 0 where there is no number."""
+    return whole(limb_sums(limbs(c)))

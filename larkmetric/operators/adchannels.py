@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import ChannelLayout
-from ..functions import clean_number, money, money_sum, to_number
+from ..functions import clean_number, exact_sum, to_number
 from .firstrow import first_per_key
 from .joins import hot_join
 
@@ -53,7 +53,7 @@ def adison(df: DataFrame) -> DataFrame:
 
 def sum_per_date(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy("date").agg(
-        *[F.coalesce(money_sum(money(F.col(c))), F.lit(0)).cast("double").alias(c) for c in columns]
+        *[exact_sum(F.col(c)).alias(c) for c in columns]
     )
 
 

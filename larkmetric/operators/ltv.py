@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LTV_COUNTS, LTV_VALUES, EventNames, LtvRules
-from ..functions import days_before, is_uuid_like, money, money_sum
+from ..functions import add_limbs, as_limbs, days_before, is_uuid_like, limb_sums, limbs, named_limbs, whole
 from .identity import device_owners, devices_to_users
 
 STATE_SCHEMA = (
@@ -74,17 +74,17 @@ def contributions(
 
 
 def _exact_per_user(rows: DataFrame) -> DataFrame:
-    """One row per user; missing numbers count as 0, values are exact decimals."""
-    zero = F.lit(0)
+    """One row per user; missing numbers count as 0, values are the limbs of their sums."""
     return rows.groupBy("distinct_id").agg(
-        *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in LTV_COUNTS],
-        *[F.coalesce(money_sum(money(F.col(c))), zero).alias(c) for c in LTV_VALUES],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in LTV_COUNTS],
+        *[part for c in LTV_VALUES for part in as_limbs(c, limb_sums(limbs(F.col(c))))],
     )
 
 
 def sum_per_user(rows: DataFrame) -> DataFrame:
     """One row per user; missing numbers count as 0, values are summed exactly."""
-    return _exact_per_user(rows).withColumns({c: F.col(c).cast("double") for c in LTV_VALUES})
+    sums = _exact_per_user(rows)
+    return sums.select("distinct_id", *LTV_COUNTS, *[whole(named_limbs(c)).alias(c) for c in LTV_VALUES])
 
 
 def accumulate(
@@ -108,6 +108,7 @@ def accumulate(
 
 #: The column a kept state is bucketed by.
 STATE_KEY = "_key"
+CHANGE = "change "
 
 
 def _key(c: Column) -> Column:
@@ -140,20 +141,16 @@ def advance(
     moved = state.join(owners.where(F.col("owner_id").isNotNull()), owned).select(F.col("owner_id").alias("distinct_id"), *values)
     today = devices_to_users(sum_per_user(contributions(day, names, rules)), user_info)
     changes = _exact_per_user(moved.unionByName(today.select("distinct_id", *values)))
-    changes = changes.select(
-        _key(F.col("distinct_id")).alias("_to"), F.col("distinct_id").alias("_id"), *[F.col(c).alias(f"_{c}_change") for c in values]
-    )
+    changes = changes.withColumnsRenamed({c: f"{CHANGE}{c}" for c in changes.columns if c != "distinct_id"})
+    changes = changes.withColumn("_to", _key(F.col("distinct_id"))).withColumnRenamed("distinct_id", "_id")
     gone = owners.where(F.col("owner_id").isNotNull()).select(F.col("_device").alias("_gone"))
     kept = state.join(gone, state[STATE_KEY] == F.col("_gone"), "left_anti")
     both = kept.join(changes, kept[STATE_KEY] == F.col("_to"), "full_outer")
-    zero = F.lit(0).cast("decimal(38,12)")
+    none = F.lit(0)
     return both.select(
         F.coalesce("distinct_id", "_id").alias("distinct_id"),
-        *[(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_{c}_change"), F.lit(0))).cast("bigint").alias(c) for c in LTV_COUNTS],
-        *[
-            F.coalesce(F.try_add(F.coalesce(money(F.col(c)), zero), F.coalesce(F.col(f"_{c}_change"), zero)), zero).cast("double").alias(c)
-            for c in LTV_VALUES
-        ],
+        *[(F.coalesce(F.col(c), none) + F.coalesce(F.col(f"{CHANGE}{c}"), none)).cast("bigint").alias(c) for c in LTV_COUNTS],
+        *[whole(add_limbs(limbs(F.col(c)), named_limbs(f"{CHANGE}{c}"))).alias(c) for c in LTV_VALUES],
         F.lit(days_before(date, 0)).alias("date"),
         F.coalesce(STATE_KEY, "_to").alias(STATE_KEY),
     )

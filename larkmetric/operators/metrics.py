@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AD_REPORT_METRICS, GROUP_KEYS, ORGANIC, PERIODS, EventNames
-from ..functions import days_before, money, money_sum, unquote
-from ..functions.numbers import MONEY
+from ..functions import days_before, exact_sum, limb_sums, limbs, unquote
+from ..functions.numbers import MONEY, money_sum
 from .clean import within_days
 
 
@@ -137,24 +137,27 @@ def revenue_of(
     rows = with_organic_keys(events.where(F.col("event").isin(*kinds)), keys)
     if keyed_only:
         rows = rows.where("keyed")
-    total = F.coalesce(money_sum(money(F.col("revenue"))), F.lit(0)).cast("double")
-    return rows.groupBy(*keys).agg(total.alias(name))
+    return rows.groupBy(*keys).agg(exact_sum(F.col("revenue")).alias(name))
 
 
 # --- all metrics, levels and periods in one pass -------------------------------
 
 
 def _sums(names: EventNames) -> list[Column]:
-    """What a user's events add up to; such sums of parts add up to the sums of all."""
+    """What a user's events add up to; such sums of parts add up to the sums of all.
+
+    An amount that a decimal of common size does not hold whole leaves the rest in a double beside it.
+    """
     counts = [F.count_if(m.hit()).alias(k) for k, m in count_metrics(names).items()]
-    money_rows = [
-        agg
-        for name, event in revenue_metrics(names).items()
-        for agg in (
-            money_sum(F.when(F.col("event") == event, money(F.col("revenue")))).alias(name),
+    money_rows = []
+    for name, event in revenue_metrics(names).items():
+        first, *others = limb_sums(limbs(F.when(F.col("event") == event, F.col("revenue"))))
+        others = [F.coalesce(part.cast("double"), F.lit(0.0)) for part in others]
+        money_rows += [
+            first.alias(name),
+            F.nullif(others[2] + others[1] + others[0], F.lit(0.0)).alias(f"{name}_other"),
             F.count_if(F.col("event") == event).alias(f"{name}_rows"),
-        )
-    ]
+        ]
     return [*counts, *money_rows]
 
 
@@ -200,7 +203,7 @@ def merged_activity(
     """
     revenue = revenue_metrics(names)
     sums = [F.sum(c).alias(c) for c in (*count_metrics(names), *[f"{r}_rows" for r in revenue])]
-    amounts = [money_sum(F.col(r)).alias(r) for r in revenue]
+    amounts = [a for r in revenue for a in (money_sum(F.col(r)).alias(r), F.sum(f"{r}_other").alias(f"{r}_other"))]
     rows = _banded(days, as_of).groupBy(*keys, "distinct_id", "band")
     return rows.agg(*sums, *amounts, F.bit_or("_bit").alias("days"))
 
@@ -260,6 +263,7 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
     any_revenue = parts[0]
     for part in parts[1:]:
         any_revenue = any_revenue + part
+    any_other = F.nullif(sum((F.coalesce(F.col(f"{r}_other"), F.lit(0.0)) for r in revenue), F.lit(0.0)), F.lit(0.0))
     keyed = {"campaign": source.isNotNull() & campaign.isNotNull(), "media_source": source.isNotNull()}
 
     def combined(name: str) -> str:
@@ -275,9 +279,11 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
     def at(name: str, period: str) -> str:
         return f"{name} {period}"
 
-    values: dict[str, Column] = {c: F.col(c) for c in (*counts, *revenue, *[f"{r}_rows" for r in revenue])}
+    beside = [f"{r}{end}" for r in revenue for end in ("_rows", "_other")]
+    values: dict[str, Column] = {c: F.col(c) for c in (*counts, *revenue, *beside)}
     for level, has in keyed.items():
         values[f"revenue {level}"] = F.when(has, any_revenue)
+        values[f"revenue_other {level}"] = F.when(has, any_other)
         values[f"revenue_rows {level}"] = F.when(has, any_rows)
         values[f"days {level}"] = F.when(has, F.col("days"))
     slots = {(n, p): F.when(F.col("band") <= days, v) for p, days in PERIODS.items() for n, v in values.items()}
@@ -301,16 +307,16 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
             out = [F.lit(period).alias("period"), F.count("distinct_id").alias("mau")]
             out.append((day_users / F.bit_count(F.bit_or(days))).alias("dau"))
 
-            def revenue_sum(name: str, value: Column, n: Column) -> Column:
-                total = F.coalesce(money_sum(value), F.lit(0)).cast("double")
+            def revenue_sum(name: str, value: Column, other: Column, n: Column) -> Column:
+                total = F.coalesce(money_sum(value), F.lit(0)).cast("double") + F.coalesce(F.sum(other), F.lit(0.0))
                 return F.when(F.sum(n) > 0, total).alias(name)
 
             for key, metric in counts.items():
                 seen = F.sum(col(key)) > 0
                 out.append(F.when(seen, F.count_if((col(key) > 0) & known)).alias(metric.users))
                 out.append(F.when(seen, F.sum(col(key))).alias(metric.events))
-            out.append(revenue_sum("revenue", col(f"revenue {level}"), col(f"revenue_rows {level}")))
-            return F.struct(*out, *[revenue_sum(r, col(r), col(f"{r}_rows")) for r in revenue])
+            out.append(revenue_sum("revenue", *(col(f"revenue{x} {level}") for x in ("", "_other", "_rows"))))
+            return F.struct(*out, *[revenue_sum(r, col(r), col(f"{r}_other"), col(f"{r}_rows")) for r in revenue])
 
         found = rows.groupBy(*group).agg(F.array(*[row(p) for p in PERIODS]).alias("periods"))
         name = F.col("g_campaign") if "g_campaign" in group else F.lit(None).cast("string")

