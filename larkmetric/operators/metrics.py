@@ -251,9 +251,8 @@ def _report(
 def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
     """All periods and levels from the users' activity.
 
-    Rows meet by user, once: per user and campaign, then per user and source, each
-    with the periods side by side as columns. Both are grouped from there, and only
-    the groups' rows are spread into one row per period.
+    Rows meet by user, once, as few as there are day bands; there, within their task, each is spread into one
+    row per period. These are summed per user and campaign, then per user and source, and both are grouped from there.
     """
     source, campaign = (F.col(k) for k in GROUP_KEYS)
     organic = F.lit(ORGANIC)
@@ -276,9 +275,6 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
         how = {"or": F.bit_or, "money": money_sum, "sum": F.sum}[combined(name)]
         return how(column)
 
-    def at(name: str, period: str) -> str:
-        return f"{name} {period}"
-
     beside = [f"{r}{end}" for r in revenue for end in ("_rows", "_other")]
     values: dict[str, Column] = {c: F.col(c) for c in (*counts, *revenue, *beside)}
     for level, has in keyed.items():
@@ -286,48 +282,50 @@ def _assemble(activity: DataFrame, names: EventNames) -> DataFrame:
         values[f"revenue_other {level}"] = F.when(has, any_other)
         values[f"revenue_rows {level}"] = F.when(has, any_rows)
         values[f"days {level}"] = F.when(has, F.col("days"))
-    slots = {(n, p): F.when(F.col("band") <= days, v) for p, days in PERIODS.items() for n, v in values.items()}
-    users = activity.repartition("distinct_id")
-    per_campaign = users.groupBy(
-        "distinct_id", F.coalesce(source, organic).alias("g_source"), F.coalesce(campaign, organic).alias("g_campaign")
-    ).agg(*[fold(v, n).alias(at(n, p)) for (n, p), v in slots.items()])
-    per_source = per_campaign.groupBy("distinct_id", "g_source").agg(
-        *[fold(F.col(f"`{at(n, p)}`"), n).alias(at(n, p)) for n, p in slots]
+    periods = F.array(*[F.struct(F.lit(p).alias("period"), F.lit(days).alias("_reach")) for p, days in PERIODS.items()])
+    users = activity.repartition("distinct_id").select(
+        "distinct_id",
+        F.coalesce(source, organic).alias("g_source"),
+        F.coalesce(campaign, organic).alias("g_campaign"),
+        "band",
+        *[v.alias(n) for n, v in values.items()],
+        F.inline(periods),
+    )
+    # A row counts in the periods its band lies in; in the others its user is still one of the month.
+    spread = users.select(
+        "period", "distinct_id", "g_source", "g_campaign", *[F.when(F.col("band") <= F.col("_reach"), F.col(n)).alias(n) for n in values]
     )
 
-    def groups(rows: DataFrame, level: str, group: list[str]) -> DataFrame:
-        known = F.col("distinct_id").isNotNull()
-
-        def row(period: str) -> Column:
-            def col(name: str) -> Column:
-                return F.col(f"`{at(name, period)}`")
-
-            days = col(f"days {level}")
-            day_users = F.coalesce(F.sum(F.when(known, F.bit_count(days))), F.lit(0))
-            out = [F.lit(period).alias("period"), F.count("distinct_id").alias("mau")]
-            out.append((day_users / F.bit_count(F.bit_or(days))).alias("dau"))
-
-            def revenue_sum(name: str, value: Column, other: Column, n: Column) -> Column:
-                total = F.coalesce(money_sum(value), F.lit(0)).cast("double") + F.coalesce(F.sum(other), F.lit(0.0))
-                return F.when(F.sum(n) > 0, total).alias(name)
+    def per_user(rows: DataFrame, *group: str) -> DataFrame:
+        return rows.groupBy("distinct_id", "period", *group).agg(*[fold(F.col(n), n).alias(n) for n in values])
 
-            for key, metric in counts.items():
-                seen = F.sum(col(key)) > 0
-                out.append(F.when(seen, F.count_if((col(key) > 0) & known)).alias(metric.users))
-                out.append(F.when(seen, F.sum(col(key))).alias(metric.events))
-            out.append(revenue_sum("revenue", *(col(f"revenue{x} {level}") for x in ("", "_other", "_rows"))))
-            return F.struct(*out, *[revenue_sum(r, col(r), col(f"{r}_other"), col(f"{r}_rows")) for r in revenue])
+    per_campaign = per_user(spread, "g_source", "g_campaign")
+    per_source = per_user(per_campaign, "g_source")
 
-        found = rows.groupBy(*group).agg(F.array(*[row(p) for p in PERIODS]).alias("periods"))
+    def groups(rows: DataFrame, level: str, group: list[str]) -> DataFrame:
+        known = F.col("distinct_id").isNotNull()
+        days = F.col(f"days {level}")
+        day_users = F.coalesce(F.sum(F.when(known, F.bit_count(days))), F.lit(0))
+        out = [F.count("distinct_id").alias("mau"), (day_users / F.bit_count(F.bit_or(days))).alias("dau")]
+
+        def revenue_sum(name: str, value: str, other: str, n: str) -> Column:
+            total = F.coalesce(money_sum(F.col(value)), F.lit(0)).cast("double") + F.coalesce(F.sum(other), F.lit(0.0))
+            return F.when(F.sum(n) > 0, total).alias(name)
+
+        for key, metric in counts.items():
+            seen = F.sum(key) > 0
+            out.append(F.when(seen, F.count_if((F.col(key) > 0) & known)).alias(metric.users))
+            out.append(F.when(seen, F.sum(key)).alias(metric.events))
+        out.append(revenue_sum("revenue", *(f"revenue{x} {level}" for x in ("", "_other", "_rows"))))
+        out += [revenue_sum(r, r, f"{r}_other", f"{r}_rows") for r in revenue]
         name = F.col("g_campaign") if "g_campaign" in group else F.lit(None).cast("string")
-        keys = [F.lit(level).alias("level"), F.col("g_source").alias("media_source"), name.alias("campaign")]
-        return found.select(*keys, F.inline("periods"))
+        found = rows.groupBy("period", *group).agg(*out)
+        keys = ["period", F.lit(level).alias("level"), F.col("g_source").alias("media_source"), name.alias("campaign")]
+        return found.select(*keys, *[c for c in found.columns if c not in ("period", *group)])
 
-    report = groups(per_campaign, "campaign", ["g_source", "g_campaign"]).unionByName(
+    return groups(per_campaign, "campaign", ["g_source", "g_campaign"]).unionByName(
         groups(per_source, "media_source", ["g_source"])
     )
-    first = ["period", "level", *GROUP_KEYS]
-    return report.select(*first, *[c for c in report.columns if c not in first])
 
 
 def ad_report_slots(ad_report: DataFrame) -> DataFrame:
