@@ -66,3 +66,33 @@ def test_run_is_all_stages(workers, sf_dir):
     df = corpus_pipeline.run(workers, sf_dir)
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} == set(df.columns)
     assert df.count() > 0
+
+
+def test_stages_without_rows(workers, sf_dir, tmp_path):
+    """Empty documents with extra columns go through every stage."""
+    docs = workers.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none")
+    docs = workers.read.parquet(f"{tmp_path}/none")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(workers, docs, sf_dir)
+        assert out.count() == 0, name
+        assert name == "best_fit_packing" or out.columns == docs.columns
+
+
+def test_models_without_rows(workers, sf_dir, tmp_path):
+    """Empty documents, and labels that are missing or all alike."""
+    given = workers.read.parquet(f"{sf_dir}/documents.parquet")
+    given.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    given.write.parquet(f"{tmp_path}/some/documents.parquet")
+    given.write.parquet(f"{tmp_path}/alike/documents.parquet")
+    schema = "doc_id long, quality int, toxic int"
+    workers.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/labels.parquet")
+    workers.createDataFrame([], schema).write.parquet(f"{tmp_path}/some/labels.parquet")
+    workers.createDataFrame([(k, 1, 1) for k in range(40)] + [(41, None, None), (None, 1, 1)], schema).write.parquet(f"{tmp_path}/alike/labels.parquet")
+    for name in ("op2_language_id", "op5_toxicity", "op10_quality"):
+        assert QUERIES[name](workers, f"{tmp_path}/none").count() == 0
+    for name in ("op5_toxicity", "op10_quality"):
+        for folder in ("some", "alike"):
+            rows = QUERIES[name](workers, f"{tmp_path}/{folder}").collect()
+            assert len(rows) == given.count() and all(0 <= r.score <= 1 for r in rows)
+            assert folder == "some" or all(r.predicted == 1 for r in rows)
