@@ -33,7 +33,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the blocks of lines that an earlier document has; a document left without words goes."""
+    """Texts without the blocks of lines that an earlier document has; a document left without words goes.
+
+    Null and empty texts lose nothing and stay. Of documents with equal ids the one with the lower row number is the earlier, null ids
+    come last; of equal documents the first keeps its lines and the others go. No rows give none.
+    """
     reach_workers(spark)
     kept, had, lost = line_dedup.without_repeats(docs)
     kept = kept.where((F.col(lost) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
@@ -56,14 +60,22 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts hold none and stay; equal documents stay or go together. Without benchmark
+    items, or without rows, nothing goes.
+    """
     docs = on_files(docs)
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"))
     return without_rows(docs, found.where("n_hit > 0").select("rid"), "contaminated")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences.
+
+    A null or empty text is one piece of the end token. Rows that repeat are packed each; pieces of one length
+    take their places in the order of row numbers. No rows give none.
+    """
     reach_workers(spark)
     return packing.packed(docs, public_tokenizers.path(TOKENIZER)).drop("rid")
 
