@@ -57,26 +57,27 @@ class Languages:
     def infer(self, grams: np.ndarray) -> tuple[list[int], np.ndarray, float]:
         """The languages of one text, largest first, with their shares, and what none of them explains.
 
-        Expectation-maximisation over the text's n-grams estimates the shares
-        of a mixture. Languages join the set, by their share in the mixture of all, while the
+        Expectation-maximisation over the text's n-grams, each distinct one once with how often
+        it is there, estimates the shares of a mixture. Languages join the set, by their share in the mixture of all, while the
         likelihood grows by more than ``penalty * log(n)``.
         """
-        p = self.probability[grams]
         n = len(grams)
+        grams, times = np.unique(grams, return_counts=True)
+        p = self.probability[grams]
         other = 1.0 / BUCKETS
         cost = self.penalty * np.log(n + 1.0)
 
         def mixture(of: list[int]) -> tuple[np.ndarray, float]:
-            q = np.column_stack([p[:, of], np.full(n, other)])
+            q = np.column_stack([p[:, of], np.full(len(grams), other)])
             share = np.full(len(of) + 1, 1.0 / (len(of) + 1))
             for _ in range(self.rounds):
                 total = q @ share
-                new = share * (q.T @ (1.0 / total)) / n
+                new = share * (q.T @ (times / total)) / n
                 moved = np.abs(new - share).max()
                 share = new
                 if moved < 1e-3:
                     break
-            return share, float(np.log(q @ share).sum())
+            return share, float(times @ np.log(q @ share))
 
         whole, best = mixture(list(range(len(self.names))))
         order = sorted(range(len(self.names)), key=lambda i: (-whole[i], i))
