@@ -17,3 +17,15 @@ def dedup_events(df: DataFrame) -> DataFrame:
 
 def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
+
+
+def spread_distinct(df: DataFrame) -> DataFrame:
+    """Distinct rows, grouped in as many tasks as the session has shuffle partitions.
+
+    For rows that hardly repeat. AQE would join partitions up to a size in compressed bytes: narrow rows
+    take few there, and many times that in the hash table of one task. Combining before the shuffle would
+    keep a second table of them all, beside the sorts of the join they come from.
+    """
+    ways = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = [f"_{i}" for i in range(len(df.columns))]  # names may come twice
+    return df.toDF(*places).repartition(ways, *places).distinct().toDF(*df.columns)

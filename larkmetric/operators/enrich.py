@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TEST_VALUES, USER_COLUMNS, EventNames
 from .clean import corrected_event, ensure_column, first_order, null_sentinels, with_event_date
+from .dedup import spread_distinct
 from .joins import hot_join
 
 CHALLENGE_COLUMNS = ["service_type", "is_brand", "is_corp", "revenue_from_brand", "revenue_from_challenge"]
@@ -35,6 +36,12 @@ def _mart_key(kind: str, c: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), c.cast("string"))
 
 
+def _mart_rows(kind: str, mart: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """A mart's distinct rows under kind and key; made distinct before its rows get wider."""
+    rows = spread_distinct(mart.select(F.col(key).cast("string").alias("_key"), *columns))
+    return rows.withColumn("_key", _mart_key(kind, F.col("_key")))
+
+
 def enrich(
     events: DataFrame,
     users: DataFrame,
@@ -52,11 +59,9 @@ def enrich(
     rows = attribute(ensure_column(ensure_column(events, "order_no"), "order_count"), users)
     challenge_kind = F.coalesce(F.col("event").isin(names.challenge, names.brand), F.lit(False))
     store_kind = F.coalesce(F.col("event") == names.store, F.lit(False))
-    c = challenges.select(
-        _mart_key("challenge", F.col("challenge_id")).alias("_key"), *CHALLENGE_COLUMNS, "revenue"
-    )
-    s = stores.select(_mart_key("store", F.col("order_no")).alias("_key"), "revenue")
-    mart = c.unionByName(s, allowMissingColumns=True).distinct()
+    c = _mart_rows("challenge", challenges, "challenge_id", [*CHALLENGE_COLUMNS, "revenue"])
+    s = _mart_rows("store", stores, "order_no", ["revenue"])
+    mart = c.unionByName(s, allowMissingColumns=True)
     key = F.when(challenge_kind, _mart_key("challenge", rows["challenge_id"])).when(
         store_kind, _mart_key("store", rows["order_no"])
     )

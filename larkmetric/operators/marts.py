@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import BRAND, CHALLENGE, CORP, ServiceRules, Tier
 from ..functions import any_named
+from .dedup import spread_distinct
 from .joins import full_outer
 
 
@@ -119,9 +120,8 @@ def store_mart(orders: DataFrame, items: DataFrame, options: DataFrame) -> DataF
         orders.join(items, "pill_order_id")
         .join(options, "pill_option_id")
         .drop("pill_order_id", "pill_option_id")
-        .distinct()
     )
-    return joined.withColumn("revenue", store_revenue())
+    return spread_distinct(joined).withColumn("revenue", store_revenue())
 
 
 def store_revenue() -> Column:

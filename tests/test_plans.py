@@ -4,7 +4,8 @@ import pytest
 from compare import SF_DIR
 from pyspark.sql import functions as F
 
-from larkmetric.operators import clean, dedup, enrich, identity, metrics
+from larkmetric.config import USER_COLUMNS
+from larkmetric.operators import clean, dedup, enrich, identity, marts, metrics
 from larkmetric.operators.joins import full_outer
 from larkmetric.plans.queries import QUERIES
 
@@ -141,6 +142,35 @@ def test_dedup_shuffles_and_reads_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Range ") == 1
 
 
+def test_marts_are_made_distinct_in_all_tasks(spark, conf):
+    """Not in few tasks of many narrow rows each, whose hash tables would grow with the input."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    ids = spark.range(2000).withColumn("name", F.col("id").cast("string"))
+    orders = ids.select(F.col("id").alias("pill_order_id"), F.col("name").alias("order_no"))
+    items = ids.select(F.col("id").alias("pill_order_id"), (F.col("id") % 9).alias("pill_option_id"))
+    options = spark.range(9).selectExpr("id AS pill_option_id", "id AS discounted_price", "0.5D AS fee_ratio", "1D AS reward_amount")
+    stores = marts.store_mart(orders, items.union(items), options)
+    assert stores.count() == 2000
+    assert plan_of(stores, run=True).split("Initial Plan")[0].count("REPARTITION_BY_NUM") == 1
+    events = ids.select(F.lit("store_complete_checkout").alias("event"), F.col("name").alias("distinct_id"),
+                        F.lit(None).cast("string").alias("challenge_id"), F.col("name").alias("order_no"),
+                        F.lit(False).alias("first"), F.lit("1.0").alias("order_count"), F.col("id").alias("time"))
+    users = ids.limit(1).select(F.col("name").alias("distinct_id"), *[F.lit("x").alias(c) for c in USER_COLUMNS if c != "distinct_id"])
+    challenges = ids.select(F.col("name").alias("challenge_id"), *[F.lit(None).cast("string").alias(c) for c in enrich.CHALLENGE_COLUMNS],
+                            F.lit(1.0).alias("revenue"))
+    df = enrich.enrich(events, users, challenges, stores.select("order_no", "revenue"))
+    assert df.where("revenue IS NOT NULL").count() == 2000
+    assert plan_of(df, run=True).split("Initial Plan")[0].count("REPARTITION_BY_NUM") == 3
+
+
+def test_distinct_rows_of_all_tasks(spark, rows):
+    """Zeros of either sign and NaN are one value each, NULL is one, and names may come twice."""
+    values = spark.sql("SELECT * FROM VALUES (0D, 'a'), (-0D, 'a'), (double('NaN'), 'a'), (-double('NaN'), 'a'), (NULL, NULL), (NULL, NULL) AS t(x, y)")
+    df = values.repartition(5)
+    assert len(rows(dedup.spread_distinct(df))) == 3
+    assert dedup.spread_distinct(df.toDF("x", "x")).columns == ["x", "x"]
+
+
 def test_devices_are_mapped_in_one_pass(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     rows = spark.range(100).selectExpr("concat(if(id % 2 = 0, 'd-', 'u'), id) AS distinct_id", "id AS n")
