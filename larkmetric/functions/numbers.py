@@ -19,10 +19,12 @@ JSON_BLANKS = " \t\n\r"
 def clean_number(c: Column) -> Column:
     """Keep digits and dots only, then read a double; NULL when that fails.
 
-    The shape is tested first: a failing cast costs an exception per row.
+    The shape is tested first: a failing cast costs an exception per row. What is left is a number
+    if it has a digit and no second dot. As the test names the cleaned text more than once, Spark works it out
+    once a row; with one pattern as the test it did so there and again for the cast.
     """
     v = F.regexp_replace(c, "[^0-9.]+", "")
-    return F.when(v.rlike(r"^([0-9]+[.]?[0-9]*|[.][0-9]+)$"), v).try_cast("double")
+    return F.when((F.substring_index(v, ".", 2) == v) & ~v.isin("", "."), v).try_cast("double")
 
 
 def clean_sheet_number(c: Column) -> Column:

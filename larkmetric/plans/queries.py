@@ -186,8 +186,8 @@ def ad_rollup_ratios(spark, sf_dir):
     )
 
 
-def _facebook_export(spark, sf_dir):
-    return _ad_text(spark, sf_dir).select(
+def _facebook_export(rows):
+    return rows.select(
         F.col("day").alias("Date"),
         F.col("campaign").alias("campaign_name"),
         F.col("adset").alias("adset_name"),
@@ -202,8 +202,8 @@ def _facebook_export(spark, sf_dir):
     )
 
 
-def _google_export(spark, sf_dir):
-    return _ad_text(spark, sf_dir).select(
+def _google_export(rows):
+    return rows.select(
         F.col("day").alias("Date"),
         F.col("clicks_text").alias("status"),
         "campaign",
@@ -220,10 +220,10 @@ def _google_export(spark, sf_dir):
     )
 
 
-def _naver_export(spark, sf_dir):
+def _naver_export(rows):
     """All columns of the layout; those it drops hold anything."""
     named = ["campaign_status", "campaign_id", "adgroup_status", "status"]
-    return _ad_text(spark, sf_dir).select(
+    return rows.select(
         F.col("day").alias("Date"),
         F.col("campaign").alias("campaign_name"),
         F.col("channel").alias("campaign_status"),
@@ -245,8 +245,8 @@ def _naver_export(spark, sf_dir):
     )
 
 
-def _adison_export(spark, sf_dir):
-    return _ad_text(spark, sf_dir).select(
+def _adison_export(rows):
+    return rows.select(
         F.col("day").alias("Date"),
         F.col("channel").alias("채널"),
         F.col("ad").alias("플랫폼"),
@@ -265,8 +265,7 @@ def _adison_export(spark, sf_dir):
     )
 
 
-def _pincrux_export(spark, sf_dir):
-    rows = _ad_text(spark, sf_dir)
+def _pincrux_export(rows):
     return rows.select("day", "day", "clicks_text", "impressions_text", "channel", "campaign").toDF(
         "Date", "date", "clicks", "complete", "channel", "campaign"
     )
@@ -278,27 +277,27 @@ def _sheet(spark, sf_dir):
 
 @query
 def channel_facebook(spark, sf_dir):
-    return adchannels.facebook(_facebook_export(spark, sf_dir))
+    return adchannels.facebook(_facebook_export(_ad_text(spark, sf_dir)))
 
 
 @query
 def channel_google(spark, sf_dir):
-    return adchannels.google(_google_export(spark, sf_dir))
+    return adchannels.google(_google_export(_ad_text(spark, sf_dir)))
 
 
 @query
 def channel_naver(spark, sf_dir):
-    return adchannels.naver(_naver_export(spark, sf_dir))
+    return adchannels.naver(_naver_export(_ad_text(spark, sf_dir)))
 
 
 @query
 def channel_adison(spark, sf_dir):
-    return adchannels.adison(_adison_export(spark, sf_dir))
+    return adchannels.adison(_adison_export(_ad_text(spark, sf_dir)))
 
 
 @query
 def channel_pincrux(spark, sf_dir):
-    return adchannels.pincrux(_pincrux_export(spark, sf_dir), _sheet(spark, sf_dir), ["row_no"])
+    return adchannels.pincrux(_pincrux_export(_ad_text(spark, sf_dir)), _sheet(spark, sf_dir), ["row_no"])
 
 
 @query
@@ -313,12 +312,16 @@ def per_date_sum(spark, sf_dir):
 
 @query
 def channel_unify(spark, sf_dir):
+    """The channels' exports are of the same rows, which are worked out once and landed as files."""
+    made, path = _ad_text(spark, sf_dir), scratch_dir(spark, "ads", sf_dir)
+    made.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(made.schema).parquet(path)
     exports = {
-        "facebook": _facebook_export(spark, sf_dir),
-        "naver": _naver_export(spark, sf_dir),
-        "google": _google_export(spark, sf_dir),
-        "adison": _adison_export(spark, sf_dir),
-        "pincrux": _pincrux_export(spark, sf_dir),
+        "facebook": _facebook_export(rows),
+        "naver": _naver_export(rows),
+        "google": _google_export(rows),
+        "adison": _adison_export(rows),
+        "pincrux": _pincrux_export(rows),
     }
     return adchannels.unify(exports, _sheet(spark, sf_dir), ["row_no"])
 

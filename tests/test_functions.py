@@ -14,6 +14,13 @@ def values(spark, expr, inputs, kind="string"):
     return [r[0] for r in df.orderBy("i").select(expr(F.col("v"))).collect()]
 
 
+def test_clean_number_shapes(spark):
+    texts = ["1.", ".5", ".", "..", "1..", "..1", "1.2.", "₩1 0\n.5", "\n", "x.y", "１", "9" * 400, "-1e-5", "NaN", "Infinity"]
+    assert values(spark, fn.clean_number, texts) == [
+        1, 0.5, None, None, None, None, None, 10.5, None, None, None, float("inf"), 15, None, None,
+    ]
+
+
 def test_clean_number(spark):
     texts = ["₩1,200", "-5", "1e-5", "1.2.3", "", "None", None, "5.", ".5", "."]
     assert values(spark, fn.clean_number, texts) == [1200, 5, 15, None, None, None, None, 5, 0.5, None]

@@ -171,6 +171,18 @@ def test_distinct_rows_of_all_tasks(spark, rows):
     assert dedup.spread_distinct(df.toDF("x", "x")).columns == ["x", "x"]
 
 
+def test_channels_share_their_rows(spark, conf):
+    """The rows of all exports are worked out once; what is left to join is the spend of one channel."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    for _ in range(2):  # landed rows are replaced, not added to
+        df = QUERIES["channel_unify"](spark, SF_DIR)
+        plan = plan_of(df)
+        assert plan.count("Join ") == 1 and "lineitem" not in plan
+        found = {r.channel: r["count"] for r in df.groupBy("channel").count().collect()}
+    for channel in ("facebook", "google", "naver", "adison", "pincrux"):
+        assert found[channel] == QUERIES[f"channel_{channel}"](spark, SF_DIR).count()
+
+
 def test_devices_are_mapped_in_one_pass(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     rows = spark.range(100).selectExpr("concat(if(id % 2 = 0, 'd-', 'u'), id) AS distinct_id", "id AS n")
