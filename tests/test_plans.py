@@ -163,6 +163,13 @@ def test_marts_are_made_distinct_in_all_tasks(spark, conf):
     assert plan_of(df, run=True).split("Initial Plan")[0].count("REPARTITION_BY_NUM") == 3
 
 
+def test_enriched_report_deals_its_marts_out(spark, conf):
+    """Store rows, and the rows of both marts under kind and key; the report's two levels repeat them in the plan."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(QUERIES["enriched_report"](spark, SF_DIR))
+    assert plan.count("REPARTITION_BY_NUM") == 6, plan.count("REPARTITION_BY_NUM")
+
+
 def test_distinct_rows_of_all_tasks(spark, rows):
     """Zeros of either sign and NaN are one value each, NULL is one, and names may come twice."""
     values = spark.sql("SELECT * FROM VALUES (0D, 'a'), (-0D, 'a'), (double('NaN'), 'a'), (-double('NaN'), 'a'), (NULL, NULL), (NULL, NULL) AS t(x, y)")
