@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Rows that hardly repeat are made distinct in at least so many tasks.
+LEAST_WAYS = 200
+
 
 def dedup_events(df: DataFrame) -> DataFrame:
     """One row per event and collected id: a group's ids are its rows.
@@ -20,12 +23,12 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def spread_distinct(df: DataFrame) -> DataFrame:
-    """Distinct rows, grouped in as many tasks as the session has shuffle partitions.
+    """Distinct rows, grouped in as many tasks as the session has shuffle partitions, and in ``LEAST_WAYS`` at least.
 
-    For rows that hardly repeat. AQE would join partitions up to a size in compressed bytes: narrow rows
+    Each task has two hash tables of its rows, which in a session of few partitions would be large. For rows that hardly repeat. AQE would join partitions up to a size in compressed bytes: narrow rows
     take few there, and many times that in the hash table of one task. Combining before the shuffle would
     keep a second table of them all, beside the sorts of the join they come from.
     """
-    ways = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = max(LEAST_WAYS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     places = [f"_{i}" for i in range(len(df.columns))]  # names may come twice
     return df.toDF(*places).repartition(ways, *places).distinct().toDF(*df.columns)

@@ -36,10 +36,8 @@ def _mart_key(kind: str, c: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), c.cast("string"))
 
 
-def _mart_rows(kind: str, mart: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """A mart's distinct rows under kind and key; made distinct before its rows get wider."""
-    rows = spread_distinct(mart.select(F.col(key).cast("string").alias("_key"), *columns))
-    return rows.withColumn("_key", _mart_key(kind, F.col("_key")))
+def _mart_rows(kind: str, mart: DataFrame, key: str, *columns: Column | str) -> DataFrame:
+    return mart.select(_mart_key(kind, F.col(key)).alias("_key"), *columns)
 
 
 def enrich(
@@ -54,18 +52,22 @@ def enrich(
     Instead of splitting events by kind and stacking them again, both marts are
     one table under kind and key, so events are shuffled for them once. Events of
     other kinds have no key, and are spread over tasks. Marts may hold several
-    rows per key, and then fan out.
+    rows per key, and then fan out. Rows are made distinct behind a shuffle of
+    their own: a hash table of wide rows beside the join's two sorts was most of a task's memory.
     """
     rows = attribute(ensure_column(ensure_column(events, "order_no"), "order_count"), users)
     challenge_kind = F.coalesce(F.col("event").isin(names.challenge, names.brand), F.lit(False))
     store_kind = F.coalesce(F.col("event") == names.store, F.lit(False))
-    c = _mart_rows("challenge", challenges, "challenge_id", [*CHALLENGE_COLUMNS, "revenue"])
-    s = _mart_rows("store", stores, "order_no", ["revenue"])
-    mart = c.unionByName(s, allowMissingColumns=True)
+    packed = F.struct(*CHALLENGE_COLUMNS).alias("_challenge")  # one empty column in store rows, not five
+    c = _mart_rows("challenge", challenges, "challenge_id", packed, "revenue")
+    s = _mart_rows("store", stores, "order_no", "revenue")
+    mart = spread_distinct(c.unionByName(s, allowMissingColumns=True))
     key = F.when(challenge_kind, _mart_key("challenge", rows["challenge_id"])).when(
         store_kind, _mart_key("store", rows["order_no"])
     )
-    joined = hot_join(rows.withColumn("_key", key), mart, "_key").drop("_key")
+    joined = hot_join(rows.withColumn("_key", key), mart, "_key").select(
+        *rows.columns, *[F.col("_challenge")[name].alias(name) for name in CHALLENGE_COLUMNS], "revenue"
+    )
     flag = F.col("first").cast("string").try_cast("boolean")
     enriched = joined.withColumns(
         {
@@ -77,4 +79,4 @@ def enrich(
             ).otherwise(F.col("event")),
         }
     )
-    return with_event_date(enriched).dropDuplicates()
+    return spread_distinct(with_event_date(enriched))

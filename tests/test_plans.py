@@ -170,6 +170,29 @@ def test_enriched_report_deals_its_marts_out(spark, conf):
     assert plan.count("REPARTITION_BY_NUM") == 6, plan.count("REPARTITION_BY_NUM")
 
 
+def test_enriched_rows_are_made_distinct_behind_the_join(spark, conf):
+    """No hash table of wide rows beside the sorts of a task that joins, and many tasks even where a session has few."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    above = plan_of(QUERIES["enriched_events"](spark, SF_DIR)).split("SortMergeJoin")[0].split("Exchange ")
+    assert len(above) == 2 and "HashAggregate" in above[0] and "HashAggregate" not in above[1]
+    assert f", {dedup.LEAST_WAYS}), REPARTITION_BY_NUM" in above[1]
+    assert dedup.spread_distinct(spark.range(9)).rdd.getNumPartitions() == dedup.LEAST_WAYS > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_enriched_rows_that_come_twice_or_meet_several_mart_rows(spark, rows):
+    """Store rows have no challenge columns, a mart row that comes twice counts once, and NULL keys match nothing."""
+    events = spark.sql("""SELECT * FROM VALUES ('store_complete_checkout', 'u', '1', '7'), ('store_complete_checkout', 'u', '1', '7'),
+        ('challenge_complete_checkout', 'u', '7', '1'), ('challenge_complete_checkout', 'u', NULL, '1'), ('invite', 'u', '7', '7')
+        AS t(event, distinct_id, challenge_id, order_no)""").selectExpr("*", "true AS first", "'1' AS order_count", "0L AS time")
+    users = spark.range(1).select(*[F.lit("u").alias(c) for c in USER_COLUMNS])
+    challenges = spark.sql("""SELECT * FROM VALUES ('7', true, 5D), ('7', true, 5D), (NULL, true, 6D) AS t(challenge_id, is_brand, revenue)""")
+    challenges = challenges.select("*", *[F.lit("1").alias(c) for c in enrich.CHALLENGE_COLUMNS if c != "is_brand"])
+    stores = spark.sql("SELECT * FROM VALUES ('7', 1D), ('7', 1D), ('7', 2D), (NULL, 3D) AS t(order_no, revenue)")
+    got = rows(enrich.enrich(events, users, challenges, stores), "challenge_id", "order_no", "is_brand", "revenue")
+    assert got == sorted([("1", "7", None, 1.0), ("1", "7", None, 2.0), ("7", "1", True, 5.0), (None, "1", None, None), ("7", "7", None, None)],
+                         key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
 def test_distinct_rows_of_all_tasks(spark, rows):
     """Zeros of either sign and NaN are one value each, NULL is one, and names may come twice."""
     values = spark.sql("SELECT * FROM VALUES (0D, 'a'), (-0D, 'a'), (double('NaN'), 'a'), (-double('NaN'), 'a'), (NULL, NULL), (NULL, NULL) AS t(x, y)")
