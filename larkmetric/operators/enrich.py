@@ -58,10 +58,12 @@ def enrich(
     rows = attribute(ensure_column(ensure_column(events, "order_no"), "order_count"), users)
     challenge_kind = F.coalesce(F.col("event").isin(names.challenge, names.brand), F.lit(False))
     store_kind = F.coalesce(F.col("event") == names.store, F.lit(False))
-    packed = F.struct(*CHALLENGE_COLUMNS).alias("_challenge")  # one empty column in store rows, not five
-    c = _mart_rows("challenge", challenges, "challenge_id", packed, "revenue")
+    c = _mart_rows("challenge", challenges, "challenge_id", *CHALLENGE_COLUMNS, "revenue")
     s = _mart_rows("store", stores, "order_no", "revenue")
     mart = spread_distinct(c.unionByName(s, allowMissingColumns=True))
+    # Sorted for the join, store rows have one empty column, not five.
+    packed = F.when(F.col("_key").startswith("challenge:"), F.struct(*CHALLENGE_COLUMNS)).alias("_challenge")
+    mart = mart.select("_key", packed, "revenue")
     key = F.when(challenge_kind, _mart_key("challenge", rows["challenge_id"])).when(
         store_kind, _mart_key("store", rows["order_no"])
     )

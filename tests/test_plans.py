@@ -173,9 +173,13 @@ def test_enriched_report_deals_its_marts_out(spark, conf):
 def test_enriched_rows_are_made_distinct_behind_the_join(spark, conf):
     """No hash table of wide rows beside the sorts of a task that joins, and many tasks even where a session has few."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    above = plan_of(QUERIES["enriched_events"](spark, SF_DIR)).split("SortMergeJoin")[0].split("Exchange ")
+    plan = plan_of(QUERIES["enriched_events"](spark, SF_DIR))
+    above = plan.split("SortMergeJoin")[0].split("Exchange ")
     assert len(above) == 2 and "HashAggregate" in above[0] and "HashAggregate" not in above[1]
     assert f", {dedup.LEAST_WAYS}), REPARTITION_BY_NUM" in above[1]
+    parts = plan.split("Exchange ")
+    dealt = [over for over, under in zip(parts, parts[1:]) if "REPARTITION_BY_NUM" in under.split("\n")[0]]
+    assert [over.count("HashAggregate") for over in dealt] == [2, 2, 2]  # both in that task, without another shuffle
     assert dedup.spread_distinct(spark.range(9)).rdd.getNumPartitions() == dedup.LEAST_WAYS > int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
